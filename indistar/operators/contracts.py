@@ -123,19 +123,24 @@ def typed_by_contract(c: Contract, raw: DataFrame) -> tuple[DataFrame, DataFrame
 
 def document_problems(raw: DataFrame, expected_files: Sequence[str] | None = None,
                       file_col: str = "arquivo") -> DataFrame:
-    """Per file: malformed records and whether it yielded any row.
+    """Per file: rows, malformed records and rows with data.
 
     A malformed multi-line document reads as one all-null row carrying
     ``_corrupt_record``; an empty array yields no row at all, so files that
     were expected but not seen are reported with ``linhas = 0``.
     """
     spark = raw.sparkSession
+    # Spark refuses a raw-file query that references only the corrupt-record
+    # column, so a data column is read alongside it.
+    data_col = next(c for c in raw.columns if c not in ("_corrupt_record", file_col))
     seen = (raw.groupBy(file_col)
             .agg(F.count(F.lit(1)).alias("linhas"),
-                 F.count("_corrupt_record").alias("corrompidos")))
+                 F.count("_corrupt_record").alias("corrompidos"),
+                 F.count(data_col).alias("preenchidos")))
     if expected_files is None:
         return seen
     exp = spark.createDataFrame([(f,) for f in expected_files], f"{file_col} string")
     return (exp.join(seen, file_col, "left")
             .select(file_col, F.coalesce("linhas", F.lit(0)).alias("linhas"),
-                    F.coalesce("corrompidos", F.lit(0)).alias("corrompidos")))
+                    F.coalesce("corrompidos", F.lit(0)).alias("corrompidos"),
+                    F.coalesce("preenchidos", F.lit(0)).alias("preenchidos")))
