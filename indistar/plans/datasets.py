@@ -124,15 +124,17 @@ def ipca_area_mes(long: DataFrame) -> DataFrame:
     return rs.pivot_values(base, keys, "variavel_id", IPCA_VARIABLES)
 
 
-def bacen_serie_historica(spark: SparkSession, paths, series: dict | None = None) -> DataFrame:
-    """Daily series from flat documents of any number of snapshots.
+def bacen_from_raw(raw: DataFrame, series: dict | None = None) -> DataFrame:
+    """Typed, de-duplicated daily series from raw flat-document rows.
 
-    One multi-path read; constant columns from a broadcast catalog join; the
-    same (series, date) seen in several snapshots keeps the newest file's row.
+    ``raw`` carries ``arquivo`` / ``arquivo_modificado`` (``read_flat_series``);
+    constant columns come from a broadcast catalog join; the same (series,
+    date) seen in several snapshots keeps the newest file's row.
     """
-    raw = rd.read_flat_series(spark, paths)
-    catalog = cat.series_catalog(spark, series).drop("serie_id")
-    typed = (jn.attach_dimension(raw.drop("_corrupt_record"), catalog, "serie", "inner")
+    catalog = cat.series_catalog(raw.sparkSession, series).drop("serie_id")
+    if "_corrupt_record" in raw.columns:
+        raw = raw.drop("_corrupt_record")
+    typed = (jn.attach_dimension(raw, catalog, "serie", "inner")
              .withColumn("data_referencia", fd.parse_day("data"))
              .withColumn("valor", fp.parse_decimal("valor", 20, 8))
              .filter(F.col("data_referencia").isNotNull() & F.col("valor").isNotNull()))
@@ -144,6 +146,11 @@ def bacen_serie_historica(spark: SparkSession, paths, series: dict | None = None
     return last.drop("arquivo_modificado", "arquivo")
 
 
+def bacen_serie_historica(spark: SparkSession, paths, series: dict | None = None) -> DataFrame:
+    """Daily series from flat documents of any number of snapshots (one read)."""
+    return bacen_from_raw(rd.read_flat_series(spark, paths), series)
+
+
 def bacen_per_series(historica: DataFrame, series: dict | None = None) -> dict[str, DataFrame]:
     """One table per series (filter on the fixed id of each)."""
     series = cat.SERIES if series is None else series
