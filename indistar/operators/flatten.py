@@ -55,6 +55,28 @@ def category_of(classifications, classification_id) -> Column:
     return F.try_element_at(F.map_entries(hit["categoria"]), F.lit(1))
 
 
+def catalog_profile(raw: DataFrame) -> DataFrame:
+    """Metadata profile of nested documents: variables, levels, classifications
+    and their categories (distinct rows).
+
+    Works on the result level and never explodes the period maps, so its
+    cost is independent of the number of periods per series.
+    """
+    r = raw.select(F.col("id").try_cast("int").alias("variavel_id"),
+                   F.col("variavel").alias("variavel_nome"), "unidade",
+                   F.explode("resultados").alias("r"))
+    levels = F.array_distinct(F.transform("r.series", lambda s: s["localidade"]["nivel"]))
+    lv = r.select("variavel_id", "variavel_nome", "unidade", "r.classificacoes",
+                  F.explode(levels).alias("nivel"))
+    cls = lv.select("variavel_id", "variavel_nome", "unidade",
+                    F.col("nivel.id").alias("nivel_id"), F.col("nivel.nome").alias("nivel_nome"),
+                    F.explode("classificacoes").alias("c"))
+    return (cls.select("variavel_id", "variavel_nome", "unidade", "nivel_id", "nivel_nome",
+                       F.col("c.id").alias("classificacao_id"), F.col("c.nome").alias("classificacao_nome"),
+                       F.explode("c.categoria").alias("categoria_id", "categoria_nome"))
+            .distinct())
+
+
 def expand_struct(df: DataFrame, struct_col: str, prefix: str = "") -> DataFrame:
     """``select(other cols, struct.*)`` with an optional name prefix."""
     fields = df.schema[struct_col].dataType.fieldNames()

@@ -42,11 +42,3 @@ def share_of_total(df: DataFrame, partition: Sequence[str], value: str,
     if digits is not None:
         share = F.round(share, digits)
     return df.withColumn(share_name, share)
-
-
-def running_total(df: DataFrame, partition: Sequence[str], order: str, value: str,
-                  name: str = "acumulado") -> DataFrame:
-    """Cumulative sum within a partition (rows frame)."""
-    w = (Window.partitionBy(*partition).orderBy(order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(name, F.sum(value).over(w))

@@ -357,6 +357,10 @@ FROM orders o JOIN w ON CAST(o.o_orderdate AS DATE) BETWEEN w.janela_inicio AND
 WHERE w.janela_inicio <= w.janela_fim
 GROUP BY 1, 2, 3""",
 
+    "date_range_filter": """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS data_referencia, o_totalprice FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1997-06-30'""",
+
     "upsert_merge": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'

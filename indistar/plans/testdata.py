@@ -44,6 +44,7 @@ EVENT_SERIES = [
     ("signup", 4, "Cadastros", "eventos", "diaria"),
     ("view", 5, "Visualizacoes", "eventos", "diaria"),
 ]
+DATE_RANGE = ("1996-03-01", "1997-06-30")
 UPSERT_TARGET_BEFORE = "1999-01-01"
 UPSERT_UPDATES_FROM = "1998-01-01"
 
@@ -192,13 +193,7 @@ def nested_flatten(spark, sf_dir):
 
 
 def catalog_profile(spark, sf_dir):
-    long = fl.flatten_nested(_nested_orders(spark, sf_dir))
-    cls = long.select("variavel_id", "variavel_nome", "unidade", "nivel_id", "nivel_nome",
-                      F.explode("classificacoes").alias("c"))
-    return (cls.select("variavel_id", "variavel_nome", "unidade", "nivel_id", "nivel_nome",
-                       F.col("c.id").alias("classificacao_id"), F.col("c.nome").alias("classificacao_nome"),
-                       F.explode("c.categoria").alias("categoria_id", "categoria_nome"))
-            .distinct())
+    return fl.catalog_profile(_nested_orders(spark, sf_dir))
 
 
 def map_flatten(spark, sf_dir):
@@ -336,17 +331,19 @@ def contract_checks(spark, sf_dir):
 # -------------------------------------------------------- star / reports ---
 
 def _nation_region(spark, sf_dir) -> DataFrame:
-    # nation and region are fixed-size dimensions (25 and 5 rows)
+    # nation and region have 25 and 5 rows at every scale factor (fixed by
+    # the schema, like the 27-state dimension): broadcast without a check
     n = _t(spark, sf_dir, "nation")
     r = _t(spark, sf_dir, "region")
-    return jn.attach_dimension(n, r.withColumnRenamed("r_regionkey", "n_regionkey"),
-                               "n_regionkey", "inner", max_rows=10_000)
+    return jn.attach_dimension(n, r.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey", "inner")
 
 
 def _customer_geo(spark, sf_dir) -> DataFrame:
+    """customer -> nation -> region.  The customer table grows with the data,
+    so it is never broadcast by hint; only the 25-row nation/region side is."""
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nr = _nation_region(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey")
-    return jn.attach_dimension(c, nr, "c_nationkey", "inner", max_rows=10_000)
+    return jn.attach_dimension(c, nr, "c_nationkey", "inner")
 
 
 def _orders_per_customer(spark, sf_dir, *aggs) -> DataFrame:
@@ -515,6 +512,14 @@ def window_coverage(spark, sf_dir):
     return j.groupBy("janela", "janela_inicio", "janela_fim").agg(F.count(F.lit(1)).alias("n_pedidos"))
 
 
+def date_range_filter(spark, sf_dir):
+    import datetime as _dt
+    lo, hi = (_dt.date.fromisoformat(d) for d in DATE_RANGE)
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return (cat.date_range(o, "o_orderdate", lo, hi)
+            .select("o_orderkey", F.to_date("o_orderdate").alias("data_referencia"), "o_totalprice"))
+
+
 def upsert_merge(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     target = o.filter(F.col("o_orderdate") < F.lit(UPSERT_TARGET_BEFORE).cast("timestamp"))
@@ -568,5 +573,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_part_join": date_part_join,
     "window_table": window_table,
     "window_coverage": window_coverage,
+    "date_range_filter": date_range_filter,
     "upsert_merge": upsert_merge,
 }

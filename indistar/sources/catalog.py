@@ -98,14 +98,25 @@ def indicator_catalog(spark: SparkSession, indicators: dict | None = None) -> Da
 
 
 def date_range(df: DataFrame, date_col: str, start=None, end=None) -> DataFrame:
-    """Inclusive ``[start, end]`` filter (pushed to the scan); end defaults to today."""
+    """Inclusive ``[start, end]`` day filter; end defaults to today.
+
+    On a timestamp column the bound becomes ``< end + 1 day`` so the whole
+    last day is kept; both forms are plain comparisons Parquet can push down.
+    """
     if end is None:
         end = _dt.date.today()
     if start is not None and start > end:
         raise ValueError(f"start {start} is after end {end}")
-    cond = F.col(date_col) <= F.lit(end)
-    if start is not None:
-        cond = cond & (F.col(date_col) >= F.lit(start))
+    c = F.col(date_col)
+    if isinstance(df.schema[date_col].dataType, (T.TimestampType, T.TimestampNTZType)):
+        kind = df.schema[date_col].dataType.simpleString()
+        cond = c < F.lit(str(end + _dt.timedelta(days=1))).cast(kind)
+        if start is not None:
+            cond = cond & (c >= F.lit(str(start)).cast(kind))
+    else:
+        cond = c <= F.lit(end)
+        if start is not None:
+            cond = cond & (c >= F.lit(start))
     return df.filter(cond)
 
 
