@@ -94,12 +94,12 @@ def state_count_by_year_region(model: Model) -> DataFrame:
 
 def cpi_matrix(model: Model, years: Sequence[int]) -> DataFrame:
     """Q7: area -> group rows x year columns of the minimum 12-month rate,
-    rows ordered by the (hidden) count of observations."""
+    rows ordered by the (hidden) non-null count of the group label, descending."""
     f = model["ipca_area_mes"]
     m = agg.matrix(f, "area_ipca", "grupo_ipca", "ano", "acumulado_12_meses_pct", years, "min",
                    name_fn=lambda y: f"ano_{y}")
     counts = (f.groupingSets([["area_ipca", "grupo_ipca"], ["area_ipca"], []], "area_ipca", "grupo_ipca")
-              .agg(F.count("acumulado_12_meses_pct").alias("_n"),
+              .agg(F.count("grupo_ipca").alias("_n"),
                    (F.grouping("area_ipca") * 2 + F.grouping("grupo_ipca")).cast("bigint").alias("nivel")))
     j = m.join(counts, ["nivel", "area_ipca", "grupo_ipca"], "left")  # both sides tiny
     return rs.order_by_measure(j, "_n", ["nivel", "area_ipca", "grupo_ipca"], drop=["_n"])
