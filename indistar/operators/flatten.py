@@ -19,11 +19,15 @@ LONG_COLUMNS = [
 ]
 
 
-def flatten_nested(raw: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def flatten_nested(raw: DataFrame, carry: list[str] | None = None,
+                   spread: int | None = None) -> DataFrame:
     """One row per variable x result x place x period.
 
     ``raw`` holds one row per variable element (``read_nested``).  ``carry``
     names extra columns (e.g. the source file) kept on every output row.
+    A multi-line JSON file is read by one task; for a few very large
+    documents pass ``spread`` to redistribute the results over that many
+    partitions before the series and period explodes.
     """
     carry = carry or []
     v = raw.select(
@@ -31,6 +35,8 @@ def flatten_nested(raw: DataFrame, carry: list[str] | None = None) -> DataFrame:
         F.col("variavel").alias("variavel_nome"),
         "unidade", *carry,
         F.explode("resultados").alias("resultado"))
+    if spread:
+        v = v.repartition(spread)
     s = v.select(
         "variavel_id", "variavel_nome", "unidade", *carry,
         F.col("resultado.classificacoes").alias("classificacoes"),

@@ -38,13 +38,13 @@ KEYS["pib_brasil_ano"] = ["data_referencia", "variavel_id"]
 
 
 def stage_long_layer(spark: SparkSession, raw_dir: str, long_root: str,
-                     datasets: Iterable[str] | str | None = None) -> dict[str, str]:
+                     datasets: Iterable[str] | str | None = None, spread: int | None = None) -> dict[str, str]:
     """Newest snapshot per selected dataset -> long layer partitioned by dataset."""
     chosen = sn.select_datasets(cat.INDICATORS, datasets)
     paths = sn.newest_snapshots(spark, raw_dir, {n: c["agregado"] for n, c in chosen.items()})
     raw = rd.read_nested(spark, list(paths.values()), mode="FAILFAST")
     raw = raw.withColumn("dataset", F.regexp_extract("arquivo", sn.SNAPSHOT_NAME, 2))
-    long = fl.flatten_nested(raw, carry=["dataset"])
+    long = fl.flatten_nested(raw, carry=["dataset"], spread=spread)
     (long.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dataset").parquet(long_root))
     return paths

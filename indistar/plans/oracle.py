@@ -361,6 +361,28 @@ GROUP BY 1, 2, 3""",
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS data_referencia, o_totalprice FROM orders
 WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1997-06-30'""",
 
+    "population_recipe": r"""
+SELECT make_date(CAST(year(o.o_orderdate) AS INTEGER), 1, 1) AS data_referencia,
+       CAST(year(o.o_orderdate) AS INTEGER) AS ano, CAST(o.o_custkey AS INTEGER) AS municipio_id,
+       c.c_name AS municipio_nome, TRY_CAST(substr(CAST(o.o_custkey AS VARCHAR), 1, 2) AS INTEGER) AS uf_id,
+       count(*) AS populacao
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY 1, 2, 3, 4, 5""",
+
+    "resumo_ano_recipe": """
+WITH c AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS ano, count(*) AS pop
+           FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1, 2),
+l AS (SELECT *, lag(ano) OVER w AS pa, lag(pop) OVER w AS pv
+      FROM c WINDOW w AS (PARTITION BY o_custkey ORDER BY ano)),
+p AS (SELECT o_custkey, ano, pop, CASE WHEN pa = ano - 1 THEN pv END AS prev FROM l),
+g AS (SELECT o_custkey, ano, pop, pop - prev AS variacao,
+             CASE WHEN prev <> 0 THEN round(100.0::DOUBLE * (pop - prev) / prev, 2) END AS crescimento
+      FROM p)
+SELECT make_date(ano, 1, 1) AS ano, CAST(sum(pop) AS BIGINT) AS populacao_total, count(o_custkey) AS qtd_municipios,
+       round(avg(crescimento), 2) AS crescimento_medio_pct,
+       CAST(sum(variacao) AS DOUBLE) AS variacao_absoluta_total
+FROM g GROUP BY ano""",
+
     "upsert_merge": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'

@@ -25,6 +25,7 @@ from ..operators import publish as pb
 from ..operators import reshape as rs
 from ..operators import windows as wn
 from ..sources import catalog as cat
+from . import datasets as ds
 
 # Fixed parameters of the report queries over TESTDATA.
 REPORT_YEARS = [1996, 1997, 1998, 1999, 2000]
@@ -512,6 +513,38 @@ def window_coverage(spark, sf_dir):
     return j.groupBy("janela", "janela_inicio", "janela_fim").agg(F.count(F.lit(1)).alias("n_pedidos"))
 
 
+def _population_documents(spark, sf_dir) -> DataFrame:
+    """Orders per customer and year as nested population documents.
+
+    One variable element per customer whose only series maps each year to
+    the customer's order count; the map holds one entry per year of the
+    span, however many orders the customer has.
+    """
+    o = _t(spark, sf_dir, "orders")
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    per = (o.groupBy("o_custkey", F.year("o_orderdate").cast("string").alias("periodo"))
+           .agg(F.count(F.lit(1)).cast("string").alias("valor")))
+    series = per.groupBy("o_custkey").agg(
+        F.map_from_entries(F.collect_list(F.struct("periodo", "valor"))).alias("serie"))
+    docs = series.join(c, "o_custkey", "inner")
+    place = F.struct(F.col("o_custkey").cast("string").alias("id"),
+                     F.struct(F.lit("N6").alias("id"), F.lit("Municipio").alias("nome")).alias("nivel"),
+                     F.concat("c_name", F.lit(" - "), F.upper(F.substring("c_mktsegment", 1, 2))).alias("nome"))
+    result = F.struct(F.array().cast("array<struct<id:string,nome:string,categoria:map<string,string>>>")
+                      .alias("classificacoes"),
+                      F.array(F.struct(place.alias("localidade"), F.col("serie"))).alias("series"))
+    return docs.select(F.lit("9324").alias("id"), F.lit("Populacao").alias("variavel"),
+                       F.lit("Pessoas").alias("unidade"), F.array(result).alias("resultados"))
+
+
+def population_recipe(spark, sf_dir):
+    return ds.populacao_municipio(fl.flatten_nested(_population_documents(spark, sf_dir)))
+
+
+def resumo_ano_recipe(spark, sf_dir):
+    return ds.resumo_ano(population_recipe(spark, sf_dir))
+
+
 def date_range_filter(spark, sf_dir):
     import datetime as _dt
     lo, hi = (_dt.date.fromisoformat(d) for d in DATE_RANGE)
@@ -574,5 +607,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_table": window_table,
     "window_coverage": window_coverage,
     "date_range_filter": date_range_filter,
+    "population_recipe": population_recipe,
+    "resumo_ano_recipe": resumo_ano_recipe,
     "upsert_merge": upsert_merge,
 }
