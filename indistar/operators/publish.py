@@ -106,6 +106,38 @@ def upsert(spark: SparkSession, updates: DataFrame, root: str, keys: Sequence[st
     return version
 
 
+def upsert_partitions(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
+                      partition_by: Sequence[str]) -> list[tuple]:
+    """Merge ``updates`` into a large partitioned table, rewriting only the
+    partitions the updates touch (dynamic partition overwrite).
+
+    The partition columns must be determined by the key (e.g. the year of
+    a key date), so a key never moves between partitions.  The merged slice
+    is checkpointed into the shared checkpoint folder first: the write then
+    reads the checkpoint, not the partitions it replaces.  Returns the
+    touched partition values (a list bounded by the partition count).
+    """
+    from ..session import cut_lineage
+    touched = [tuple(r) for r in updates.select(*partition_by).distinct().collect()]
+    try:
+        target = spark.read.parquet(path)
+    except Exception:  # nothing published yet
+        target = None
+    if target is not None and touched:
+        cond = None
+        for values in touched:
+            c = None
+            for col, v in zip(partition_by, values):
+                term = F.col(col).isNull() if v is None else (F.col(col) == F.lit(v))
+                c = term if c is None else c & term
+            cond = c if cond is None else cond | c
+        target = target.filter(cond)  # partition pruning: only touched folders are read
+    merged = cut_lineage(merge_snapshot(target, updates, keys))
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+    return touched
+
+
 def full_refresh(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, Contract | None]],
                  root: str, fmt: str = "parquet", dims: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
     """Check every input first; only when all pass, replace each table.
