@@ -25,6 +25,7 @@ from ..operators import publish as pb
 from ..operators import reshape as rs
 from ..operators import windows as wn
 from ..sources import catalog as cat
+from ..sources import readers as rd
 from . import datasets as ds
 
 # Fixed parameters of the report queries over TESTDATA.
@@ -54,6 +55,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _t_rowwork(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Input of a query dominated by per-row expression work (text
+    formatting/parsing, nesting, explodes): spread when under-split."""
+    return rd.spread_small_input(_t(spark, sf_dir, name))
+
+
 def _year_span_filter(col: str, years: list[int]):
     """Exact year membership plus a range bound Parquet can prune on."""
     lo, hi = min(years), max(years)
@@ -73,18 +80,18 @@ def _acctbal_text(c="c_acctbal", seg="c_mktsegment"):
 
 
 def parse_number(spark, sf_dir):
-    c = _t(spark, sf_dir, "customer").select("c_custkey", _acctbal_text().alias("texto"))
+    c = _t_rowwork(spark, sf_dir, "customer").select("c_custkey", _acctbal_text().alias("texto"))
     return c.select("c_custkey", "texto", fp.parse_number("texto").alias("valor"))
 
 
 def parse_decimal(spark, sf_dir):
-    c = _t(spark, sf_dir, "customer").select("c_custkey", _acctbal_text().alias("texto"))
+    c = _t_rowwork(spark, sf_dir, "customer").select("c_custkey", _acctbal_text().alias("texto"))
     return (c.select("c_custkey", fp.parse_decimal("texto", 20, 8).alias("valor"))
             .filter(F.col("valor").isNotNull()))
 
 
 def parse_day(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders")
+    o = _t_rowwork(spark, sf_dir, "orders")
     text = (F.when(F.col("o_orderstatus") == "P",
                    F.concat(F.lit("31/02/"), F.year("o_orderdate").cast("string")))
             .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")))
@@ -161,7 +168,7 @@ def _nested_orders(spark, sf_dir) -> DataFrame:
     Low-priority orders carry an empty result list (they vanish when
     flattened); every series carries two periods, one of them a junk token.
     """
-    o = _t(spark, sf_dir, "orders")
+    o = _t_rowwork(spark, sf_dir, "orders")
     price_text = F.format_string("%.2f", F.col("o_totalprice"))
     classes = F.array(
         F.struct(F.lit("prio").alias("id"), F.lit("prioridade").alias("nome"),
@@ -198,7 +205,7 @@ def catalog_profile(spark, sf_dir):
 
 
 def map_flatten(spark, sf_dir):
-    e = _t(spark, sf_dir, "events")
+    e = _t_rowwork(spark, sf_dir, "events")
     m = e.select("event_id", F.from_json("props", "map<string,string>").alias("props"))
     out = fl.map_entries_long(m, "props", "chave", "valor_original", keep=["event_id"])
     return out.withColumn("valor", fp.parse_number("valor_original"))
@@ -235,7 +242,7 @@ def split_percent(spark, sf_dir):
 
 def union_series(spark, sf_dir):
     """Daily-series recipe over events: text day + comma value -> typed series."""
-    e = _t(spark, sf_dir, "events")
+    e = _t_rowwork(spark, sf_dir, "events")
     catalog = spark.createDataFrame(
         EVENT_SERIES, "serie string, serie_id int, indicador string, unidade string, periodicidade string")
     raw = e.select(F.col("event_type").alias("serie"),
@@ -255,12 +262,12 @@ def union_series(spark, sf_dir):
 
 
 def pivot_long_wide(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("dia"), "event_type", "value")
+    e = _t_rowwork(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("dia"), "event_type", "value")
     return rs.pivot_values(e, ["user_id", "dia"], "event_type", PIVOT_TYPES, "value")
 
 
 def dedup_last(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("dia"),
+    e = _t_rowwork(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("dia"),
                                            "ts", "event_id", "event_type", "value")
     return rs.dedup_keep_last(e, ["user_id", "dia"], ["ts", "event_id"]).drop("ts")
 
@@ -322,7 +329,7 @@ ORDERS_CONTRACT = ct.Contract(
 
 
 def contract_checks(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders")
+    o = _t_rowwork(spark, sf_dir, "orders")
     fact = o.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("data_referencia"),
                     F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
                     "o_orderpriority", "o_totalprice")
