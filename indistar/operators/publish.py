@@ -67,7 +67,7 @@ def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
     return None if version is None else spark.read.format(fmt).load(version)
 
 
-def _set_pointer(spark: SparkSession, root: str, version_path: str) -> None:
+def set_pointer(spark: SparkSession, root: str, version_path: str) -> None:
     (spark.createDataFrame([(version_path,)], "value string").coalesce(1)
      .write.mode("overwrite").text(_pointer_path(root)))
 
@@ -102,7 +102,7 @@ def upsert(spark: SparkSession, updates: DataFrame, root: str, keys: Sequence[st
     merged = merge_snapshot(read_current(spark, root, fmt), updates, keys)
     version = new_version_path(root)
     write_table(merged, version, fmt, partition_by=partition_by)
-    _set_pointer(spark, root, version)
+    set_pointer(spark, root, version)
     return version
 
 
@@ -153,7 +153,7 @@ def full_refresh(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, Cont
         table_root = f"{root.rstrip('/')}/{name}"
         version = new_version_path(table_root)
         write_table(df, version, fmt)
-        _set_pointer(spark, table_root, version)
+        set_pointer(spark, table_root, version)
         out[name] = version
     return out
 
@@ -166,7 +166,11 @@ def write_per_series(df: DataFrame, path: str, series_col: str = "serie",
 
 def land_raw(df: DataFrame, raw_root: str, keys: Sequence[str], order: Sequence[str],
              stamp: str | None = None) -> str:
-    """Deterministic raw landing: dedup on keys, sort, write into a run folder."""
+    """Deterministic raw landing: dedup on keys, sort, write into a run folder.
+
+    The folder holds JSON Lines (one record per line, splittable); read it
+    back with ``read_flat_series(..., multi_line=False)``.
+    """
     from .reshape import dedup_keep_last
     stamp = stamp or time.strftime("%Y%m%d_%H%M%S")
     out = f"{raw_root.rstrip('/')}/run_{stamp}"

@@ -95,7 +95,7 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], out_root:
         else:
             version = pb.new_version_path(root)
             pb.write_table(df, version)
-            pb._set_pointer(spark, root, version)
+            pb.set_pointer(spark, root, version)
         if csv_root:
             pb.write_table(pb.read_current(spark, root), f"{csv_root.rstrip('/')}/{name}", fmt="csv")
         roots[name] = root

@@ -24,7 +24,8 @@ def _paths(paths) -> list[str]:
 
 
 def read_json_documents(spark: SparkSession, paths, schema: T.StructType,
-                        mode: str = "PERMISSIVE", with_file: bool = True) -> DataFrame:
+                        mode: str = "PERMISSIVE", with_file: bool = True,
+                        multi_line: bool = True) -> DataFrame:
     """Read JSON-array documents with an explicit element schema.
 
     ``PERMISSIVE`` keeps malformed files as one all-null row carrying the
@@ -36,7 +37,7 @@ def read_json_documents(spark: SparkSession, paths, schema: T.StructType,
     if mode == "PERMISSIVE":
         read_schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     df = (spark.read.schema(read_schema)
-          .option("multiLine", True)
+          .option("multiLine", multi_line)
           .option("mode", mode)
           .option("columnNameOfCorruptRecord", "_corrupt_record")
           .json(_paths(paths)))
@@ -55,13 +56,13 @@ def read_nested(spark: SparkSession, paths, mode: str = "PERMISSIVE",
 
 
 def read_flat_series(spark: SparkSession, paths, mode: str = "PERMISSIVE",
-                     with_file: bool = True) -> DataFrame:
+                     with_file: bool = True, multi_line: bool = True) -> DataFrame:
     """Flat daily-series documents: one row per observation.
 
     One multi-path read replaces a per-file read + union chain, so the plan
     depth does not grow with the number of series.
     """
-    return read_json_documents(spark, paths, FLAT_ITEM_SCHEMA, mode, with_file)
+    return read_json_documents(spark, paths, FLAT_ITEM_SCHEMA, mode, with_file, multi_line)
 
 
 def read_with_file_name(spark: SparkSession, paths, fmt: str = "parquet",

@@ -10,6 +10,8 @@ shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +45,10 @@ def ingest_landed_series(spark: SparkSession, landing_dir: str, table_root: str,
                          available_now: bool = True, keys: Sequence[str] = KEYS):
     """Start the ingest query; with ``available_now`` it drains what is
     landed and stops (a scheduled incremental job)."""
-    checkpoint = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/landing_{abs(hash(table_root))}"
+    if checkpoint is None:
+        # stable across processes (str hash is salted per interpreter)
+        tag = hashlib.sha1(table_root.encode("utf-8")).hexdigest()[:16]
+        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/landing_{tag}"
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         typed = ds.bacen_from_raw(batch, series)

@@ -100,6 +100,11 @@ def test_publish_csv_and_per_series(spark, tmp_path):
     assert {"serie=cdi", "serie=selic"} <= set(os.listdir(tmp_path / "per"))
     out = pb.land_raw(df, str(tmp_path / "raw"), ["serie"], ["v"], stamp="20240101_000000")
     assert spark.read.json(out).count() == 2
+    raw = spark.createDataFrame([("cdi", 12, "01/02/2024", "1,5"), ("cdi", 12, "01/02/2024", "1,7"),
+                                 ("cdi", 12, "02/02/2024", "2,0")], "serie string, codigo int, data string, valor string")
+    landed = pb.land_raw(raw, str(tmp_path / "raw2"), ["codigo", "data"], ["valor"], stamp="20240102_000000")
+    back = rd.read_flat_series(spark, landed, multi_line=False)
+    assert sorted((r.data, r.valor) for r in back.collect()) == [("01/02/2024", "1,7"), ("02/02/2024", "2,0")]
 
 
 def test_upsert_partitions_rewrites_only_touched(spark, tmp_path):
