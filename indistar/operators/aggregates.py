@@ -74,15 +74,19 @@ def file_profile(df: DataFrame, keys: Sequence[str], file_col: str = "arquivo")
                  F.sum("nulos").cast("bigint").alias("celulas_nulas")))
 
 
-def avg_of_avgs(df: DataFrame, groups: Sequence[str], label: str, value: str,
-                alias: str = "media") -> DataFrame:
+def avg_of_avgs(df: DataFrame, groups: Sequence[str], label: str, value,
+                alias="media") -> DataFrame:
     """Mean per (groups, label), then mean of those means per group.
 
-    The label carries no year: unless the year is one of ``groups`` the
-    same label from different years merges into one inner mean.
+    ``value`` / ``alias`` may be lists to compute several measures in the
+    same two aggregations.  The label carries no year: unless the year is
+    one of ``groups`` the same label from different years merges into one
+    inner mean.  A label whose inner mean is null is ignored by the outer one.
     """
-    inner = df.groupBy(*groups, label).agg(F.avg(value).alias("_m"))
-    return inner.groupBy(*groups).agg(F.avg("_m").alias(alias))
+    values = [value] if isinstance(value, str) else list(value)
+    aliases = [alias] if isinstance(alias, str) else list(alias)
+    inner = df.groupBy(*groups, label).agg(*[F.avg(v).alias(f"_m{i}") for i, v in enumerate(values)])
+    return inner.groupBy(*groups).agg(*[F.avg(f"_m{i}").alias(a) for i, a in enumerate(aliases)])
 
 
 def single_value(c) -> Column:

@@ -383,6 +383,43 @@ SELECT make_date(ano, 1, 1) AS ano, CAST(sum(pop) AS BIGINT) AS populacao_total,
        CAST(sum(variacao) AS DOUBLE) AS variacao_absoluta_total
 FROM g GROUP BY ano""",
 
+    "unemployment_recipe": f"""
+WITH c AS (SELECT n.n_nationkey AS uf_id, CAST(year(o.o_orderdate) AS INTEGER) AS ano,
+                  CAST(quarter(o.o_orderdate) AS INTEGER) AS q, count(*) AS n,
+                  count(*) FILTER (WHERE o.o_orderpriority = '1-URGENT') AS u {_GEO} GROUP BY 1, 2, 3)
+SELECT make_date(ano, (q - 1) * 3 + 1, 1) AS data_referencia, ano, q AS trimestre_num,
+       CAST(q AS VARCHAR) || 'º trimestre' AS trimestre, uf_id, CAST(n AS DOUBLE) AS taxa_desocupacao_pct,
+       CASE WHEN u = 0 THEN NULL ELSE CAST(u AS DOUBLE) END AS taxa_subutilizacao_pct
+FROM c""",
+
+    "unemployment_report_recipe": f"""
+WITH c AS (SELECT n.n_nationkey AS uf_id, CAST(year(o.o_orderdate) AS INTEGER) AS ano,
+                  CAST(quarter(o.o_orderdate) AS INTEGER) AS q, count(*) AS n,
+                  count(*) FILTER (WHERE o.o_orderpriority = '1-URGENT') AS u {_GEO} GROUP BY 1, 2, 3)
+SELECT ano, uf_id, round(avg(CAST(n AS DOUBLE)), 4) AS taxa_desemprego_media_anual,
+       round(avg(CASE WHEN u = 0 THEN NULL ELSE CAST(u AS DOUBLE) END), 4) AS taxa_desocupacao_media_anual
+FROM c GROUP BY ano, uf_id""",
+
+    "cpi_recipe": r"""
+WITH c AS (SELECT r.r_regionkey AS area_ipca_id, r.r_name AS area_ipca, o.o_orderpriority,
+                  CAST(year(o.o_orderdate) AS INTEGER) AS ano, CAST(month(o.o_orderdate) AS INTEGER) AS mes,
+                  count(*) AS n, count(*) FILTER (WHERE o.o_orderstatus = 'F') AS f,
+                  count(*) FILTER (WHERE o.o_orderstatus = 'O') AS o_, count(*) FILTER (WHERE o.o_orderstatus = 'P') AS p
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+           JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+           GROUP BY 1, 2, 3, 4, 5),
+g AS (SELECT *, 7168 + TRY_CAST(regexp_extract(o_orderpriority, '^\d+') AS INTEGER) AS grupo_ipca_id,
+             replace(o_orderpriority, '-', '.') AS rotulo FROM c)
+SELECT make_date(ano, mes, 1) AS data_referencia, ano, mes, area_ipca_id, area_ipca, 'N7' AS nivel_id,
+       grupo_ipca_id,
+       CASE WHEN grupo_ipca_id = 7169 THEN 'Índice geral' ELSE regexp_replace(rotulo, '^\d+\.\s*', '') END AS grupo_ipca,
+       CASE WHEN grupo_ipca_id = 7169 THEN 0 ELSE TRY_CAST(regexp_extract(rotulo, '^\d+') AS INTEGER) END AS grupo_ipca_ordem,
+       CAST(n AS DOUBLE) AS variacao_mensal_pct,
+       CASE WHEN f = 0 THEN NULL ELSE CAST(f AS DOUBLE) END AS acumulado_ano_pct,
+       CASE WHEN o_ = 0 THEN NULL ELSE CAST(o_ AS DOUBLE) END AS acumulado_12_meses_pct,
+       CASE WHEN p = 0 THEN NULL ELSE CAST(p AS DOUBLE) END AS peso_mensal_pct
+FROM g""",
+
     "upsert_merge": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'

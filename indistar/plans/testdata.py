@@ -552,6 +552,86 @@ def resumo_ano_recipe(spark, sf_dir):
     return ds.resumo_ano(population_recipe(spark, sf_dir))
 
 
+def _unemployment_documents(spark, sf_dir) -> DataFrame:
+    """Orders per nation and quarter as two nested quarterly indicators:
+    4099 = number of orders, 4118 = urgent orders written with a decimal
+    comma ("..." when there are none).  Each series map holds one entry per
+    quarter of the span."""
+    o = _t(spark, sf_dir, "orders")
+    code = F.concat(F.year("o_orderdate").cast("string"), F.lpad(F.quarter("o_orderdate").cast("string"), 2, "0"))
+    per_c = (o.groupBy(F.col("o_custkey").alias("c_custkey"), code.alias("periodo"))
+             .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("u")))
+    cells = (per_c.join(_customer_geo(spark, sf_dir), "c_custkey", "inner")
+             .groupBy("c_nationkey", "n_name", "periodo").agg(F.sum("n").alias("n"), F.sum("u").alias("u")))
+    urgent = F.when(F.col("u") == 0, F.lit("...")).otherwise(F.concat(F.col("u").cast("string"), F.lit(",0")))
+    kv = F.explode(F.array(F.struct(F.lit("4099").alias("id"), F.col("n").cast("string").alias("valor")),
+                           F.struct(F.lit("4118").alias("id"), urgent.alias("valor"))))
+    long = cells.select("c_nationkey", "n_name", "periodo", kv.alias("kv"))
+    series = (long.groupBy(F.col("kv.id").alias("id"), "c_nationkey", "n_name")
+              .agg(F.map_from_entries(F.collect_list(F.struct("periodo", F.col("kv.valor")))).alias("serie")))
+    place = F.struct(F.col("c_nationkey").cast("string").alias("id"),
+                     F.struct(F.lit("N3").alias("id"), F.lit("UF").alias("nome")).alias("nivel"),
+                     F.col("n_name").alias("nome"))
+    result = F.struct(F.array().cast("array<struct<id:string,nome:string,categoria:map<string,string>>>")
+                      .alias("classificacoes"),
+                      F.array(F.struct(place.alias("localidade"), F.col("serie"))).alias("series"))
+    return series.select("id", F.concat(F.lit("indicador "), F.col("id")).alias("variavel"),
+                         F.lit("%").alias("unidade"), F.array(result).alias("resultados"))
+
+
+def unemployment_recipe(spark, sf_dir):
+    return ds.desemprego_uf_trimestre(fl.flatten_nested(_unemployment_documents(spark, sf_dir)))
+
+
+def unemployment_report_recipe(spark, sf_dir):
+    out = agg.avg_of_avgs(unemployment_recipe(spark, sf_dir), ["ano", "uf_id"], "trimestre",
+                          ["taxa_desocupacao_pct", "taxa_subutilizacao_pct"],
+                          ["taxa_desemprego_media_anual", "taxa_desocupacao_media_anual"])
+    return out.select("ano", "uf_id", F.round("taxa_desemprego_media_anual", 4).alias("taxa_desemprego_media_anual"),
+                      F.round("taxa_desocupacao_media_anual", 4).alias("taxa_desocupacao_media_anual"))
+
+
+def _cpi_documents(spark, sf_dir) -> DataFrame:
+    """Orders per region, priority group and month as four nested monthly
+    indicators with a group classification (id 315).  The group id is
+    7168 + the priority digit, so priority 1 is the general index."""
+    o = _t(spark, sf_dir, "orders")
+    per_c = (o.groupBy(F.col("o_custkey").alias("c_custkey"), "o_orderpriority",
+                       F.date_format("o_orderdate", "yyyyMM").alias("periodo"))
+             .agg(F.count(F.lit(1)).alias("n"),
+                  F.count_if(F.col("o_orderstatus") == "F").alias("f"),
+                  F.count_if(F.col("o_orderstatus") == "O").alias("o"),
+                  F.count_if(F.col("o_orderstatus") == "P").alias("p")))
+    cells = (per_c.join(_customer_geo(spark, sf_dir), "c_custkey", "inner")
+             .groupBy("n_regionkey", "r_name", "o_orderpriority", "periodo")
+             .agg(*[F.sum(c).alias(c) for c in ["n", "f", "o", "p"]]))
+
+    def txt(c, comma=False):
+        base = F.col(c).cast("string")
+        return F.when(F.col(c) == 0, F.lit("...")).otherwise(F.concat(base, F.lit(",0")) if comma else base)
+    kv = F.explode(F.array(F.struct(F.lit("63").alias("id"), F.col("n").cast("string").alias("valor")),
+                           F.struct(F.lit("69").alias("id"), txt("f").alias("valor")),
+                           F.struct(F.lit("2265").alias("id"), txt("o").alias("valor")),
+                           F.struct(F.lit("66").alias("id"), txt("p", comma=True).alias("valor"))))
+    long = cells.select("n_regionkey", "r_name", "o_orderpriority", "periodo", kv.alias("kv"))
+    series = (long.groupBy(F.col("kv.id").alias("id"), "n_regionkey", "r_name", "o_orderpriority")
+              .agg(F.map_from_entries(F.collect_list(F.struct("periodo", F.col("kv.valor")))).alias("serie")))
+    gid = (F.lit(fp.GENERAL_INDEX_ID - 1) + fp.leading_number("o_orderpriority")).cast("string")
+    group = F.struct(F.lit("315").alias("id"), F.lit("grupo").alias("nome"),
+                     F.create_map(gid, F.regexp_replace("o_orderpriority", "-", ".")).alias("categoria"))
+    place = F.struct(F.col("n_regionkey").cast("string").alias("id"),
+                     F.struct(F.lit("N7").alias("id"), F.lit("Area").alias("nome")).alias("nivel"),
+                     F.col("r_name").alias("nome"))
+    result = F.struct(F.array(group).alias("classificacoes"),
+                      F.array(F.struct(place.alias("localidade"), F.col("serie"))).alias("series"))
+    return series.select("id", F.concat(F.lit("indicador "), F.col("id")).alias("variavel"),
+                         F.lit("%").alias("unidade"), F.array(result).alias("resultados"))
+
+
+def cpi_recipe(spark, sf_dir):
+    return ds.ipca_area_mes(fl.flatten_nested(_cpi_documents(spark, sf_dir)))
+
+
 def date_range_filter(spark, sf_dir):
     import datetime as _dt
     lo, hi = (_dt.date.fromisoformat(d) for d in DATE_RANGE)
@@ -616,5 +696,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_range_filter": date_range_filter,
     "population_recipe": population_recipe,
     "resumo_ano_recipe": resumo_ano_recipe,
+    "unemployment_recipe": unemployment_recipe,
+    "unemployment_report_recipe": unemployment_report_recipe,
+    "cpi_recipe": cpi_recipe,
     "upsert_merge": upsert_merge,
 }
