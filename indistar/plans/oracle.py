@@ -66,6 +66,25 @@ _REGION_COLOR = """CASE {x} WHEN 'Norte' THEN '#eb6834' WHEN 'Nordeste' THEN '#e
  WHEN 'Centro-Oeste' THEN '#eda100' WHEN 'Sudeste' THEN '#2a78d6' WHEN 'Sul' THEN '#1baf7a'
  ELSE '#898781' END"""
 
+_AGE = r"""
+WITH c AS (SELECT n.n_nationkey AS uf_id, o.o_orderstatus AS st, substr(o.o_orderpriority, 1, 1) AS prio,
+                  CAST(year(o.o_orderdate) AS INTEGER) AS ano, count(*) AS n
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+           JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+           GROUP BY 1, 2, 3, 4),
+s AS (SELECT uf_id, CASE st WHEN 'F' THEN 4 ELSE 5 END AS sexo_id, CASE st WHEN 'F' THEN 'Homens' ELSE 'Mulheres' END AS sexo,
+             prio, ano, n FROM c WHERE st IN ('F', 'O')
+      UNION ALL
+      SELECT uf_id, 6794, 'Total', prio, ano, sum(n) FROM c GROUP BY uf_id, prio, ano),
+a AS (SELECT make_date(ano, 1, 1) AS data_referencia, ano, uf_id, sexo_id, sexo,
+             CASE prio WHEN '1' THEN 93070 WHEN '2' THEN 93087 WHEN '3' THEN 93091 WHEN '4' THEN 93096 ELSE 60040 END
+               AS faixa_etaria_id,
+             CASE prio WHEN '1' THEN '0 a 4 anos' WHEN '2' THEN '15 a 19 anos' WHEN '3' THEN '35 a 39 anos'
+                       WHEN '4' THEN '60 a 64 anos' ELSE 'Menos de 1 ano' END AS faixa_etaria,
+             CAST(n AS BIGINT) AS populacao FROM s),
+b AS (SELECT *, TRY_CAST(regexp_extract(faixa_etaria, '^\d+') AS INTEGER) AS faixa_etaria_ordem FROM a)
+"""
+
 ORACLE_SQL = {
     "avg_of_avgs": """
 SELECT o_orderpriority, round(avg(m), 2) AS media FROM (
@@ -420,6 +439,19 @@ SELECT make_date(ano, mes, 1) AS data_referencia, ano, mes, area_ipca_id, area_i
        CASE WHEN p = 0 THEN NULL ELSE CAST(p AS DOUBLE) END AS peso_mensal_pct
 FROM g""",
 
+    "age_band_recipe": _AGE + """
+SELECT data_referencia, ano, uf_id, sexo_id, sexo, faixa_etaria_id, faixa_etaria, faixa_etaria_ordem,
+       CASE WHEN faixa_etaria_ordem <= 14 THEN '0 a 14 anos' WHEN faixa_etaria_ordem <= 29 THEN '15 a 29 anos'
+            WHEN faixa_etaria_ordem <= 59 THEN '30 a 59 anos' ELSE '60 anos ou mais' END AS faixa_macro,
+       populacao
+FROM b""",
+
+    "age_share_recipe": _AGE + """
+SELECT data_referencia, uf_id, sexo_id, faixa_etaria_id, populacao,
+       round(100.0::DOUBLE * populacao / sum(populacao) OVER (PARTITION BY data_referencia, uf_id), 2)
+         AS participacao_uf_pct
+FROM b WHERE sexo <> 'Total'""",
+
     "upsert_merge": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'

@@ -34,6 +34,13 @@ MATRIX_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 SLICER_REGION = "AMERICA"
 PIVOT_TYPES = {"click": "click_max", "purchase": "purchase_max",
                "view": "view_max", "signup": "signup_max"}
+# Order status -> (sex id, sex label); every order also counts in "Total".
+SEX_OF_STATUS = {"F": ("4", "Homens"), "O": ("5", "Mulheres")}
+SEX_TOTAL = ("6794", "Total")
+# Priority digit -> (age class id, age label).
+AGE_OF_PRIORITY = {"1": ("93070", "0 a 4 anos"), "2": ("93087", "15 a 19 anos"),
+                   "3": ("93091", "35 a 39 anos"), "4": ("93096", "60 a 64 anos"),
+                   "5": ("60040", "Menos de 1 ano")}
 # Event types playing the four value classes of a national-accounts table.
 PERSON_TYPES = ["signup", "click"]
 MONEY_TYPES = ["purchase"]
@@ -632,6 +639,58 @@ def cpi_recipe(spark, sf_dir):
     return ds.ipca_area_mes(fl.flatten_nested(_cpi_documents(spark, sf_dir)))
 
 
+def _lookup(col, table: dict, part: int):
+    expr = None
+    for k, v in table.items():
+        expr = F.when(col == k, F.lit(v[part])) if expr is None else expr.when(col == k, F.lit(v[part]))
+    return expr
+
+
+def _age_documents(spark, sf_dir) -> DataFrame:
+    """Orders per nation, status ("sex"), priority ("age band") and year as
+    nested documents with two classifications per result, plus the Total
+    sex rows."""
+    o = _t(spark, sf_dir, "orders")
+    per_c = (o.groupBy(F.col("o_custkey").alias("c_custkey"), "o_orderstatus",
+                       F.substring("o_orderpriority", 1, 1).alias("prio"),
+                       F.year("o_orderdate").cast("string").alias("periodo"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    geo = per_c.join(_customer_geo(spark, sf_dir), "c_custkey", "inner")
+    by_sex = (geo.filter(F.col("o_orderstatus").isin(list(SEX_OF_STATUS)))
+              .groupBy("c_nationkey", "n_name", "o_orderstatus", "prio", "periodo").agg(F.sum("n").alias("n"))
+              .select("c_nationkey", "n_name", _lookup(F.col("o_orderstatus"), SEX_OF_STATUS, 0).alias("sid"),
+                      _lookup(F.col("o_orderstatus"), SEX_OF_STATUS, 1).alias("sname"), "prio", "periodo", "n"))
+    total = (geo.groupBy("c_nationkey", "n_name", "prio", "periodo").agg(F.sum("n").alias("n"))
+             .select("c_nationkey", "n_name", F.lit(SEX_TOTAL[0]).alias("sid"), F.lit(SEX_TOTAL[1]).alias("sname"),
+                     "prio", "periodo", "n"))
+    cells = by_sex.unionByName(total)
+    series = (cells.groupBy("c_nationkey", "n_name", "sid", "sname", "prio")
+              .agg(F.map_from_entries(F.collect_list(F.struct("periodo", F.col("n").cast("string")))).alias("serie")))
+    classes = F.array(
+        F.struct(F.lit("2").alias("id"), F.lit("Sexo").alias("nome"),
+                 F.create_map("sid", "sname").alias("categoria")),
+        F.struct(F.lit("287").alias("id"), F.lit("Idade").alias("nome"),
+                 F.create_map(_lookup(F.col("prio"), AGE_OF_PRIORITY, 0),
+                              _lookup(F.col("prio"), AGE_OF_PRIORITY, 1)).alias("categoria")))
+    place = F.struct(F.col("c_nationkey").cast("string").alias("id"),
+                     F.struct(F.lit("N3").alias("id"), F.lit("UF").alias("nome")).alias("nivel"),
+                     F.col("n_name").alias("nome"))
+    result = F.struct(classes.alias("classificacoes"),
+                      F.array(F.struct(place.alias("localidade"), F.col("serie"))).alias("series"))
+    return series.select(F.lit("93").alias("id"), F.lit("Populacao residente").alias("variavel"),
+                         F.lit("Pessoas").alias("unidade"), F.array(result).alias("resultados"))
+
+
+def age_band_recipe(spark, sf_dir):
+    return ds.faixa_etaria_uf(fl.flatten_nested(_age_documents(spark, sf_dir)))
+
+
+def age_share_recipe(spark, sf_dir):
+    f = age_band_recipe(spark, sf_dir).filter(F.col("sexo") != SEX_TOTAL[1])  # Total would double count
+    return wn.share_of_total(f, ["data_referencia", "uf_id"], "populacao", "participacao_uf_pct").select(
+        "data_referencia", "uf_id", "sexo_id", "faixa_etaria_id", "populacao", "participacao_uf_pct")
+
+
 def date_range_filter(spark, sf_dir):
     import datetime as _dt
     lo, hi = (_dt.date.fromisoformat(d) for d in DATE_RANGE)
@@ -699,5 +758,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unemployment_recipe": unemployment_recipe,
     "unemployment_report_recipe": unemployment_report_recipe,
     "cpi_recipe": cpi_recipe,
+    "age_band_recipe": age_band_recipe,
+    "age_share_recipe": age_share_recipe,
     "upsert_merge": upsert_merge,
 }
