@@ -82,10 +82,12 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     is added at scale; a small file with a single row group would otherwise
     run every per-row expression in one task.
     """
-    slots = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def read_csv_typed(spark: SparkSession, paths, schema: T.StructType,
