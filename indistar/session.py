@@ -41,6 +41,27 @@ def build_session(master: str | None = None, app: str = "indistar",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Scan splits and post-shuffle partitions target ``partition_bytes`` so a
+    task's working set fits executor memory; the initial shuffle partition
+    count covers the whole input at that size (at least two waves of the
+    cores) and AQE coalesces what turns out smaller and splits skewed
+    partitions of sort-merge joins.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    mb = f"{partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * partition_bytes // (1024 * 1024)}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -73,3 +73,11 @@ def test_csv_bom_and_strings(spark, tmp_path):
 def test_read_with_file_name(spark):
     df = rd.read_with_file_name(spark, os.path.join(RAW, "bacen_*.json"), "json", multiLine=True)
     assert df.select("arquivo").distinct().count() == 3
+
+
+def test_scale_conf():
+    from indistar.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 8000)
+    assert c["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
