@@ -89,7 +89,8 @@ def merge_snapshot(target: DataFrame | None, updates: DataFrame, keys: Sequence[
 
 
 def upsert(spark: SparkSession, updates: DataFrame, root: str, keys: Sequence[str],
-           fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
+           fmt: str = "parquet", partition_by: Sequence[str] = (),
+           sort_within: Sequence[str] = ()) -> str:
     """Merge ``updates`` into the published table at ``root``; return the new version.
 
     Duplicate keys inside ``updates`` are refused (an upsert batch must be a
@@ -101,7 +102,7 @@ def upsert(spark: SparkSession, updates: DataFrame, root: str, keys: Sequence[st
         raise ValueError(f"upsert batch for {root} repeats keys {list(keys)}")
     merged = merge_snapshot(read_current(spark, root, fmt), updates, keys)
     version = new_version_path(root)
-    write_table(merged, version, fmt, partition_by=partition_by)
+    write_table(merged, version, fmt, partition_by=partition_by, sort_within=sort_within)
     set_pointer(spark, root, version)
     return version
 

@@ -129,10 +129,11 @@ def run_bacen(spark: SparkSession, raw_dir: str, out_root: str,
         hist = cat.date_range(hist, "data_referencia", start, end)
     ct.assert_contract(TABLE_CONTRACTS["bacen_serie_historica"], hist)
     roots = {"bacen_serie_historica": f"{out_root.rstrip('/')}/bacen_serie_historica"}
-    pb.upsert(spark, hist, roots["bacen_serie_historica"], KEYS["bacen_serie_historica"])
+    order = ["serie_id", "data_referencia"]  # files sorted per task, no global sort
+    pb.upsert(spark, hist, roots["bacen_serie_historica"], KEYS["bacen_serie_historica"], sort_within=order)
     for name, df in ds.bacen_per_series(hist, chosen).items():
         root = f"{out_root.rstrip('/')}/bacen_{name}"
         ct.assert_contract(series_contract(name, chosen[name]["codigo"]), df)
-        pb.upsert(spark, df, root, KEYS["bacen_serie_historica"])
+        pb.upsert(spark, df, root, KEYS["bacen_serie_historica"], sort_within=order)
         roots[f"bacen_{name}"] = root
     return pb.post_load_counts(spark, roots)

@@ -88,7 +88,7 @@ def year_count_by_state(model: Model) -> DataFrame:
 def state_count_by_year_region(model: Model) -> DataFrame:
     """Q6: year x region, non-null count of state code, sorted by year."""
     p = _pop(model)
-    out = p.groupBy("ano", "regiao").agg(F.count("uf_id").alias("contagem_uf"))
+    out = p.groupBy("ano", "regiao").agg(F.count("uf_sigla").alias("contagem_uf"))
     return out.orderBy("ano", "regiao")
 
 
