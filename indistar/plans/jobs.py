@@ -137,3 +137,19 @@ def run_bacen(spark: SparkSession, raw_dir: str, out_root: str,
         pb.upsert(spark, df, root, KEYS["bacen_serie_historica"], sort_within=order)
         roots[f"bacen_{name}"] = root
     return pb.post_load_counts(spark, roots)
+
+
+def load_csv_tables(spark: SparkSession, csv_root: str, out_root: str,
+                    tables: Iterable[str] | str | None = None) -> DataFrame:
+    """CSV extracts -> warehouse tables by full refresh.
+
+    Every selected file is read with its contract schema (a missing file or
+    a header that differs from the contract fails here), every contract is
+    checked, and only then each table is switched; returns post-load counts.
+    """
+    chosen = sn.select_datasets(TABLE_CONTRACTS, tables)
+    frames = {name: (rd.read_csv_typed(spark, f"{csv_root.rstrip('/')}/{name}", c.schema), c)
+              for name, c in chosen.items()}
+    dims = {"dim_uf": frames["dim_uf"][0] if "dim_uf" in frames else cat.state_dimension(spark)}
+    versions = pb.full_refresh(spark, frames, out_root, dims=dims)
+    return pb.post_load_counts(spark, {n: f"{out_root.rstrip('/')}/{n}" for n in versions})

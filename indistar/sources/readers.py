@@ -95,6 +95,7 @@ def read_csv_typed(spark: SparkSession, paths, schema: T.StructType,
     """Header CSV with a declared schema (UTF-8 BOM in the header is tolerated)."""
     return (spark.read.schema(schema)
             .option("header", True)
+            .option("enforceSchema", False)  # header names must match the schema
             .option("encoding", "UTF-8")
             .option("dateFormat", date_format)
             .option("mode", mode)

@@ -32,6 +32,13 @@ def test_run_ibge_end_to_end(spark, landing, tmp_path):
              jobs.run_ibge(spark, str(landing), str(tmp_path / "work"), str(tmp_path / "wh")).collect()}
     assert again == counts
     assert os.path.isdir(tmp_path / "csv" / "ipca_area_mes")
+    names = ["dim_uf", "populacao_municipio", "PIB_pessoas", "PIB_financeiro", "PIB_percentual",
+             "faixa_etaria_uf", "desemprego_uf_trimestre", "ipca_area_mes"]
+    loaded = {r.tabela: r.linhas for r in
+              jobs.load_csv_tables(spark, str(tmp_path / "csv"), str(tmp_path / "pg"), names).collect()}
+    assert loaded == {n: counts[n] for n in names}
+    with pytest.raises(Exception):
+        jobs.load_csv_tables(spark, str(tmp_path / "csv"), str(tmp_path / "pg"), ["bacen_serie_historica"])
 
 
 def test_run_ibge_selection_and_unknown(spark, landing, tmp_path):
