@@ -38,7 +38,7 @@ def share_of_total(df: DataFrame, partition: Sequence[str], value: str,
                    share_name: str = "participacao_pct", digits: int | None = 2) -> DataFrame:
     """``100 * value / sum(value)`` within each partition."""
     total = F.sum(value).over(Window.partitionBy(*partition))
-    share = F.lit(100.0) * F.col(value) / total
+    share = F.try_divide(F.lit(100.0) * F.col(value), total)  # null for a zero total
     if digits is not None:
         share = F.round(share, digits)
     return df.withColumn(share_name, share)
