@@ -65,14 +65,18 @@ def scale_conf(input_bytes: int, total_cores: int,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster setting always wins.  Only when it is unset (local tests) a
-    private scratch folder is created and registered.
+    The cluster setting always wins.  Only when it is unset and the master is
+    ``local[...]`` (tests) a private scratch folder is created; on a cluster
+    an unset value is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints in a "
+                           "machine-local folder do not survive the loss of an executor")
     local = tempfile.mkdtemp(prefix="indistar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
