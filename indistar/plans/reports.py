@@ -127,3 +127,34 @@ def dropdown(model: Model, column: str) -> DataFrame:
     """Q13-Q15 (and the Q12 year list): distinct sorted slicer values."""
     src = _pop(model)
     return agg.value_list(src, column)
+
+
+def population_page(model: Model, years: Sequence[int] | None = tuple(DEFAULT_YEARS),
+                    regions: Sequence[str] | None = None, states: Sequence[str] | None = None,
+                    municipalities: Sequence[str] | None = None,
+                    cpi_years: Sequence[int] = ()) -> dict[str, DataFrame]:
+    """Every visual of the population page under its slicers (Q12-Q15).
+
+    The year slicer reaches the municipal fact through the yearly summary
+    (two hops); region / state / municipality slicers filter the municipal
+    fact.  The unemployment and CPI visuals are not related to those
+    slicers in the model and ignore them.
+    """
+    m = year_slicer(model, list(years) if years else None)
+    for column, values in (("regiao", regions), ("uf_sigla", states), ("municipio_nome", municipalities)):
+        if values:
+            m = attribute_slicer(m, column, values)
+    visuals = {
+        "populacao_por_regiao": population_by_region(m),
+        "media_populacao_por_uf": mean_population_by_state(m),
+        "contagem_ano_por_uf": year_count_by_state(m),
+        "contagem_uf_por_ano_regiao": state_count_by_year_region(m),
+        "cartoes": cards(m),
+        "desemprego_por_uf": unemployment_by_state(model),
+        "lista_regioes": dropdown(model, "regiao"),
+        "lista_ufs": dropdown(model, "uf_sigla"),
+        "lista_municipios": dropdown(model, "municipio_nome"),
+    }
+    if cpi_years:
+        visuals["matriz_ipca"] = cpi_matrix(model, cpi_years)
+    return visuals

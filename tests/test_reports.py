@@ -54,3 +54,12 @@ def test_cpi_matrix(model):
     m = rp.cpi_matrix(model, [2024])
     rows = {(r.nivel, r.grupo_ipca): r.ano_2024 for r in m.collect()}
     assert rows[(0, "Índice geral")] == 4.5 and rows[(3, None)] == 4.5
+
+
+def test_population_page_defaults(model):
+    page = rp.population_page(model, regions=["Sudeste", "Norte"], cpi_years=[2024])
+    reg = {r.regiao: r.populacao for r in page["populacao_por_regiao"].collect()}
+    assert reg == {"Sudeste": 12396372, "Norte": 22516}      # year 2021 by default
+    cards = {r.cartao: r.valor for r in page["cartoes"].collect()}
+    assert cards["qtd_municipios"] == 4                      # summary is not filtered by region
+    assert page["lista_municipios"].count() == 4 and "matriz_ipca" in page
