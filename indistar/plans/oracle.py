@@ -85,6 +85,17 @@ a AS (SELECT make_date(ano, 1, 1) AS data_referencia, ano, uf_id, sexo_id, sexo,
 b AS (SELECT *, TRY_CAST(regexp_extract(faixa_etaria, '^\d+') AS INTEGER) AS faixa_etaria_ordem FROM a)
 """
 
+_NATIONAL = """
+WITH y AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, count(*) AS n, sum(o_totalprice) AS total,
+                  sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS faturado,
+                  count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS u
+           FROM orders GROUP BY 1),
+v AS (SELECT 93 AS variavel_id, 'Pedidos' AS variavel_nome, 'Mil pedidos' AS unidade, ano, CAST(n AS DOUBLE) AS valor FROM y
+      UNION ALL SELECT 9808, 'Valor total', 'USD', ano, round(total, 2) FROM y
+      UNION ALL SELECT 9809, 'Valor faturado', 'USD', ano, round(faturado, 2) FROM y
+      UNION ALL SELECT 9810, 'Pedidos urgentes', '%', ano, CAST(u AS DOUBLE) FROM y)
+"""
+
 ORACLE_SQL = {
     "avg_of_avgs": """
 SELECT o_orderpriority, round(avg(m), 2) AS media FROM (
@@ -452,6 +463,16 @@ SELECT data_referencia, uf_id, sexo_id, faixa_etaria_id, populacao,
          AS participacao_uf_pct
 FROM b WHERE sexo <> 'Total'""",
 
+    "pib_money_recipe": _NATIONAL + """
+SELECT variavel_id, variavel_nome, unidade, make_date(ano, 1, 1) AS data_referencia, ano,
+       CAST(valor AS DECIMAL(20,2)) AS valor_financeiro
+FROM v WHERE variavel_id IN (9808, 9809, 9812, 9813)""",
+
+    "pib_long_recipe": _NATIONAL + """
+SELECT variavel_id, variavel_nome, unidade, 1 AS pais_id, 'Total' AS pais_nome, 'N1' AS nivel_id,
+       'Total' AS nivel_nome, ano, make_date(ano, 1, 1) AS data_referencia, valor
+FROM v""",
+
     "upsert_merge": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'

@@ -691,6 +691,46 @@ def age_share_recipe(spark, sf_dir):
         "data_referencia", "uf_id", "sexo_id", "faixa_etaria_id", "populacao", "participacao_uf_pct")
 
 
+# National variables built from orders: (id, name, unit).
+NATIONAL_VARIABLES = [("93", "Pedidos", "Mil pedidos"), ("9808", "Valor total", "USD"),
+                      ("9809", "Valor faturado", "USD"), ("9810", "Pedidos urgentes", "%")]
+
+
+def _national_documents(spark, sf_dir) -> DataFrame:
+    """Yearly national totals of orders as one nested document element per
+    variable (persons, two money values and a percentage-class value)."""
+    o = _t(spark, sf_dir, "orders")
+    y = (o.groupBy(F.year("o_orderdate").cast("string").alias("periodo"))
+         .agg(F.count(F.lit(1)).alias("n"),
+              F.sum("o_totalprice").alias("total"),
+              F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("faturado"),
+              F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("u")))
+    money = lambda c: F.coalesce(F.format_string("%.2f", F.col(c)), F.lit("..."))
+    kv = F.explode(F.array(F.struct(F.lit("93").alias("id"), F.col("n").cast("string").alias("valor")),
+                           F.struct(F.lit("9808").alias("id"), money("total").alias("valor")),
+                           F.struct(F.lit("9809").alias("id"), money("faturado").alias("valor")),
+                           F.struct(F.lit("9810").alias("id"), F.col("u").cast("string").alias("valor"))))
+    long = y.select("periodo", kv.alias("kv"))
+    series = (long.groupBy(F.col("kv.id").alias("id"))
+              .agg(F.map_from_entries(F.collect_list(F.struct("periodo", F.col("kv.valor")))).alias("serie")))
+    names = spark.createDataFrame(NATIONAL_VARIABLES, "id string, variavel string, unidade string")
+    place = F.struct(F.lit("1").alias("id"), F.struct(F.lit("N1").alias("id"), F.lit("Total").alias("nome")).alias("nivel"),
+                     F.lit("Total").alias("nome"))
+    result = F.struct(F.array().cast("array<struct<id:string,nome:string,categoria:map<string,string>>>")
+                      .alias("classificacoes"),
+                      F.array(F.struct(place.alias("localidade"), F.col("serie"))).alias("series"))
+    return (jn.attach_dimension(series, names, "id", "inner")
+            .select("id", "variavel", "unidade", F.array(result).alias("resultados")))
+
+
+def pib_money_recipe(spark, sf_dir):
+    return ds.pib_tables(fl.flatten_nested(_national_documents(spark, sf_dir)))["PIB_financeiro"]
+
+
+def pib_long_recipe(spark, sf_dir):
+    return ds.pib_brasil_ano(fl.flatten_nested(_national_documents(spark, sf_dir)))
+
+
 def date_range_filter(spark, sf_dir):
     import datetime as _dt
     lo, hi = (_dt.date.fromisoformat(d) for d in DATE_RANGE)
@@ -760,5 +800,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cpi_recipe": cpi_recipe,
     "age_band_recipe": age_band_recipe,
     "age_share_recipe": age_share_recipe,
+    "pib_money_recipe": pib_money_recipe,
+    "pib_long_recipe": pib_long_recipe,
     "upsert_merge": upsert_merge,
 }
