@@ -22,12 +22,22 @@ SERIES = {
     "dolar_venda": {"codigo": 1, "nome": "Taxa de câmbio - dólar americano (venda)", "unidade": "R$/US$", "periodicidade": "diaria"},
 }
 
+AGE_CATEGORIES = ("93070,93084,93085,93086,93087,93088,93089,93090,93091,"
+                  "93092,93093,93094,93095,93096,93097,93098,49108,49109,"
+                  "60040,60041,6653")
+CPI_GROUPS = "7169,7170,7445,7486,7558,7625,7660,7712,7766,7786"
 INDICATORS = {
-    "populacao": {"agregado": "6579", "periodos": "2012-2021", "variaveis": "9324", "nivel": "N6", "periodicidade": "anual"},
-    "pib": {"agregado": "6784", "periodos": "2012-2021", "variaveis": "all", "nivel": "N1", "periodicidade": "anual"},
-    "faixa_etaria": {"agregado": "9514", "periodos": "2022", "variaveis": "93", "nivel": "N3", "periodicidade": "anual"},
-    "desemprego": {"agregado": "4099", "periodos": "all", "variaveis": "4099,4118", "nivel": "N3", "periodicidade": "trimestral"},
-    "ipca": {"agregado": "7060", "periodos": "all", "variaveis": "63,69,2265,66", "nivel": "N7", "periodicidade": "mensal"},
+    "populacao": {"agregado": "6579", "periodos": "2012-2021", "variaveis": "9324",
+                  "localidades": "N6[all]", "classificacao": None},
+    "pib": {"agregado": "6784", "periodos": "2012-2021", "variaveis": "all",
+            "localidades": "N1[all]", "classificacao": None},
+    "faixa_etaria": {"agregado": "9514", "periodos": "2022", "variaveis": "93",
+                     "localidades": "N3[all]",
+                     "classificacao": f"2[6794,4,5]|287[{AGE_CATEGORIES}]|286[113635]"},
+    "desemprego": {"agregado": "4099", "periodos": "all", "variaveis": "4099,4118",
+                   "localidades": "N3[all]", "classificacao": None},
+    "ipca": {"agregado": "7060", "periodos": "all", "variaveis": "63,69,2265,66",
+             "localidades": "N7[all]", "classificacao": f"315[{CPI_GROUPS}]"},
 }
 
 # State dimension: (uf_id, uf_sigla, uf_nome, regiao).
@@ -91,10 +101,11 @@ def series_catalog(spark: SparkSession, series: dict | None = None) -> DataFrame
 
 def indicator_catalog(spark: SparkSession, indicators: dict | None = None) -> DataFrame:
     indicators = INDICATORS if indicators is None else indicators
-    rows = [(name, c["agregado"], c["periodos"], c["variaveis"], c["nivel"], c["periodicidade"])
+    rows = [(name, c["agregado"], c["periodos"], c["variaveis"], c["localidades"], c["classificacao"])
             for name, c in indicators.items()]
     return spark.createDataFrame(
-        rows, "dataset string, agregado string, periodos string, variaveis string, nivel string, periodicidade string")
+        rows, "dataset string, agregado string, periodos string, variaveis string, localidades string, "
+              "classificacao string")
 
 
 def date_range(df: DataFrame, date_col: str, start=None, end=None) -> DataFrame:
