@@ -183,6 +183,11 @@ SELECT CAST(ascii(o_orderstatus) AS INTEGER) AS variavel_id, 'status ' || o_orde
        CAST(NULL AS VARCHAR) AS sem_chave
 FROM x""",
 
+    "category_lookup": _NESTED_BASE + """
+SELECT CAST(x.o_orderkey AS VARCHAR) AS localidade_id, x.periodo, CAST(o.o_custkey AS VARCHAR) AS cliente_id,
+       'cliente' AS cliente_nome, substr(x.o_orderpriority, 1, 1) AS prio_id, CAST(NULL AS VARCHAR) AS sem_valor
+FROM x JOIN orders o ON x.o_orderkey = o.o_orderkey""",
+
     "catalog_profile": """
 WITH o AS (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW')
 SELECT CAST(ascii(o_orderstatus) AS INTEGER) AS variavel_id, 'status ' || o_orderstatus AS variavel_nome,
@@ -228,6 +233,16 @@ SELECT c.serie_id, c.serie, c.indicador, c.unidade, c.periodicidade, r.data_refe
        CAST(year(r.data_referencia) AS SMALLINT) AS ano, CAST(month(r.data_referencia) AS SMALLINT) AS mes, r.valor
 FROM r JOIN cat c ON r.serie = c.serie WHERE r.rn = 1""",
 
+    "constant_cols": """
+WITH cat(serie, serie_id, indicador, unidade, periodicidade) AS (VALUES
+  ('click', 1, 'Cliques', 'eventos', 'diaria'),
+  ('error', 2, 'Erros', 'eventos', 'diaria'),
+  ('purchase', 3, 'Compras', 'USD', 'diaria'),
+  ('signup', 4, 'Cadastros', 'eventos', 'diaria'),
+  ('view', 5, 'Visualizacoes', 'eventos', 'diaria'))
+SELECT e.event_id, e.event_type AS serie, c.serie_id, c.indicador, c.unidade, c.periodicidade
+FROM events e LEFT JOIN cat c ON e.event_type = c.serie""",
+
     "pivot_long_wide": _PIVOT,
 
     "dedup_last": """

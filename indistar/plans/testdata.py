@@ -207,6 +207,17 @@ def nested_flatten(spark, sf_dir):
                        missing["key"].alias("sem_chave"))
 
 
+def category_lookup(spark, sf_dir):
+    """First matching classification -> first (id, label) of its categories,
+    for a present ('cli'), a second present ('prio') and an absent id."""
+    long = fl.flatten_nested(_nested_orders(spark, sf_dir))
+    cli = fl.category_of("classificacoes", "cli")
+    prio = fl.category_of("classificacoes", "prio")
+    none = fl.category_of("classificacoes", "inexistente")
+    return long.select("localidade_id", "periodo", cli["key"].alias("cliente_id"), cli["value"].alias("cliente_nome"),
+                       prio["key"].alias("prio_id"), none["value"].alias("sem_valor"))
+
+
 def catalog_profile(spark, sf_dir):
     return fl.catalog_profile(_nested_orders(spark, sf_dir))
 
@@ -268,6 +279,15 @@ def union_series(spark, sf_dir):
                        parts["ano"].alias("ano"), parts["mes"].alias("mes"), "valor")
 
 
+def constant_cols(spark, sf_dir):
+    """Constant per-series columns attached from a broadcast catalog."""
+    e = _t(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("serie"))
+    catalog = spark.createDataFrame(
+        EVENT_SERIES, "serie string, serie_id int, indicador string, unidade string, periodicidade string")
+    return jn.attach_dimension(e, catalog, "serie", "left").select(
+        "event_id", "serie", "serie_id", "indicador", "unidade", "periodicidade")
+
+
 def pivot_long_wide(spark, sf_dir):
     e = _t_rowwork(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("dia"), "event_type", "value")
     return rs.pivot_values(e, ["user_id", "dia"], "event_type", PIVOT_TYPES, "value")
@@ -760,12 +780,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_label": group_label,
     "macro_band": macro_band,
     "nested_flatten": nested_flatten,
+    "category_lookup": category_lookup,
     "catalog_profile": catalog_profile,
     "map_flatten": map_flatten,
     "split_persons": split_persons,
     "split_money": split_money,
     "split_percent": split_percent,
     "union_series": union_series,
+    "constant_cols": constant_cols,
     "pivot_long_wide": pivot_long_wide,
     "dedup_last": dedup_last,
     "dup_key_report": dup_key_report,
