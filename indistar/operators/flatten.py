@@ -34,20 +34,26 @@ def flatten_nested(raw: DataFrame, carry: list[str] | None = None,
         F.col("id").try_cast("int").alias("variavel_id"),
         F.col("variavel").alias("variavel_nome"),
         "unidade", *carry,
-        F.explode("resultados").alias("resultado"))
+        F.explode_outer("resultados").alias("resultado"))
+    # explode_outer + an explicit null filter drops the same rows as explode
+    # (null/empty lists, and null elements vanish at the next level) but keeps
+    # Catalyst from inferring a size() filter that re-evaluates a computed
+    # document expression below the scan
+    v = v.filter(F.col("resultado").isNotNull())
     if spread:
         v = v.repartition(spread)
     s = v.select(
         "variavel_id", "variavel_nome", "unidade", *carry,
         F.col("resultado.classificacoes").alias("classificacoes"),
-        F.explode("resultado.series").alias("serie_item"))
+        F.explode_outer("resultado.series").alias("serie_item")).filter(F.col("serie_item").isNotNull())
     return (s.select(
         "variavel_id", "variavel_nome", "unidade", *carry, "classificacoes",
         F.col("serie_item.localidade.id").alias("localidade_id"),
         F.col("serie_item.localidade.nome").alias("localidade_nome"),
         F.col("serie_item.localidade.nivel.id").alias("nivel_id"),
         F.col("serie_item.localidade.nivel.nome").alias("nivel_nome"),
-        F.explode("serie_item.serie").alias("periodo", "valor_original"))
+        F.explode_outer("serie_item.serie").alias("periodo", "valor_original"))
+        .filter(F.col("periodo").isNotNull())
         .withColumn("valor", parse_number("valor_original")))
 
 
