@@ -78,3 +78,21 @@ def test_struct_expand_and_dedup_any(spark):
     e = fl.expand_struct(df, "s", "s_")
     assert e.columns == ["id", "s_a", "s_b"]
     assert rs.dedup_any(e, ["id"]).count() == 1
+
+
+def test_share_hot_and_null_partitions_without_window(spark, skewed):
+    pdf, df = skewed
+    rows = df.select(F.when(F.col("k") == 5, F.lit(None)).otherwise(F.col("k")).alias("k"), "seq", "v")
+    out = wn.share_of_total(rows, ["k"], "v", digits=None)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    got = {r.seq: r.participacao_pct for r in out.collect()}
+    keyed = pdf.assign(k=pdf.k.where(pdf.k != 5, -1))         # null keys form one group, as in a window
+    tot = keyed.groupby("k").v.transform("sum")
+    want = (100.0 * keyed.v / tot).where(tot != 0)            # zero total -> null
+    for seq, w in zip(keyed.seq, want):
+        if pd.isna(w):
+            assert got[seq] is None
+        else:
+            assert got[seq] == pytest.approx(w)
+    assert out.count() == len(pdf)
