@@ -497,3 +497,21 @@ WHERE o_orderdate < TIMESTAMP '1999-01-01'
   AND NOT EXISTS (SELECT 1 FROM orders u WHERE u.o_orderdate >= TIMESTAMP '1998-01-01'
                                            AND u.o_orderkey = t.o_orderkey)""",
 }
+
+# File round trips: the landed-and-read-back recipes equal their in-memory
+# twins; the CSV import equals the source columns with the junk tokens nulled.
+ORACLE_SQL["landed_nested_recipe"] = ORACLE_SQL["population_recipe"]
+ORACLE_SQL["landed_series_recipe"] = ORACLE_SQL["union_series"]
+ORACLE_SQL["csv_typed_import"] = """
+SELECT c_custkey, c_name,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE CAST(c_nationkey AS INTEGER) END AS c_nationkey,
+       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE CAST(printf('%.2f', c_acctbal) AS DECIMAL(12,2)) END
+         AS c_acctbal,
+       c_mktsegment
+FROM customer"""
+ORACLE_SQL["csv_cast_failures"] = """
+SELECT CAST(0 AS BIGINT) AS c_custkey, CAST(0 AS BIGINT) AS c_name,
+       CAST(count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS BIGINT) AS c_nationkey,
+       CAST(count(*) FILTER (WHERE c_mktsegment = 'HOUSEHOLD') AS BIGINT) AS c_acctbal,
+       CAST(0 AS BIGINT) AS c_mktsegment
+FROM customer"""

@@ -9,6 +9,7 @@ DuckDB SQL over the same tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from ..operators import reshape as rs
 from ..operators import windows as wn
 from ..sources import catalog as cat
 from ..sources import readers as rd
+from ..session import checkpoint_dir
 from . import datasets as ds
 
 # Fixed parameters of the report queries over TESTDATA.
@@ -56,6 +58,8 @@ EVENT_SERIES = [
 DATE_RANGE = ("1996-03-01", "1997-06-30")
 UPSERT_TARGET_BEFORE = "1999-01-01"
 UPSERT_UPDATES_FROM = "1998-01-01"
+# Day from which the second (re-)extraction of the event series starts.
+SECOND_EXTRACTION_FROM = "2024-01-16"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -767,6 +771,93 @@ def upsert_merge(spark, sf_dir):
     return pb.merge_snapshot(target, updates, ["o_orderkey"]).drop("o_orderdate")
 
 
+# ------------------------------------------------------ file round trips --
+# Data derived from TESTDATA is landed as files in a fresh folder under the
+# shared checkpoint folder and read back by the library's own readers, so
+# the file connectors run over data that grows with the tables.
+
+def _landing_folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/landing/{name}_{uuid.uuid4().hex}"
+
+
+def landed_nested_recipe(spark, sf_dir):
+    """Population documents landed as JSON (one variable element per line)
+    and read back by the nested-document reader with its explicit schema;
+    the result equals ``population_recipe``."""
+    folder = _landing_folder(spark, "populacao")
+    _population_documents(spark, sf_dir).write.mode("error").json(folder)
+    raw = rd.read_nested(spark, folder, mode="FAILFAST", with_file=False, multi_line=False)
+    return ds.populacao_municipio(fl.flatten_nested(raw))
+
+
+EVENT_SERIES_CATALOG = {s: {"codigo": sid, "nome": ind, "unidade": u, "periodicidade": p}
+                        for s, sid, ind, u, p in EVENT_SERIES}
+
+
+def landed_series_recipe(spark, sf_dir):
+    """Daily event series landed as raw flat records ``{serie, codigo, data,
+    valor}`` in two extractions (all days, then the days from
+    ``SECOND_EXTRACTION_FROM`` again), each de-duplicated and sorted by the
+    raw landing step; both are read back by one multi-path scan carrying
+    file name and time, typed, and de-duplicated across files (the newest
+    file wins).  The result equals ``union_series``."""
+    e = _t_rowwork(spark, sf_dir, "events")
+    codes = spark.createDataFrame([(s, sid) for s, sid, *_ in EVENT_SERIES], "serie string, codigo int")
+    raw = jn.attach_dimension(
+        e.select(F.col("event_type").alias("serie"),
+                 F.date_format("ts", "dd/MM/yyyy").alias("data"),
+                 F.regexp_replace(F.format_string("%.2f", F.col("value")), r"\.", ",").alias("valor"),
+                 "ts", "event_id"),
+        codes, "serie", "inner")
+    root = _landing_folder(spark, "series")
+    first = pb.land_raw(raw, root, ["codigo", "data"], ["ts", "event_id"], stamp="1")
+    again = raw.filter(F.to_date("ts") >= F.lit(SECOND_EXTRACTION_FROM).cast("date"))
+    second = pb.land_raw(again, root, ["codigo", "data"], ["ts", "event_id"], stamp="2")
+    landed = rd.read_flat_series(spark, [first, second], mode="FAILFAST", multi_line=False)
+    return ds.bacen_from_raw(landed, EVENT_SERIES_CATALOG)
+
+
+CUSTOMER_CSV_CONTRACT = ct.Contract(
+    name="clientes_csv",
+    schema=T.StructType([
+        T.StructField("c_custkey", T.LongType()),
+        T.StructField("c_name", T.StringType()),
+        T.StructField("c_nationkey", T.IntegerType()),
+        T.StructField("c_acctbal", T.DecimalType(12, 2)),
+        T.StructField("c_mktsegment", T.StringType()),
+    ]),
+    key=["c_custkey"],
+)
+
+
+def _customer_csv(spark, sf_dir) -> DataFrame:
+    """Customers written as a header CSV of texts (junk tokens in two
+    columns for two segments) and read back as strings."""
+    c = _t(spark, sf_dir, "customer")
+    seg = F.col("c_mktsegment")
+    text = c.select(
+        F.col("c_custkey").cast("string").alias("c_custkey"), "c_name",
+        F.when(seg == "BUILDING", F.lit("n/d")).otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"),
+        F.when(seg == "HOUSEHOLD", F.lit("...")).otherwise(F.format_string("%.2f", F.col("c_acctbal")))
+        .alias("c_acctbal"),
+        "c_mktsegment")
+    folder = _landing_folder(spark, "clientes_csv")
+    pb.write_table(text, folder, fmt="csv", mode="error")
+    return rd.read_csv_strings(spark, folder, CUSTOMER_CSV_CONTRACT.columns)
+
+
+def csv_typed_import(spark, sf_dir):
+    """Typed CSV import: every column converted by the contract's type."""
+    typed, _ = ct.typed_by_contract(CUSTOMER_CSV_CONTRACT, _customer_csv(spark, sf_dir))
+    return typed
+
+
+def csv_cast_failures(spark, sf_dir):
+    """Per column, the non-empty texts the contract's type rejects."""
+    _, fails = ct.typed_by_contract(CUSTOMER_CSV_CONTRACT, _customer_csv(spark, sf_dir))
+    return fails
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_of_avgs": avg_of_avgs,
     "avg_of_avgs_by_year": avg_of_avgs_by_year,
@@ -825,4 +916,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pib_money_recipe": pib_money_recipe,
     "pib_long_recipe": pib_long_recipe,
     "upsert_merge": upsert_merge,
+    "landed_nested_recipe": landed_nested_recipe,
+    "landed_series_recipe": landed_series_recipe,
+    "csv_typed_import": csv_typed_import,
+    "csv_cast_failures": csv_cast_failures,
 }

@@ -50,9 +50,13 @@ def read_json_documents(spark: SparkSession, paths, schema: T.StructType,
 
 
 def read_nested(spark: SparkSession, paths, mode: str = "PERMISSIVE",
-                with_file: bool = True) -> DataFrame:
-    """Nested indicator documents: one row per variable element."""
-    return read_json_documents(spark, paths, NESTED_VARIABLE_SCHEMA, mode, with_file)
+                with_file: bool = True, multi_line: bool = True) -> DataFrame:
+    """Nested indicator documents: one row per variable element.
+
+    ``multi_line=False`` reads JSON Lines (one element per line, as Spark's
+    own JSON writer lands them), which splits across tasks.
+    """
+    return read_json_documents(spark, paths, NESTED_VARIABLE_SCHEMA, mode, with_file, multi_line)
 
 
 def read_flat_series(spark: SparkSession, paths, mode: str = "PERMISSIVE",

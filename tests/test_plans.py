@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+import re
 
 import pytest
 
@@ -54,3 +55,11 @@ def test_growing_tables_not_hinted(spark):
         assert "SortMergeJoin" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_landed_snapshots_read_by_one_scan(spark):
+    """Both landed extractions come back through ONE multi-path JSON scan
+    (no per-file union chain) that reads only the record fields it needs."""
+    plan = _plan(entry.queries()["landed_series_recipe"](spark, SF))
+    assert len(re.findall(r"^\(\d+\) Scan json", plan, re.M)) == 1 and "Union" not in plan
+    assert "ReadSchema: struct<serie:string,codigo:int,data:string,valor:string>" in plan
