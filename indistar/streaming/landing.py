@@ -42,9 +42,17 @@ def landed_series_stream(spark: SparkSession, landing_dir: str, max_files_per_tr
 
 def ingest_landed_series(spark: SparkSession, landing_dir: str, table_root: str,
                          checkpoint: str | None = None, series: dict | None = None,
-                         available_now: bool = True, keys: Sequence[str] = KEYS):
+                         available_now: bool = True, keys: Sequence[str] = KEYS,
+                         partition_by: Sequence[str] | None = None):
     """Start the ingest query; with ``available_now`` it drains what is
-    landed and stops (a scheduled incremental job)."""
+    landed and stops (a scheduled incremental job).
+
+    By default each micro-batch produces a new version of the whole table
+    (pointer switch).  For a large table pass ``partition_by`` (e.g.
+    ``["ano"]``, a function of the key date): ``table_root`` is then a plain
+    partitioned Parquet folder and a micro-batch rewrites only the
+    partitions its keys fall in.
+    """
     if checkpoint is None:
         # stable across processes (str hash is salted per interpreter)
         tag = hashlib.sha1(table_root.encode("utf-8")).hexdigest()[:16]
@@ -52,7 +60,10 @@ def ingest_landed_series(spark: SparkSession, landing_dir: str, table_root: str,
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         typed = ds.bacen_from_raw(batch, series)
-        pb.upsert(batch.sparkSession, typed, table_root, list(keys))
+        if partition_by:
+            pb.upsert_partitions(batch.sparkSession, typed, table_root, list(keys), list(partition_by))
+        else:
+            pb.upsert(batch.sparkSession, typed, table_root, list(keys))
 
     writer = (landed_series_stream(spark, landing_dir)
               .writeStream.foreachBatch(merge_batch)
