@@ -3,7 +3,7 @@
 Dimensions of a fixed, known size (the 27-state table, a calendar over a
 date span, a window table) are broadcast by hint.  A side whose size
 depends on the data is broadcast only after ``bounded`` proves a row bound
-with a cheap ``limit(n+1).count()``; otherwise the plain join is left to
+with a distributed count; otherwise the plain join is left to
 the planner (sort-merge, or a runtime broadcast/skew split chosen by AQE
 from real shuffle statistics).
 """
@@ -20,8 +20,13 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most n+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    An exact count with partial counts per task: every task sends one
+    number.  (``limit(n + 1).count()`` would instead move up to n + 1 rows
+    of EVERY task through a single-partition exchange into one task.)
+    """
+    return df.count() <= max_rows
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
