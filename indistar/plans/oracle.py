@@ -502,6 +502,7 @@ WHERE o_orderdate < TIMESTAMP '1999-01-01'
 # twins; the CSV import equals the source columns with the junk tokens nulled.
 ORACLE_SQL["landed_nested_recipe"] = ORACLE_SQL["population_recipe"]
 ORACLE_SQL["landed_series_recipe"] = ORACLE_SQL["union_series"]
+ORACLE_SQL["per_series_csv"] = ORACLE_SQL["union_series"]
 ORACLE_SQL["csv_typed_import"] = """
 SELECT c_custkey, c_name,
        CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE CAST(c_nationkey AS INTEGER) END AS c_nationkey,

@@ -858,6 +858,29 @@ def csv_cast_failures(spark, sf_dir):
     return fails
 
 
+PER_SERIES_CSV_SCHEMA = T.StructType([
+    T.StructField("serie_id", T.IntegerType()),
+    T.StructField("indicador", T.StringType()),
+    T.StructField("unidade", T.StringType()),
+    T.StructField("periodicidade", T.StringType()),
+    T.StructField("data_referencia", T.DateType()),
+    T.StructField("ano", T.ShortType()),
+    T.StructField("mes", T.ShortType()),
+    T.StructField("valor", T.DecimalType(20, 8)),
+])
+
+
+def per_series_csv(spark, sf_dir):
+    """The typed daily series written as one header-CSV folder per series by
+    one ``partitionBy`` job, then read back with the declared schema: the
+    series name returns from the folder names (partition discovery)."""
+    folder = _landing_folder(spark, "por_serie")
+    pb.write_per_series(union_series(spark, sf_dir), folder, series_col="serie", fmt="csv",
+                        sort_within=["serie", "data_referencia"])
+    back = rd.read_csv_typed(spark, folder, PER_SERIES_CSV_SCHEMA)
+    return back.select("serie_id", "serie", *[c for c in PER_SERIES_CSV_SCHEMA.fieldNames() if c != "serie_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_of_avgs": avg_of_avgs,
     "avg_of_avgs_by_year": avg_of_avgs_by_year,
@@ -920,4 +943,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_series_recipe": landed_series_recipe,
     "csv_typed_import": csv_typed_import,
     "csv_cast_failures": csv_cast_failures,
+    "per_series_csv": per_series_csv,
 }
