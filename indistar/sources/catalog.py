@@ -136,23 +136,39 @@ def window_table(bounds: DataFrame, start_col: str = "inicio", end_col: str = "f
     """Contiguous inclusive windows of ``years`` years covering each bound row.
 
     ``bounds`` has one row per series (optional ``keys``) with a start and an
-    end date.  Window i starts ``years*i`` years after the start and ends the
-    day before the next one, the last one clipped to the end.  A 29-Feb start
-    is followed by windows anchored on 28-Feb, as a year-replacement chain
-    would give.  The table holds ``ceil(span/years)`` rows per series.
+    end date.  Each window starts on the ``years``-th anniversary of the
+    previous start and ends the day before the next one, the last one
+    clipped to the end.  A 29-Feb start moves to 28-Feb in the first
+    anniversary year without a 29-Feb and stays on the 28th from then on,
+    as a chain of year replacements does.  The table holds
+    ``ceil(span/years)`` rows per series.
     """
     keys = keys or []
     s, e = F.col(start_col), F.col(end_col)
     leap = (F.month(s) == 2) & (F.dayofmonth(s) == 29)
     anchor = F.when(leap, F.date_sub(s, 1)).otherwise(s)
     step = 12 * years
+
+    def is_leap_year(y):
+        return ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+
+    leap_s = (F.month("_s") == 2) & (F.dayofmonth("_s") == 29)
+
+    def start_of(i):
+        # a 29-Feb chain keeps the 29th while every anniversary year up to
+        # window i has one; once it falls back it is anchored on the 28th
+        kept = leap_s & ~F.exists(F.sequence(F.lit(1), F.greatest(i, F.lit(1))),
+                                lambda k: ~is_leap_year(F.year(F.col("_s")) + k * years))
+        return (F.when(i == 0, F.col("_s"))
+                .when(kept, F.add_months(F.col("_s"), i * step))
+                .otherwise(F.add_months(F.col("_a"), i * step)))
+
+    i = F.col("janela")
     n_max = F.floor(F.months_between(e, anchor) / step).cast("int") + 1
-    a, i = F.col("_a"), F.col("janela")
-    w_start = F.when(i == 0, F.col("_s")).otherwise(F.add_months(a, i * step))
-    w_end = F.least(F.date_sub(F.add_months(a, (i + 1) * step), 1), F.col("_e"))
+    w_end = F.least(F.date_sub(start_of(i + 1), 1), F.col("_e"))
     return (bounds
             .filter(s <= e)
             .select(*keys, s.alias("_s"), e.alias("_e"), anchor.alias("_a"),
                     F.explode(F.sequence(F.lit(0), n_max)).alias("janela"))
-            .select(*keys, "janela", w_start.alias("janela_inicio"), w_end.alias("janela_fim"))
+            .select(*keys, "janela", start_of(i).alias("janela_inicio"), w_end.alias("janela_fim"))
             .filter(F.col("janela_inicio") <= F.col("janela_fim")))

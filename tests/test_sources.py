@@ -1,3 +1,4 @@
+import calendar
 import datetime as dt
 import os
 import shutil
@@ -81,3 +82,32 @@ def test_scale_conf():
     assert c["spark.sql.files.maxPartitionBytes"] == "256m"
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def _anniversary(d, n):
+    y = d.year + n
+    if (d.month, d.day) == (2, 29) and not calendar.isleap(y):
+        return dt.date(y, 2, 28)
+    return d.replace(year=y)
+
+
+def test_window_table_matches_anniversary_chain(spark):
+    starts = [dt.date(y, 2, 29) for y in range(1904, 2101, 4) if calendar.isleap(y)]
+    starts += [dt.date(2015, 2, 28), dt.date(2016, 2, 28), dt.date(2016, 3, 1), dt.date(2019, 12, 31),
+               dt.date(2020, 1, 31)]
+    rows, want = [], set()
+    for idx, s in enumerate(starts):
+        e = s + dt.timedelta(days=7000 + 37 * idx)
+        rows.append((idx, s, e))
+        for n in range(1, 6):
+            cur = s
+            while cur <= e:
+                nxt = _anniversary(cur, n)
+                want.add((idx, n, cur, min(nxt - dt.timedelta(days=1), e)))
+                cur = nxt
+    b = spark.createDataFrame(rows, "k int, inicio date, fim date")
+    got = set()
+    for n in range(1, 6):
+        got |= {(r.k, n, r.janela_inicio, r.janela_fim)
+                for r in cat.window_table(b, years=n, keys=["k"]).collect()}
+    assert got == want
