@@ -119,12 +119,17 @@ def run_bacen(spark: SparkSession, raw_dir: str, out_root: str,
     chosen = sn.select_datasets(cat.SERIES, series)
     if all_snapshots:
         listing = sn.snapshot_listing(spark, raw_dir).filter(F.col("dataset").isin(list(chosen)))
-        paths = [r["path"] for r in listing.select("path").collect()]  # one path per landed file
-        if not paths:
+        if listing.limit(1).count() == 0:  # metadata-only probe
             raise FileNotFoundError(f"no landed snapshot for {sorted(chosen)}")
+        # one read of the landing folder; the file-name filter prunes the
+        # files of unselected datasets before they are opened, so no list
+        # of paths passes through the driver
+        raw = rd.read_flat_series(spark, raw_dir, recursive=True)
+        raw = raw.filter(F.regexp_extract("arquivo", sn.SNAPSHOT_NAME, 2).isin(list(chosen)))
+        hist = ds.bacen_from_raw(raw, chosen)
     else:
         paths = list(sn.newest_snapshots(spark, raw_dir, {n: c["codigo"] for n, c in chosen.items()}).values())
-    hist = ds.bacen_serie_historica(spark, paths, chosen)
+        hist = ds.bacen_serie_historica(spark, paths, chosen)
     if start is not None or end is not None:
         hist = cat.date_range(hist, "data_referencia", start, end)
     ct.assert_contract(TABLE_CONTRACTS["bacen_serie_historica"], hist)

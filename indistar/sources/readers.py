@@ -25,22 +25,26 @@ def _paths(paths) -> list[str]:
 
 def read_json_documents(spark: SparkSession, paths, schema: T.StructType,
                         mode: str = "PERMISSIVE", with_file: bool = True,
-                        multi_line: bool = True) -> DataFrame:
+                        multi_line: bool = True, recursive: bool = False) -> DataFrame:
     """Read JSON-array documents with an explicit element schema.
 
     ``PERMISSIVE`` keeps malformed files as one all-null row carrying the
     text in ``_corrupt_record`` (see ``contracts.document_problems``);
     ``FAILFAST`` raises instead.  ``with_file`` adds the source file name,
-    path and modification time from the hidden ``_metadata`` column.
+    path and modification time from the hidden ``_metadata`` column; a
+    filter on them prunes files before they are opened.  ``recursive``
+    reads every ``*.json`` file below the given folders.
     """
     read_schema = schema
     if mode == "PERMISSIVE":
         read_schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-    df = (spark.read.schema(read_schema)
-          .option("multiLine", multi_line)
-          .option("mode", mode)
-          .option("columnNameOfCorruptRecord", "_corrupt_record")
-          .json(_paths(paths)))
+    reader = (spark.read.schema(read_schema)
+              .option("multiLine", multi_line)
+              .option("mode", mode)
+              .option("columnNameOfCorruptRecord", "_corrupt_record"))
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    df = reader.json(_paths(paths))
     if with_file:
         df = df.select("*",
                        F.col("_metadata.file_name").alias("arquivo"),
@@ -60,13 +64,14 @@ def read_nested(spark: SparkSession, paths, mode: str = "PERMISSIVE",
 
 
 def read_flat_series(spark: SparkSession, paths, mode: str = "PERMISSIVE",
-                     with_file: bool = True, multi_line: bool = True) -> DataFrame:
+                     with_file: bool = True, multi_line: bool = True,
+                     recursive: bool = False) -> DataFrame:
     """Flat daily-series documents: one row per observation.
 
     One multi-path read replaces a per-file read + union chain, so the plan
     depth does not grow with the number of series.
     """
-    return read_json_documents(spark, paths, FLAT_ITEM_SCHEMA, mode, with_file, multi_line)
+    return read_json_documents(spark, paths, FLAT_ITEM_SCHEMA, mode, with_file, multi_line, recursive)
 
 
 def read_with_file_name(spark: SparkSession, paths, fmt: str = "parquet",

@@ -111,3 +111,15 @@ def test_window_table_matches_anniversary_chain(spark):
         got |= {(r.k, n, r.janela_inicio, r.janela_fim)
                 for r in cat.window_table(b, years=n, keys=["k"]).collect()}
     assert got == want
+
+
+def test_file_name_filter_prunes_unselected_snapshots(spark, tmp_path):
+    """A corrupt file of another dataset is never opened by a FAILFAST read
+    filtered on the dataset in the file name (metadata file pruning)."""
+    shutil.copy(os.path.join(RAW, "bacen_cdi_12_20240101_000000.json"), tmp_path)
+    (tmp_path / "bacen_selic_meta_432_20240101_000000.json").write_text('[{"serie": broken')
+    raw = rd.read_flat_series(spark, str(tmp_path), mode="FAILFAST", recursive=True)
+    cdi = raw.filter(F.regexp_extract("arquivo", sn.SNAPSHOT_NAME, 2) == "cdi")
+    assert cdi.count() > 0
+    with pytest.raises(Exception):
+        raw.count()
