@@ -516,3 +516,7 @@ SELECT CAST(0 AS BIGINT) AS c_custkey, CAST(0 AS BIGINT) AS c_name,
        CAST(count(*) FILTER (WHERE c_mktsegment = 'HOUSEHOLD') AS BIGINT) AS c_acctbal,
        CAST(0 AS BIGINT) AS c_mktsegment
 FROM customer"""
+ORACLE_SQL["full_refresh_counts"] = """
+SELECT 'clientes' AS tabela, count(*) AS linhas FROM customer
+UNION ALL
+SELECT 'pedidos' AS tabela, count(*) AS linhas FROM orders"""

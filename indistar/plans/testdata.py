@@ -885,6 +885,53 @@ def per_series_csv(spark, sf_dir):
     return back.select("serie_id", "serie", *[c for c in PER_SERIES_CSV_SCHEMA.fieldNames() if c != "serie_id"])
 
 
+REFRESH_CONTRACTS = {
+    "clientes": ct.Contract(
+        name="clientes",
+        schema=T.StructType([
+            T.StructField("c_custkey", T.LongType(), False),
+            T.StructField("c_nationkey", T.IntegerType(), False),
+            T.StructField("c_mktsegment", T.StringType(), True),
+        ]),
+        key=["c_custkey"], not_null=["c_custkey", "c_nationkey"],
+        foreign_keys=[(["c_nationkey"], "nacoes", ["n_nationkey"])],
+        max_length={"c_mktsegment": 10}),
+    "pedidos": ct.Contract(
+        name="pedidos",
+        schema=T.StructType([
+            T.StructField("o_orderkey", T.LongType(), False),
+            T.StructField("o_custkey", T.LongType(), False),
+            T.StructField("data_referencia", T.DateType(), False),
+            T.StructField("ano", T.IntegerType(), False),
+            T.StructField("mes", T.IntegerType(), False),
+            T.StructField("o_orderpriority", T.StringType(), False),
+            T.StructField("o_totalprice", T.DecimalType(12, 2), True),
+        ]),
+        key=["o_orderkey"],
+        not_null=["o_orderkey", "o_custkey", "data_referencia", "ano", "mes", "o_orderpriority"],
+        foreign_keys=[(["o_custkey"], "clientes", ["c_custkey"])],
+        year_of_date=("ano", "data_referencia"), ranges={"mes": (1, 12)},
+        max_length={"o_orderpriority": 20}),
+}
+
+
+def full_refresh_counts(spark, sf_dir):
+    """Full refresh of a customer and an order table: both contracts
+    (keys, foreign keys to the NEW customer table and to nations, ranges)
+    are checked before either table is switched; then the row count of each
+    table read back from its published version."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    o = _t(spark, sf_dir, "orders")
+    fact = o.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("data_referencia"),
+                    F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
+                    "o_orderpriority", F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"))
+    tables = {"clientes": (c, REFRESH_CONTRACTS["clientes"]), "pedidos": (fact, REFRESH_CONTRACTS["pedidos"])}
+    dims = {"clientes": c, "nacoes": _t(spark, sf_dir, "nation")}
+    root = _landing_folder(spark, "carga")
+    pb.full_refresh(spark, tables, root, dims=dims)
+    return pb.post_load_counts(spark, {name: f"{root}/{name}" for name in tables})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_of_avgs": avg_of_avgs,
     "avg_of_avgs_by_year": avg_of_avgs_by_year,
@@ -948,4 +995,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_typed_import": csv_typed_import,
     "csv_cast_failures": csv_cast_failures,
     "per_series_csv": per_series_csv,
+    "full_refresh_counts": full_refresh_counts,
 }
