@@ -520,3 +520,4 @@ ORACLE_SQL["full_refresh_counts"] = """
 SELECT 'clientes' AS tabela, count(*) AS linhas FROM customer
 UNION ALL
 SELECT 'pedidos' AS tabela, count(*) AS linhas FROM orders"""
+ORACLE_SQL["upsert_published"] = ORACLE_SQL["upsert_merge"]

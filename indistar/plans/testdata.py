@@ -932,6 +932,22 @@ def full_refresh_counts(spark, sf_dir):
     return pb.post_load_counts(spark, {name: f"{root}/{name}" for name in tables})
 
 
+def upsert_published(spark, sf_dir):
+    """The snapshot upsert through the published-table path: the target is
+    published, the updates are merged into a NEW version folder and the
+    pointer switched; the same batch is applied twice (a replay) and the
+    current version is read back.  Equals ``upsert_merge``."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    target = o.filter(F.col("o_orderdate") < F.lit(UPSERT_TARGET_BEFORE).cast("timestamp")).drop("o_orderdate")
+    updates = (o.filter(F.col("o_orderdate") >= F.lit(UPSERT_UPDATES_FROM).cast("timestamp"))
+               .withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)).drop("o_orderdate"))
+    root = _landing_folder(spark, "pedidos_publicados")
+    pb.upsert(spark, target, root, ["o_orderkey"])
+    pb.upsert(spark, updates, root, ["o_orderkey"])
+    pb.upsert(spark, updates, root, ["o_orderkey"])  # replayed batch: same table
+    return pb.read_current(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_of_avgs": avg_of_avgs,
     "avg_of_avgs_by_year": avg_of_avgs_by_year,
@@ -996,4 +1012,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_cast_failures": csv_cast_failures,
     "per_series_csv": per_series_csv,
     "full_refresh_counts": full_refresh_counts,
+    "upsert_published": upsert_published,
 }
