@@ -114,3 +114,18 @@ def test_resumo_ano_and_calendar(spark):
     assert cal.count() == 365 + 366 + 365
     st = ds.with_state(pop, ds.dim_uf(spark)).filter(F.col("municipio_id") == 5300108).first()
     assert (st.uf_sigla, st.regiao) == ("DF", "Centro-Oeste")
+
+
+def test_bacen_latest_extraction_by_name_stamp(spark, tmp_path):
+    """The stamp in the file name decides, even when the older extraction
+    was copied (touched) after the newer one."""
+    import os
+    import shutil
+    for name, mtime in [("bacen_selic_meta_432_20240101_000000.json", 1_700_009_000),
+                        ("bacen_selic_meta_432_20240301_000000.json", 1_700_000_000)]:
+        dst = tmp_path / name
+        shutil.copy(raw(name), dst)
+        os.utime(dst, (mtime, mtime))
+    rows = {(r.serie_id, r.data_referencia): r for r in
+            ds.bacen_serie_historica(spark, [str(tmp_path / "*.json")]).collect()}
+    assert float(rows[(432, dt.date(2024, 2, 2))].valor) == 11.50  # 20240301 extraction wins
