@@ -75,9 +75,19 @@ def build_ibge_tables(spark: SparkSession, long_root: str,
 
 
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], out_root: str,
-                   mode: str = "upsert", csv_root: str | None = None) -> DataFrame:
+                   mode: str = "upsert", csv_root: str | None = None,
+                   partition_by: dict[str, list[str]] | None = None) -> DataFrame:
     """Check every table (C11: nothing is written while any check fails),
-    then merge or replace each one; return post-load row counts (K6)."""
+    then merge or replace each one; return post-load row counts (K6).
+
+    Tables named in ``partition_by`` (large facts, e.g.
+    ``{"populacao_municipio": ["ano"]}``; the columns must follow from the
+    key) are published as one partitioned Parquet folder and upserted
+    partition by partition: a run rewrites only the partitions its rows
+    fall in, not the whole table.  The others get a new version folder per
+    run and a pointer switch.
+    """
+    partition_by = partition_by or {}
     dims = {"dim_uf": tables.get("dim_uf", cat.state_dimension(spark))}
     for name, df in tables.items():
         contract = TABLE_CONTRACTS.get(name)
@@ -87,27 +97,41 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], out_root:
             keys = KEYS[name]
             if agg.duplicate_keys(df, keys).limit(1).count():
                 raise ValueError(f"{name}: duplicate keys in {keys}")
-    roots = {}
+    roots, partitioned = {}, {}
     for name, df in tables.items():
         root = f"{out_root.rstrip('/')}/{name}"
-        if mode == "upsert":
-            pb.upsert(spark, df, root, KEYS[name])
+        if name in partition_by:
+            if mode == "upsert":
+                pb.upsert_partitions(spark, df, root, KEYS[name], partition_by[name])
+            else:
+                df.write.mode("overwrite").partitionBy(*partition_by[name]).parquet(root)
+            published = spark.read.parquet(root).select(*df.columns)  # partition column back in place
+            partitioned[name] = published
         else:
-            version = pb.new_version_path(root)
-            pb.write_table(df, version)
-            pb.set_pointer(spark, root, version)
+            if mode == "upsert":
+                pb.upsert(spark, df, root, KEYS[name])
+            else:
+                version = pb.new_version_path(root)
+                pb.write_table(df, version)
+                pb.set_pointer(spark, root, version)
+            published = pb.read_current(spark, root)
+            roots[name] = root
         if csv_root:
-            pb.write_table(pb.read_current(spark, root), f"{csv_root.rstrip('/')}/{name}", fmt="csv")
-        roots[name] = root
-    return pb.post_load_counts(spark, roots)
+            pb.write_table(published, f"{csv_root.rstrip('/')}/{name}", fmt="csv")
+    counts = pb.post_load_counts(spark, roots) if roots else None
+    if partitioned:
+        extra = agg.row_counts(partitioned)
+        counts = extra if counts is None else counts.unionByName(extra)
+    return counts
 
 
 def run_ibge(spark: SparkSession, raw_dir: str, work_root: str, out_root: str,
              datasets: Iterable[str] | str | None = None, mode: str = "upsert",
-             csv_root: str | None = None) -> DataFrame:
+             csv_root: str | None = None, partition_by: dict[str, list[str]] | None = None) -> DataFrame:
     long_root = f"{work_root.rstrip('/')}/long"
     stage_long_layer(spark, raw_dir, long_root, datasets)
-    return publish_tables(spark, build_ibge_tables(spark, long_root, datasets), out_root, mode, csv_root)
+    return publish_tables(spark, build_ibge_tables(spark, long_root, datasets), out_root, mode, csv_root,
+                          partition_by)
 
 
 def run_bacen(spark: SparkSession, raw_dir: str, out_root: str,

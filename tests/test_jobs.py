@@ -60,3 +60,22 @@ def test_run_bacen(spark, landing, tmp_path):
               jobs.run_bacen(spark, str(landing), str(tmp_path / "wh2"), "selic_meta", all_snapshots=False,
                              start=dt.date(2024, 2, 3), end=dt.date(2024, 2, 3)).collect()}
     assert newest == {"bacen_serie_historica": 1, "bacen_selic_meta": 1}
+
+
+def test_run_ibge_partitioned_fact(spark, landing, tmp_path):
+    """The municipal fact published as a year-partitioned folder, upserted
+    partition by partition; the other tables keep versions + pointers."""
+    parts = {"populacao_municipio": ["ano"]}
+    first = {r.tabela: r.linhas for r in
+             jobs.run_ibge(spark, str(landing), str(tmp_path / "work"), str(tmp_path / "wh"),
+                           csv_root=str(tmp_path / "csv"), partition_by=parts).collect()}
+    loaded = {r.tabela: r.linhas for r in
+              jobs.load_csv_tables(spark, str(tmp_path / "csv"), str(tmp_path / "pg"),
+                                   ["populacao_municipio"]).collect()}
+    assert loaded == {"populacao_municipio": 11}   # CSV header in contract order
+    again = {r.tabela: r.linhas for r in
+             jobs.run_ibge(spark, str(landing), str(tmp_path / "work"), str(tmp_path / "wh"),
+                           partition_by=parts).collect()}
+    assert first == again and first["populacao_municipio"] == 11 and first["dim_uf"] == 27
+    years = [d for d in os.listdir(tmp_path / "wh" / "populacao_municipio") if d.startswith("ano=")]
+    assert years and all(d[4:].isdigit() for d in years)
