@@ -521,3 +521,16 @@ SELECT 'clientes' AS tabela, count(*) AS linhas FROM customer
 UNION ALL
 SELECT 'pedidos' AS tabela, count(*) AS linhas FROM orders"""
 ORACLE_SQL["upsert_published"] = ORACLE_SQL["upsert_merge"]
+ORACLE_SQL["cpi_matrix_report"] = """
+WITH f AS (""" + ORACLE_SQL["cpi_recipe"] + """),
+cells AS (
+  SELECT CAST(grouping(area_ipca) * 2 + grouping(grupo_ipca) AS BIGINT) AS nivel, area_ipca, grupo_ipca, ano,
+         min(acumulado_12_meses_pct) AS v
+  FROM f GROUP BY GROUPING SETS ((area_ipca, grupo_ipca, ano), (area_ipca, ano), (ano)))
+SELECT nivel, area_ipca, grupo_ipca,
+       max(v) FILTER (WHERE ano = 1994) AS ano_1994,
+       max(v) FILTER (WHERE ano = 1995) AS ano_1995,
+       max(v) FILTER (WHERE ano = 1996) AS ano_1996,
+       max(v) FILTER (WHERE ano = 1997) AS ano_1997,
+       max(v) FILTER (WHERE ano = 1998) AS ano_1998
+FROM cells GROUP BY nivel, area_ipca, grupo_ipca"""

@@ -93,16 +93,27 @@ def state_count_by_year_region(model: Model) -> DataFrame:
 
 
 def cpi_matrix(model: Model, years: Sequence[int]) -> DataFrame:
-    """Q7: area -> group rows x year columns of the minimum 12-month rate,
-    rows ordered by the (hidden) non-null count of the group label, descending."""
+    """Q7: area -> group rows x year columns of the minimum 12-month rate.
+
+    Sorted as the matrix shows it under its (hidden) sort measure, the
+    non-null count of the group label, descending at every level: areas by
+    their count, groups within an area by theirs, each area's subtotal row
+    after its groups and the grand total last.
+    """
     f = model["ipca_area_mes"]
     m = agg.matrix(f, "area_ipca", "grupo_ipca", "ano", "acumulado_12_meses_pct", years, "min",
                    name_fn=lambda y: f"ano_{y}")
-    counts = (f.groupingSets([["area_ipca", "grupo_ipca"], ["area_ipca"], []], "area_ipca", "grupo_ipca")
-              .agg(F.count("grupo_ipca").alias("_n"),
-                   (F.grouping("area_ipca") * 2 + F.grouping("grupo_ipca")).cast("bigint").alias("nivel")))
-    j = m.join(counts, ["nivel", "area_ipca", "grupo_ipca"], "left")  # both sides tiny
-    return rs.order_by_measure(j, "_n", ["nivel", "area_ipca", "grupo_ipca"], drop=["_n"])
+    area_n = f.groupBy(F.col("area_ipca").alias("_a")).agg(F.count("grupo_ipca").alias("_na"))
+    group_n = (f.groupBy(F.col("area_ipca").alias("_a"), F.col("grupo_ipca").alias("_g"))
+               .agg(F.count("grupo_ipca").alias("_ng")))
+    # subtotal rows carry null keys: match null-safely (every side is tiny)
+    area_key = F.col("area_ipca").eqNullSafe(F.col("_a"))
+    j = (m.join(area_n, area_key & (F.col("nivel") < 3), "left").drop("_a")
+         .join(group_n, area_key & F.col("grupo_ipca").eqNullSafe(F.col("_g")) & (F.col("nivel") == 0), "left")
+         .drop("_a", "_g"))
+    return (j.orderBy(F.col("_na").desc_nulls_last(), F.col("area_ipca").asc_nulls_last(), F.col("nivel").asc(),
+                      F.col("_ng").desc_nulls_last(), F.col("grupo_ipca").asc_nulls_last())
+            .drop("_na", "_ng"))
 
 
 def cards(model: Model) -> DataFrame:

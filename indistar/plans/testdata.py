@@ -29,11 +29,13 @@ from ..sources import catalog as cat
 from ..sources import readers as rd
 from ..session import checkpoint_dir
 from . import datasets as ds
+from . import reports as rp
 
 # Fixed parameters of the report queries over TESTDATA.
 REPORT_YEARS = [1996, 1997, 1998, 1999, 2000]
 MATRIX_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 SLICER_REGION = "AMERICA"
+CPI_MATRIX_YEARS = [1994, 1995, 1996, 1997, 1998]
 PIVOT_TYPES = {"click": "click_max", "purchase": "purchase_max",
                "view": "view_max", "signup": "signup_max"}
 # Order status -> (sex id, sex label); every order also counts in "Total".
@@ -663,6 +665,12 @@ def cpi_recipe(spark, sf_dir):
     return ds.ipca_area_mes(fl.flatten_nested(_cpi_documents(spark, sf_dir)))
 
 
+def cpi_matrix_report(spark, sf_dir):
+    """Q7 (the report function itself) over the CPI table built from TESTDATA:
+    area -> group rows with subtotals x year columns of the minimum."""
+    return rp.cpi_matrix({"ipca_area_mes": cpi_recipe(spark, sf_dir)}, CPI_MATRIX_YEARS)
+
+
 def _lookup(col, table: dict, part: int):
     expr = None
     for k, v in table.items():
@@ -1001,6 +1009,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unemployment_recipe": unemployment_recipe,
     "unemployment_report_recipe": unemployment_report_recipe,
     "cpi_recipe": cpi_recipe,
+    "cpi_matrix_report": cpi_matrix_report,
     "age_band_recipe": age_band_recipe,
     "age_share_recipe": age_share_recipe,
     "pib_money_recipe": pib_money_recipe,

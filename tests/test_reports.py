@@ -63,3 +63,13 @@ def test_population_page_defaults(model):
     cards = {r.cartao: r.valor for r in page["cartoes"].collect()}
     assert cards["qtd_municipios"] == 4                      # summary is not filtered by region
     assert page["lista_municipios"].count() == 4 and "matriz_ipca" in page
+
+
+def test_cpi_matrix_order_follows_hidden_count_per_level(spark):
+    rows = [("B", "g1", 2024, 1.0)]
+    rows += [("A", "g1", 2024, 2.0)] + [("A", "g2", 2024, 3.0)] * 3 + [("A", "g3", 2024, 4.0)] * 2
+    f = spark.createDataFrame(rows, "area_ipca string, grupo_ipca string, ano int, acumulado_12_meses_pct double")
+    out = [(r.nivel, r.area_ipca, r.grupo_ipca) for r in rp.cpi_matrix({"ipca_area_mes": f}, [2024]).collect()]
+    # area A (6 labels) before B (1); groups by count within A; subtotal after its groups; total last
+    assert out == [(0, "A", "g2"), (0, "A", "g3"), (0, "A", "g1"), (1, "A", None),
+                   (0, "B", "g1"), (1, "B", None), (3, None, None)]
