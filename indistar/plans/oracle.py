@@ -528,9 +528,11 @@ cells AS (
          min(acumulado_12_meses_pct) AS v
   FROM f GROUP BY GROUPING SETS ((area_ipca, grupo_ipca, ano), (area_ipca, ano), (ano)))
 SELECT nivel, area_ipca, grupo_ipca,
-       max(v) FILTER (WHERE ano = 1994) AS ano_1994,
        max(v) FILTER (WHERE ano = 1995) AS ano_1995,
        max(v) FILTER (WHERE ano = 1996) AS ano_1996,
        max(v) FILTER (WHERE ano = 1997) AS ano_1997,
-       max(v) FILTER (WHERE ano = 1998) AS ano_1998
+       max(v) FILTER (WHERE ano = 1998) AS ano_1998,
+       max(v) FILTER (WHERE ano = 1999) AS ano_1999,
+       max(v) FILTER (WHERE ano = 2000) AS ano_2000,
+       max(v) FILTER (WHERE ano = 2001) AS ano_2001
 FROM cells GROUP BY nivel, area_ipca, grupo_ipca"""

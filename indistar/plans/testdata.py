@@ -35,7 +35,6 @@ from . import reports as rp
 REPORT_YEARS = [1996, 1997, 1998, 1999, 2000]
 MATRIX_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 SLICER_REGION = "AMERICA"
-CPI_MATRIX_YEARS = [1994, 1995, 1996, 1997, 1998]
 PIVOT_TYPES = {"click": "click_max", "purchase": "purchase_max",
                "view": "view_max", "signup": "signup_max"}
 # Order status -> (sex id, sex label); every order also counts in "Total".
@@ -668,7 +667,7 @@ def cpi_recipe(spark, sf_dir):
 def cpi_matrix_report(spark, sf_dir):
     """Q7 (the report function itself) over the CPI table built from TESTDATA:
     area -> group rows with subtotals x year columns of the minimum."""
-    return rp.cpi_matrix({"ipca_area_mes": cpi_recipe(spark, sf_dir)}, CPI_MATRIX_YEARS)
+    return rp.cpi_matrix({"ipca_area_mes": cpi_recipe(spark, sf_dir)}, MATRIX_YEARS)
 
 
 def _lookup(col, table: dict, part: int):
