@@ -536,3 +536,9 @@ SELECT nivel, area_ipca, grupo_ipca,
        max(v) FILTER (WHERE ano = 2000) AS ano_2000,
        max(v) FILTER (WHERE ano = 2001) AS ano_2001
 FROM cells GROUP BY nivel, area_ipca, grupo_ipca"""
+ORACLE_SQL["document_problems_report"] = """
+SELECT 'bons' AS lote, count(*) AS linhas, CAST(0 AS BIGINT) AS corrompidos, count(*) AS preenchidos
+FROM (SELECT DISTINCT o.o_custkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey) d
+UNION ALL
+SELECT 'corrompidos' AS lote, count(*) AS linhas, count(*) AS corrompidos, CAST(0 AS BIGINT) AS preenchidos
+FROM customer WHERE c_mktsegment = 'HOUSEHOLD'"""

@@ -955,6 +955,23 @@ def upsert_published(spark, sf_dir):
     return pb.read_current(spark, root)
 
 
+def document_problems_report(spark, sf_dir):
+    """Corrupt-document check over two landed batches read by ONE permissive
+    scan: the population documents (valid) and one truncated record per
+    HOUSEHOLD customer (malformed).  Per batch: rows, malformed records and
+    rows carrying data."""
+    good = _landing_folder(spark, "documentos_bons")
+    bad = _landing_folder(spark, "documentos_corrompidos")
+    _population_documents(spark, sf_dir).write.mode("error").json(good)
+    c = _t(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "HOUSEHOLD")
+    (c.select(F.concat(F.lit('{"id": "'), F.col("c_custkey").cast("string"), F.lit('", "variavel": ')).alias("value"))
+     .write.mode("error").text(bad))
+    raw = rd.read_nested(spark, [good, bad], mode="PERMISSIVE", with_file=True, multi_line=False)
+    batch = F.when(F.col("arquivo_caminho").contains("/documentos_corrompidos_"), F.lit("corrompidos")) \
+        .otherwise(F.lit("bons"))
+    return ct.document_problems(raw.select("id", "_corrupt_record", batch.alias("lote")), file_col="lote")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_of_avgs": avg_of_avgs,
     "avg_of_avgs_by_year": avg_of_avgs_by_year,
@@ -1021,4 +1038,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "per_series_csv": per_series_csv,
     "full_refresh_counts": full_refresh_counts,
     "upsert_published": upsert_published,
+    "document_problems_report": document_problems_report,
 }
