@@ -542,3 +542,13 @@ FROM (SELECT DISTINCT o.o_custkey FROM orders o JOIN customer c ON o.o_custkey =
 UNION ALL
 SELECT 'corrompidos' AS lote, count(*) AS linhas, count(*) AS corrompidos, CAST(0 AS BIGINT) AS preenchidos
 FROM customer WHERE c_mktsegment = 'HOUSEHOLD'"""
+_UNEMPLOYMENT_CELLS = f"""
+WITH c AS (SELECT n.n_name AS uf_sigla, CAST(year(o.o_orderdate) AS INTEGER) AS ano,
+                  CAST(quarter(o.o_orderdate) AS INTEGER) AS q, CAST(count(*) AS DOUBLE) AS n {_GEO}
+           GROUP BY 1, 2, 3)"""
+ORACLE_SQL["unemployment_table_report"] = _UNEMPLOYMENT_CELLS + """
+SELECT ano, uf_sigla, round(avg(n), 4) AS taxa_desemprego_media_anual
+FROM c WHERE ano IN (1996, 1997, 1998, 1999, 2000) GROUP BY ano, uf_sigla"""
+ORACLE_SQL["unemployment_by_state_report"] = _UNEMPLOYMENT_CELLS + """,
+l AS (SELECT uf_sigla, q, avg(n) AS m FROM c GROUP BY uf_sigla, q)
+SELECT uf_sigla, round(avg(m), 4) AS taxa_desemprego_media_anual FROM l GROUP BY uf_sigla"""

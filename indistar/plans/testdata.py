@@ -615,6 +615,33 @@ def unemployment_recipe(spark, sf_dir):
     return ds.desemprego_uf_trimestre(fl.flatten_nested(_unemployment_documents(spark, sf_dir)))
 
 
+def _state_dimension(spark, sf_dir) -> DataFrame:
+    """TESTDATA's state dimension: nations as states, their regions as
+    regions (25 rows at every scale factor)."""
+    return _nation_region(spark, sf_dir).select(
+        F.col("n_nationkey").cast("int").alias("uf_id"), F.col("n_name").alias("uf_sigla"),
+        F.col("n_name").alias("uf_nome"), F.col("r_name").alias("regiao"))
+
+
+def _unemployment_model(spark, sf_dir) -> dict:
+    return {"desemprego_uf_trimestre": unemployment_recipe(spark, sf_dir),
+            "dim_uf": _state_dimension(spark, sf_dir)}
+
+
+def unemployment_table_report(spark, sf_dir):
+    """Q1 (the report function itself): year x state mean of per-quarter-label
+    means over the report years, on the TESTDATA unemployment table."""
+    out = rp.unemployment_table(_unemployment_model(spark, sf_dir), REPORT_YEARS)
+    return out.withColumn("taxa_desemprego_media_anual", F.round("taxa_desemprego_media_anual", 4))
+
+
+def unemployment_by_state_report(spark, sf_dir):
+    """Q2 (the report function itself): per state over all quarters (labels
+    carry no year, so each label's mean spans every year)."""
+    out = rp.unemployment_by_state(_unemployment_model(spark, sf_dir))
+    return out.withColumn("taxa_desemprego_media_anual", F.round("taxa_desemprego_media_anual", 4))
+
+
 def unemployment_report_recipe(spark, sf_dir):
     out = agg.avg_of_avgs(unemployment_recipe(spark, sf_dir), ["ano", "uf_id"], "trimestre",
                           ["taxa_desocupacao_pct", "taxa_subutilizacao_pct"],
@@ -1024,6 +1051,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resumo_ano_recipe": resumo_ano_recipe,
     "unemployment_recipe": unemployment_recipe,
     "unemployment_report_recipe": unemployment_report_recipe,
+    "unemployment_table_report": unemployment_table_report,
+    "unemployment_by_state_report": unemployment_by_state_report,
     "cpi_recipe": cpi_recipe,
     "cpi_matrix_report": cpi_matrix_report,
     "age_band_recipe": age_band_recipe,
