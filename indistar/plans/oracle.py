@@ -552,3 +552,19 @@ FROM c WHERE ano IN (1996, 1997, 1998, 1999, 2000) GROUP BY ano, uf_sigla"""
 ORACLE_SQL["unemployment_by_state_report"] = _UNEMPLOYMENT_CELLS + """,
 l AS (SELECT uf_sigla, q, avg(n) AS m FROM c GROUP BY uf_sigla, q)
 SELECT uf_sigla, round(avg(m), 4) AS taxa_desemprego_media_anual FROM l GROUP BY uf_sigla"""
+ORACLE_SQL["page_population_by_region"] = f"""
+SELECT r.r_name AS regiao, CAST(count(*) AS BIGINT) AS populacao {_GEO}
+WHERE year(o.o_orderdate) = 1998 GROUP BY r.r_name"""
+ORACLE_SQL["page_cards"] = """
+WITH c AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS ano, count(*) AS pop
+           FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1, 2),
+l AS (SELECT *, lag(ano) OVER w AS pa, lag(pop) OVER w AS pv
+      FROM c WINDOW w AS (PARTITION BY o_custkey ORDER BY ano)),
+g AS (SELECT ano, pop, CASE WHEN pa = ano - 1 THEN pv END AS prev FROM l),
+h AS (SELECT pop, pop - prev AS variacao,
+             CASE WHEN prev <> 0 THEN round(100.0::DOUBLE * (pop - prev) / prev, 2) END AS crescimento
+      FROM g WHERE ano = 1998)
+SELECT 'crescimento_medio_pct' AS cartao, round(avg(crescimento), 4) AS valor FROM h
+UNION ALL SELECT 'variacao_absoluta_total' AS cartao, round(CAST(sum(variacao) AS DOUBLE), 4) AS valor FROM h
+UNION ALL SELECT 'populacao_total' AS cartao, round(CAST(sum(pop) AS DOUBLE), 4) AS valor FROM h
+UNION ALL SELECT 'qtd_municipios' AS cartao, round(CAST(count(*) AS DOUBLE), 4) AS valor FROM h"""

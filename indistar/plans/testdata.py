@@ -35,6 +35,9 @@ from . import reports as rp
 REPORT_YEARS = [1996, 1997, 1998, 1999, 2000]
 MATRIX_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 SLICER_REGION = "AMERICA"
+# State codes of TESTDATA nations on the population page (two digits).
+STATE_CODE_OFFSET = 10
+PAGE_YEARS = [1998]
 PIVOT_TYPES = {"click": "click_max", "purchase": "purchase_max",
                "view": "view_max", "signup": "signup_max"}
 # Order status -> (sex id, sex label); every order also counts in "Total".
@@ -552,21 +555,27 @@ def window_coverage(spark, sf_dir):
     return j.groupBy("janela", "janela_inicio", "janela_fim").agg(F.count(F.lit(1)).alias("n_pedidos"))
 
 
-def _population_documents(spark, sf_dir) -> DataFrame:
+def _population_documents(spark, sf_dir, state_coded: bool = False) -> DataFrame:
     """Orders per customer and year as nested population documents.
 
     One variable element per customer whose only series maps each year to
     the customer's order count; the map holds one entry per year of the
-    span, however many orders the customer has.
+    span, however many orders the customer has.  With ``state_coded`` the
+    place id is a municipality code whose first two digits are the state:
+    ``nation + 10`` followed by the customer key in at least 7 digits.
     """
     o = _t(spark, sf_dir, "orders")
-    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment",
+                                             "c_nationkey")
     per = (o.groupBy("o_custkey", F.year("o_orderdate").cast("string").alias("periodo"))
            .agg(F.count(F.lit(1)).cast("string").alias("valor")))
     series = per.groupBy("o_custkey").agg(
         F.map_from_entries(F.collect_list(F.struct("periodo", "valor"))).alias("serie"))
     docs = series.join(c, "o_custkey", "inner")
-    place = F.struct(F.col("o_custkey").cast("string").alias("id"),
+    place_id = (F.concat(F.format_string("%02d", F.col("c_nationkey") + STATE_CODE_OFFSET),
+                         F.format_string("%07d", F.col("o_custkey")))
+                if state_coded else F.col("o_custkey").cast("string"))
+    place = F.struct(place_id.alias("id"),
                      F.struct(F.lit("N6").alias("id"), F.lit("Municipio").alias("nome")).alias("nivel"),
                      F.concat("c_name", F.lit(" - "), F.upper(F.substring("c_mktsegment", 1, 2))).alias("nome"))
     result = F.struct(F.array().cast("array<struct<id:string,nome:string,categoria:map<string,string>>>")
@@ -615,11 +624,11 @@ def unemployment_recipe(spark, sf_dir):
     return ds.desemprego_uf_trimestre(fl.flatten_nested(_unemployment_documents(spark, sf_dir)))
 
 
-def _state_dimension(spark, sf_dir) -> DataFrame:
-    """TESTDATA's state dimension: nations as states, their regions as
-    regions (25 rows at every scale factor)."""
+def _state_dimension(spark, sf_dir, offset: int = 0) -> DataFrame:
+    """TESTDATA's state dimension: nations as states (id ``nation + offset``),
+    their regions as regions (25 rows at every scale factor)."""
     return _nation_region(spark, sf_dir).select(
-        F.col("n_nationkey").cast("int").alias("uf_id"), F.col("n_name").alias("uf_sigla"),
+        (F.col("n_nationkey") + offset).cast("int").alias("uf_id"), F.col("n_name").alias("uf_sigla"),
         F.col("n_name").alias("uf_nome"), F.col("r_name").alias("regiao"))
 
 
@@ -999,6 +1008,24 @@ def document_problems_report(spark, sf_dir):
     return ct.document_problems(raw.select("id", "_corrupt_record", batch.alias("lote")), file_col="lote")
 
 
+def _population_model(spark, sf_dir) -> dict:
+    pop = ds.populacao_municipio(fl.flatten_nested(_population_documents(spark, sf_dir, state_coded=True)))
+    return {"populacao_municipio": ds.populacao_com_crescimento(pop), "resumo_ano": ds.resumo_ano(pop),
+            "dim_uf": _state_dimension(spark, sf_dir, STATE_CODE_OFFSET)}
+
+
+def page_population_by_region(spark, sf_dir):
+    """Q3 on the population page under the year slicer (Q12: calendar year
+    -> yearly summary -> municipal fact, as semi joins)."""
+    return rp.population_by_region(rp.year_slicer(_population_model(spark, sf_dir), PAGE_YEARS))
+
+
+def page_cards(spark, sf_dir):
+    """Q8-Q11 on the population page under the year slicer."""
+    cards = rp.cards(rp.year_slicer(_population_model(spark, sf_dir), PAGE_YEARS))
+    return cards.withColumn("valor", F.round("valor", 4))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_of_avgs": avg_of_avgs,
     "avg_of_avgs_by_year": avg_of_avgs_by_year,
@@ -1053,6 +1080,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unemployment_report_recipe": unemployment_report_recipe,
     "unemployment_table_report": unemployment_table_report,
     "unemployment_by_state_report": unemployment_by_state_report,
+    "page_population_by_region": page_population_by_region,
+    "page_cards": page_cards,
     "cpi_recipe": cpi_recipe,
     "cpi_matrix_report": cpi_matrix_report,
     "age_band_recipe": age_band_recipe,
