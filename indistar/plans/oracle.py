@@ -568,3 +568,13 @@ SELECT 'crescimento_medio_pct' AS cartao, round(avg(crescimento), 4) AS valor FR
 UNION ALL SELECT 'variacao_absoluta_total' AS cartao, round(CAST(sum(variacao) AS DOUBLE), 4) AS valor FROM h
 UNION ALL SELECT 'populacao_total' AS cartao, round(CAST(sum(pop) AS DOUBLE), 4) AS valor FROM h
 UNION ALL SELECT 'qtd_municipios' AS cartao, round(CAST(count(*) AS DOUBLE), 4) AS valor FROM h"""
+_PAGE_ROWS = f"""
+WITH p AS (SELECT n.n_name AS uf_sigla, r.r_name AS regiao, o.o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS ano,
+                  count(*) AS pop {_GEO}
+           WHERE year(o.o_orderdate) = 1998 GROUP BY 1, 2, 3, 4)"""
+ORACLE_SQL["page_mean_population_by_state"] = _PAGE_ROWS + """
+SELECT uf_sigla, round(avg(pop), 4) AS media_populacao FROM p GROUP BY uf_sigla"""
+ORACLE_SQL["page_year_count_by_state"] = _PAGE_ROWS + """
+SELECT uf_sigla, count(ano) AS contagem_ano FROM p GROUP BY uf_sigla"""
+ORACLE_SQL["page_state_count_by_year_region"] = _PAGE_ROWS + """
+SELECT ano, regiao, count(uf_sigla) AS contagem_uf FROM p GROUP BY ano, regiao"""

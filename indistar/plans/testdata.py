@@ -1020,6 +1020,22 @@ def page_population_by_region(spark, sf_dir):
     return rp.population_by_region(rp.year_slicer(_population_model(spark, sf_dir), PAGE_YEARS))
 
 
+def page_mean_population_by_state(spark, sf_dir):
+    """Q4 on the population page under the year slicer."""
+    out = rp.mean_population_by_state(rp.year_slicer(_population_model(spark, sf_dir), PAGE_YEARS))
+    return out.withColumn("media_populacao", F.round("media_populacao", 4))
+
+
+def page_year_count_by_state(spark, sf_dir):
+    """Q5 on the population page under the year slicer."""
+    return rp.year_count_by_state(rp.year_slicer(_population_model(spark, sf_dir), PAGE_YEARS))
+
+
+def page_state_count_by_year_region(spark, sf_dir):
+    """Q6 on the population page under the year slicer."""
+    return rp.state_count_by_year_region(rp.year_slicer(_population_model(spark, sf_dir), PAGE_YEARS))
+
+
 def page_cards(spark, sf_dir):
     """Q8-Q11 on the population page under the year slicer."""
     cards = rp.cards(rp.year_slicer(_population_model(spark, sf_dir), PAGE_YEARS))
@@ -1081,6 +1097,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unemployment_table_report": unemployment_table_report,
     "unemployment_by_state_report": unemployment_by_state_report,
     "page_population_by_region": page_population_by_region,
+    "page_mean_population_by_state": page_mean_population_by_state,
+    "page_year_count_by_state": page_year_count_by_state,
+    "page_state_count_by_year_region": page_state_count_by_year_region,
     "page_cards": page_cards,
     "cpi_recipe": cpi_recipe,
     "cpi_matrix_report": cpi_matrix_report,
