@@ -11,9 +11,11 @@ from indistar.llm.common import table
 from indistar.llm.decontaminate import contamination
 from indistar.llm.exact_dedup import exact_groups
 from indistar.llm.langid import identify_languages
+from indistar.llm.minhash import near_groups
 from indistar.llm.packing import pack_documents
 from indistar.llm.sharding import shard_records
 from indistar.llm.token_count import token_counts
+from indistar.llm.toxicity import toxicity
 from indistar.llm.wavelet import token_files
 
 SHARDS = 40
@@ -27,6 +29,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_records(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
@@ -47,8 +57,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_exact_dedup, op6_sharding, op7_token_counts, op8_packing,
-                                   op9_language, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_exact_dedup, op4_toxicity, op5_near_dedup, op6_sharding,
+                                   op7_token_counts, op8_packing, op9_language, op10_token_files)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
