@@ -2,7 +2,8 @@
 
 ``P(grade > j) = sigmoid(w.x - t_j)`` with one weight vector for all ordered
 thresholds ``t_0 < t_1 < ...``; a document's severity is the expected grade,
-the sum of these probabilities.  Features are hashed word counts (log scale).
+the sum of these probabilities.  Features are hashed words and word starts;
+each distinct word of a text adds the log of its count to its features.
 
 The labels say only toxic or not, so grades are derived from them: 0 for
 clean, 1 for the toxic labelled documents with a share of tell-tale words up
@@ -13,7 +14,9 @@ than in clean labelled documents.  The model is fitted on at most
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,17 +30,32 @@ from indistar.llm.decontaminate import words_of
 from indistar.llm.langid import held_out
 
 BITS = 18
-TRAIN_ROWS = 8_000
+MASK = (1 << BITS) - 1
+TRAIN_ROWS = 6_000
+STARTS = (4, 5, 6, 7)  # lengths of the word starts, in characters
+MIN_ROWS = 2  # labelled rows that a feature needs
+_CACHE = 400_000
 STEPS = 200
 L2 = 1e-4
 
 
+def word_features(word: bytes) -> list[int]:
+    """Hash slots of a word and its starts."""
+    text = word.decode("utf-8", "replace")
+    starts = {text[:n] for n in STARTS if n < len(text)}
+    return [zlib.crc32(word) & MASK] + [zlib.crc32(b"^" + p.encode("utf-8", "replace")) & MASK for p in sorted(starts)]
+
+
 def features(raw: bytes | None) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashed words, their counts, and the number of words of a text."""
+    """Slots, their values, and the number of words of a text."""
     words = words_of(raw)
-    h = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) & ((1 << BITS) - 1)
-    at, n = np.unique(h, return_counts=True)
-    return at, n, len(words)
+    slots, values = [], []
+    for word, n in Counter(words).items():
+        own = word_features(word)
+        slots += own
+        values += [math.log1p(n)] * len(own)
+    at, where = np.unique(np.array(slots, np.int64), return_inverse=True)
+    return at, np.bincount(where, values, len(at)).astype(np.float32), len(words)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -49,9 +67,9 @@ class OrdinalModel:
     weights: np.ndarray  # one for each hashed word
     thresholds: np.ndarray  # ascending
 
-    def above(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """P(grade > j) for every threshold j."""
-        return _sigmoid(float(self.weights[at] @ np.log1p(counts)) - self.thresholds)
+    def above(self, total: float) -> np.ndarray:
+        """P(grade > j) for every threshold j, given w.x."""
+        return _sigmoid(total - self.thresholds)
 
 
 def derived_grades(rows: list[tuple], toxic: np.ndarray) -> np.ndarray:
@@ -62,7 +80,7 @@ def derived_grades(rows: list[tuple], toxic: np.ndarray) -> np.ndarray:
         seen[int(t), at] += 1
     odds = np.log((seen[1] + 0.5) / (n_toxic + 1)) - np.log((seen[0] + 0.5) / (n_clean + 1))
     tell = (odds > 2.0) & (seen[1] >= 3)
-    share = np.array([n[tell[at]].sum() / max(1, size) for at, n, size in rows])
+    share = np.array([x[tell[at]].sum() / max(1, size) for at, x, size in rows])
     middle = np.median(share[toxic]) if toxic.any() else 0.0
     return np.where(~toxic, 0, np.where(share <= middle, 1, 2))
 
@@ -74,9 +92,11 @@ def fit_ordinal(rows: list[tuple], grades: np.ndarray, n_grades: int, steps: int
     if not len(rows) or len(set(grades.tolist())) < 2:
         low = int(grades[0]) if len(grades) else 0
         return OrdinalModel(weights, np.where(np.arange(n_grades - 1) < low, -35.0, 35.0))
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
     col = np.concatenate([r[0] for r in rows])
-    val = np.log1p(np.concatenate([r[1] for r in rows]))
+    val = np.concatenate([r[1] for r in rows]).astype(np.float64)
+    keep = (np.bincount(col, minlength=1 << BITS) >= MIN_ROWS)[col]
+    row, col, val = row[keep], col[keep], val[keep]
     used, col = np.unique(col, return_inverse=True)
     share = np.array([max(1e-3, (grades > j).mean()) for j in range(n_grades - 1)])
     share = np.minimum.accumulate(np.minimum(share, 1 - 1e-3))
@@ -127,15 +147,14 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_c
             got = [features(raw.as_py()) for raw in b.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([g[0] for g in got], pa.list_(pa.int32())),
-                 pa.array([g[1] for g in got], pa.list_(pa.int32())), pa.array([g[2] for g in got], pa.int64())],
+                 pa.array([g[1] for g in got], pa.list_(pa.float32())), pa.array([g[2] for g in got], pa.int64())],
                 names=["id", "toxic", "at", "n", "size"])
 
     texts = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").select(F.col("id").cast("long").alias("id"), "toxic", "text") \
-        .mapInArrow(run, "id long, toxic int, at array<int>, n array<int>, size long").toArrow().sort_by("id")
-    rows = rows.combine_chunks()
-    data = [(np.array(a, np.int64), np.array(n, np.int64), size) for a, n, size in
-            zip(rows["at"].to_pylist(), rows["n"].to_pylist(), rows["size"].to_pylist())]
+        .mapInArrow(run, "id long, toxic int, at array<int>, n array<float>, size long").toArrow().sort_by("id")
+    data = [(a.values.to_numpy().astype(np.int64), x.values.to_numpy(), size.as_py())
+            for a, x, size in zip(rows["at"], rows["n"], rows["size"])]
     grades = derived_grades(data, np.array(rows["toxic"].to_pylist(), int) > 0)
     return fit_ordinal(data, grades, 3)
 
@@ -152,12 +171,26 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
         OrdinalModel(model.weights.astype(np.float32), model.thresholds))  # 1 MB whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = holder.value
+        own, known, weight = holder.value, {}, np.zeros(1 << 14)
         for b in batches:
             severity, grade, toxic = [], [], []
             for raw in b.column(2):
-                at, n, size = features(raw.as_py())
-                above = own.above(at, n) if size else np.zeros(len(own.thresholds))
+                words = words_of(raw.as_py())
+                above = np.zeros(len(own.thresholds))
+                if words:
+                    at = list(map(known.get, words))
+                    if None in at:
+                        if len(known) + len(words) > _CACHE:
+                            known.clear()
+                        for w in words:
+                            if w not in known:
+                                if len(known) == len(weight):
+                                    weight = np.concatenate([weight, np.zeros_like(weight)])
+                                weight[len(known)] = own.weights[word_features(w)].sum()
+                                known[w] = len(known)
+                        at = list(map(known.get, words))
+                    k, n = np.unique(np.array(at), return_counts=True)
+                    above = own.above(float(weight[k] @ np.log1p(n)))
                 severity.append(float(above.sum()))
                 grade.append(int(np.argmax(-np.diff(np.concatenate([[1.0], above, [0.0]])))))
                 toxic.append(bool(above[0] >= 0.5))
