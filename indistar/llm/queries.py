@@ -13,6 +13,7 @@ from indistar.llm.exact_dedup import exact_groups
 from indistar.llm.langid import identify_languages
 from indistar.llm.minhash import near_groups
 from indistar.llm.packing import pack_documents
+from indistar.llm.repeats import remove_repeats
 from indistar.llm.sharding import shard_records
 from indistar.llm.token_count import token_counts
 from indistar.llm.toxicity import toxicity
@@ -21,6 +22,10 @@ from indistar.llm.wavelet import token_files
 SHARDS = 40
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -57,8 +62,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_exact_dedup, op4_toxicity, op5_near_dedup, op6_sharding,
-                                   op7_token_counts, op8_packing, op9_language, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_repeats, op2_decontaminate, op3_exact_dedup, op4_toxicity, op5_near_dedup,
+                                   op6_sharding, op7_token_counts, op8_packing, op9_language, op10_token_files)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
