@@ -31,6 +31,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return rest.union(least.select("a", F.col("m").alias("b")))
 
 
+def near_labels(edges: DataFrame, hops: int) -> DataFrame:
+    """``node, component`` with the smallest node within ``hops`` edges: nodes
+    with equal labels are connected, connected ones may still differ."""
+    near = _both_ways(edges)
+    out = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    for _ in range(hops - 1):
+        out = near.join(out.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.least(F.min("m"), F.col("a")).alias("m"))
+    return out.select(F.col("a").alias("node"), F.col("m").alias("component"))
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """``node, component`` for every node of the edges ``a, b`` (longs), with
     the smallest node of a component as its name.  Self-loops, repeated edges

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indistar.llm.common import materialise, utf8
-from indistar.llm.components import components
+from indistar.llm.components import components, near_labels
 
 K = 64
 Z = 5.5
@@ -201,25 +201,28 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = materialise(texts.join(F.broadcast(ids) if few else ids, "id", "left_semi"), "texts")
 
     links = materialise(_verified(stars, texts, size, per_cent), "links")
-    at = materialise(_mixed(lists, components(links)), "lists")
+    at = materialise(_mixed(lists, near_labels(links, 1)), "lists")
     crowded = materialise(_crowded(at), "crowded")
-    turn = materialise(_estimated(_pivot_pairs(at.join(crowded, "value", "left_semi"), per_cent).join(
-        stars, ["a", "b"], "left_anti"), classes, k, per_cent), "pairs")
-    links = materialise(links.union(_verified(turn, texts, size, per_cent)), "links")
-
-    found = components(links)
-    at = materialise(_mixed(lists, found), "lists")
-    quiet = _cross_pairs(at.join(crowded, "value", "left_anti"), per_cent)
-    full = materialise(_full_lists(at.join(crowded, "value", "left_semi").select("id").distinct(), texts, size,
-                                   per_cent), "full")
-    rest = quiet.union(_full_pairs(_mixed(full, found), per_cent)).distinct() \
-        .join(stars.union(turn), ["a", "b"], "left_anti")
-    rest = materialise(_estimated(rest, classes, k, per_cent), "rest")
+    tested = stars
+    if not crowded.isEmpty():
+        turn = materialise(_estimated(_pivot_pairs(at.join(crowded, "value", "left_semi"), per_cent).join(
+            stars, ["a", "b"], "left_anti"), classes, k, per_cent), "pairs")
+        links = materialise(links.union(_verified(turn, texts, size, per_cent)), "links")
+        tested = stars.union(turn)
+        labels = materialise(near_labels(links, 2), "labels")
+        at = _mixed(lists, labels)
+        full = _full_lists(at.join(crowded, "value", "left_semi").select("id").distinct(), texts, size, per_cent)
+        rest = _cross_pairs(at.join(crowded, "value", "left_anti"), per_cent).union(
+            _full_pairs(_mixed(full, labels), per_cent)).distinct()
+    else:
+        rest = _cross_pairs(at, per_cent)
+    rest = materialise(_estimated(rest.join(tested, ["a", "b"], "left_anti"), classes, k, per_cent), "rest")
     return drawn, materialise(links.union(_verified(rest, texts, size, per_cent)).union(same), "links")
 
 
 def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """The lists that hold several components, with the component ``c``."""
+    """The lists that hold several known components, with the component
+    ``c``."""
     at = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "c", F.coalesce("component", "id")).drop("component")
     several = at.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
@@ -270,7 +273,6 @@ def _full_lists(ids: DataFrame, texts: DataFrame, size: int, per_cent: int) -> D
                      pa.array(np.concatenate(part) if part else np.empty(0, np.int64))], names=["id", "n", "value"])
 
     rows = texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, n long, value long")
-    rows = materialise(rows, "shingles")
     shared = rows.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     return rows.join(shared, "value").groupBy("id").agg(
         F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v")) \
