@@ -90,9 +90,10 @@ def avg_of_avgs(df: DataFrame, groups: Sequence[str], label: str, value,
 
 
 def single_value(c) -> Column:
-    """The value when exactly one distinct value is in scope, else null."""
+    """The value when exactly one distinct value is in scope, else null; a
+    blank counts as a value."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(F.count_distinct(c) == 1, F.max(c))
+    return F.when((F.min(c) == F.max(c)) & (F.count(c) == F.count(F.lit(1))), F.max(c))
 
 
 def value_list(df: DataFrame, column: str) -> DataFrame:

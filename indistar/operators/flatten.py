@@ -69,7 +69,8 @@ def category_of(classifications, classification_id) -> Column:
 
 def catalog_profile(raw: DataFrame) -> DataFrame:
     """Metadata profile of nested documents: variables, levels, classifications
-    and their categories (distinct rows).
+    and their categories (distinct rows).  A variable without classifications
+    keeps its levels, with null classification columns.
 
     Works on the result level and never explodes the period maps, so its
     cost is independent of the number of periods per series.
@@ -82,10 +83,10 @@ def catalog_profile(raw: DataFrame) -> DataFrame:
                   F.explode(levels).alias("nivel"))
     cls = lv.select("variavel_id", "variavel_nome", "unidade",
                     F.col("nivel.id").alias("nivel_id"), F.col("nivel.nome").alias("nivel_nome"),
-                    F.explode("classificacoes").alias("c"))
+                    F.explode_outer("classificacoes").alias("c"))
     return (cls.select("variavel_id", "variavel_nome", "unidade", "nivel_id", "nivel_nome",
                        F.col("c.id").alias("classificacao_id"), F.col("c.nome").alias("classificacao_nome"),
-                       F.explode("c.categoria").alias("categoria_id", "categoria_nome"))
+                       F.explode_outer("c.categoria").alias("categoria_id", "categoria_nome"))
             .distinct())
 
 

@@ -2,9 +2,7 @@
 
 Dimensions of a fixed, known size (the 27-state table, a calendar over a
 date span, a window table) are broadcast by hint.  A side whose size
-depends on the data is broadcast only after ``bounded`` proves a row bound
-with a distributed count; otherwise the plain join is left to
-the planner (sort-merge, or a runtime broadcast/skew split chosen by AQE
+depends on the data is left to the planner (sort-merge, or a runtime broadcast/skew split chosen by AQE
 from real shuffle statistics).
 """
 
@@ -15,35 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Above this many rows a dimension is not broadcast by hint.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    An exact count with partial counts per task: every task sends one
-    number.  (``limit(n + 1).count()`` would instead move up to n + 1 rows
-    of EVERY task through a single-partition exchange into one task.)
-    """
-    return df.count() <= max_rows
-
-
-def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the row bound is proven."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def attach_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                     broadcast: bool = True, max_rows: int | None = None) -> DataFrame:
+                     broadcast: bool = True) -> DataFrame:
     """Many-to-one fact -> dimension join.
 
     ``broadcast=True`` is for dimensions whose size is fixed by construction;
-    pass ``max_rows`` to check the bound at run time instead.
+    pass False for a side that grows with the data, and AQE chooses.
     """
-    if max_rows is not None:
-        dim = bounded(dim, max_rows)
-    elif broadcast:
+    if broadcast:
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 

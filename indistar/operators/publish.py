@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,13 +54,25 @@ def _pointer_path(root: str) -> str:
     return root.rstrip("/") + "/" + POINTER
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Folder the pointer names, or None for a table never published."""
+def _read_if_there(read) -> DataFrame | None:
+    """``read()``, or None when its path does not exist; every other error
+    propagates, so a failed read is never taken for a new table."""
     try:
-        row = spark.read.text(_pointer_path(root)).first()
-    except Exception:  # pointer absent: no version yet
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Folder the newest commit names, or None for a table never published."""
+    commits = _read_if_there(lambda: spark.read.text(_pointer_path(root)))
+    if commits is None:
         return None
-    return row["value"].strip() if row else None
+    stamp = F.regexp_extract("value", r"v_(\d+)$", 1).cast("long")
+    row = commits.agg(F.max(F.struct(stamp.alias("stamp"), F.trim("value").alias("value"))).alias("c")).first()
+    return row["c"]["value"] if row["c"] else None
 
 
 def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame | None:
@@ -68,8 +81,10 @@ def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
 
 
 def set_pointer(spark: SparkSession, root: str, version_path: str) -> None:
+    """Commit a complete version: one more immutable file, nothing deleted.
+    Readers see the old version until the file is there, then the new one."""
     (spark.createDataFrame([(version_path,)], "value string").coalesce(1)
-     .write.mode("overwrite").text(_pointer_path(root)))
+     .write.mode("append").text(_pointer_path(root)))
 
 
 def new_version_path(root: str) -> str:
@@ -88,6 +103,13 @@ def merge_snapshot(target: DataFrame | None, updates: DataFrame, keys: Sequence[
     return updates.unionByName(kept.select(*updates.columns))
 
 
+def _refuse_repeated_keys(updates: DataFrame, root: str, keys: Sequence[str]) -> None:
+    dup = (updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+           .filter("n > 1").limit(1).count())
+    if dup:
+        raise ValueError(f"upsert batch for {root} repeats keys {list(keys)}")
+
+
 def upsert(spark: SparkSession, updates: DataFrame, root: str, keys: Sequence[str],
            fmt: str = "parquet", partition_by: Sequence[str] = (),
            sort_within: Sequence[str] = ()) -> str:
@@ -96,10 +118,7 @@ def upsert(spark: SparkSession, updates: DataFrame, root: str, keys: Sequence[st
     Duplicate keys inside ``updates`` are refused (an upsert batch must be a
     function of its key).
     """
-    dup = (updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-           .filter("n > 1").limit(1).count())
-    if dup:
-        raise ValueError(f"upsert batch for {root} repeats keys {list(keys)}")
+    _refuse_repeated_keys(updates, root, keys)
     merged = merge_snapshot(read_current(spark, root, fmt), updates, keys)
     version = new_version_path(root)
     write_table(merged, version, fmt, partition_by=partition_by, sort_within=sort_within)
@@ -119,20 +138,17 @@ def upsert_partitions(spark: SparkSession, updates: DataFrame, path: str, keys:
     touched partition values (a list bounded by the partition count).
     """
     from ..session import cut_lineage
-    touched = [tuple(r) for r in updates.select(*partition_by).distinct().collect()]
-    try:
-        target = spark.read.parquet(path)
-    except Exception:  # nothing published yet
-        target = None
+    _refuse_repeated_keys(updates, path, keys)
+    slots = updates.select(*partition_by).distinct()
+    touched = [tuple(r) for r in slots.collect()]
+    target = _read_if_there(lambda: spark.read.parquet(path))
     if target is not None and touched:
-        cond = None
-        for values in touched:
-            c = None
-            for col, v in zip(partition_by, values):
-                term = F.col(col).isNull() if v is None else (F.col(col) == F.lit(v))
-                c = term if c is None else c & term
-            cond = c if cond is None else cond | c
-        target = target.filter(cond)  # partition pruning: only touched folders are read
+        for i, col in enumerate(partition_by):  # one flat list per column prunes the folders
+            values = {v[i] for v in touched}
+            known = F.col(col).isin([v for v in values if v is not None])
+            target = target.filter(known | F.col(col).isNull() if None in values else known)
+        same = [target[c].eqNullSafe(slots[c]) for c in partition_by]
+        target = target.join(slots, same, "left_semi")
     merged = cut_lineage(merge_snapshot(target, updates, keys))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))

@@ -44,6 +44,9 @@ def stage_long_layer(spark: SparkSession, raw_dir: str, long_root: str,
     paths = sn.newest_snapshots(spark, raw_dir, {n: c["agregado"] for n, c in chosen.items()})
     raw = rd.read_nested(spark, list(paths.values()), mode="FAILFAST")
     raw = raw.withColumn("dataset", F.regexp_extract("arquivo", sn.SNAPSHOT_NAME, 2))
+    filled = {r["dataset"] for r in raw.select("dataset").distinct().collect()}  # one row per chosen dataset
+    if empty := sorted(set(paths) - filled):
+        raise ValueError(f"newest snapshot without a record: {empty}")
     long = fl.flatten_nested(raw, carry=["dataset"], spread=spread)
     (long.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dataset").parquet(long_root))
@@ -148,12 +151,12 @@ def run_bacen(spark: SparkSession, raw_dir: str, out_root: str,
         # one read of the landing folder; the file-name filter prunes the
         # files of unselected datasets before they are opened, so no list
         # of paths passes through the driver
-        raw = rd.read_flat_series(spark, raw_dir, recursive=True)
+        raw = rd.read_flat_series(spark, raw_dir, mode="FAILFAST", recursive=True)
         raw = raw.filter(F.regexp_extract("arquivo", sn.SNAPSHOT_NAME, 2).isin(list(chosen)))
         hist = ds.bacen_from_raw(raw, chosen)
     else:
         paths = list(sn.newest_snapshots(spark, raw_dir, {n: c["codigo"] for n, c in chosen.items()}).values())
-        hist = ds.bacen_serie_historica(spark, paths, chosen)
+        hist = ds.bacen_from_raw(rd.read_flat_series(spark, paths, mode="FAILFAST"), chosen)
     if start is not None or end is not None:
         hist = cat.date_range(hist, "data_referencia", start, end)
     ct.assert_contract(TABLE_CONTRACTS["bacen_serie_historica"], hist)

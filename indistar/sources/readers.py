@@ -83,22 +83,6 @@ def read_with_file_name(spark: SparkSession, paths, fmt: str = "parquet",
     return reader.load(_paths(paths)).select("*", F.col("_metadata.file_name").alias("arquivo"))
 
 
-def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an input that has fewer scan splits than task slots.
-
-    Large inputs (many files / row groups) already split into at least as
-    many tasks as there are cores and pass through untouched, so no shuffle
-    is added at scale; a small file with a single row group would otherwise
-    run every per-row expression in one task.
-    """
-    try:
-        slots = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def read_csv_typed(spark: SparkSession, paths, schema: T.StructType,
                    date_format: str = "yyyy-MM-dd", mode: str = "FAILFAST") -> DataFrame:
     """Header CSV with a declared schema (UTF-8 BOM in the header is tolerated)."""

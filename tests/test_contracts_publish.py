@@ -120,3 +120,41 @@ def test_upsert_partitions_rewrites_only_touched(spark, tmp_path):
     assert got == [(1, 2020, "a"), (2, 2021, "B"), (3, 2021, "c"), (4, 2021, "d")]
     after = {f: os.path.getmtime(tmp_path / "part" / "ano=2020" / f) for f in f2020}
     assert after == before  # untouched partition not rewritten
+
+
+def test_failed_commit_read_keeps_the_table(spark, tmp_path, monkeypatch):
+    from pyspark.errors import AnalysisException
+    root = str(tmp_path / "t")
+    pb.upsert(spark, spark.range(100).withColumnRenamed("id", "k"), root, ["k"])
+
+    def broken(read):
+        raise AnalysisException("store is away")
+    with monkeypatch.context() as m:
+        m.setattr(pb, "_read_if_there", broken)
+        with pytest.raises(AnalysisException):
+            pb.upsert(spark, spark.range(100, 101).withColumnRenamed("id", "k"), root, ["k"])
+    assert pb.read_current(spark, root).count() == 100
+    pb.upsert(spark, spark.range(100, 101).withColumnRenamed("id", "k"), root, ["k"])
+    assert pb.read_current(spark, root).count() == 101
+
+
+def test_crash_before_the_commit_keeps_the_table(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    pb.upsert(spark, spark.range(5).withColumnRenamed("id", "k"), root, ["k"])
+    with monkeypatch.context() as m:
+        m.setattr(pb, "set_pointer", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            pb.upsert(spark, spark.range(5, 9).withColumnRenamed("id", "k"), root, ["k"])
+    assert pb.read_current(spark, root).count() == 5
+
+
+def test_upsert_of_many_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "t")
+    days = spark.range(400).select("id", (F.col("id") % 200).alias("a"), F.when(F.col("id") >= 200, F.col("id")).alias("b"))
+    pb.upsert_partitions(spark, days.withColumn("v", F.lit(1)), path, ["id"], ["a", "b"])
+    pb.upsert_partitions(spark, days.withColumn("v", F.lit(2)), path, ["id"], ["a", "b"])
+    got = spark.read.parquet(path)
+    assert got.count() == 400 and got.agg(F.min("v")).first()[0] == 2
+    with pytest.raises(ValueError):
+        pb.upsert_partitions(spark, days.union(days).withColumn("v", F.lit(3)), path, ["id"], ["a", "b"])

@@ -98,6 +98,7 @@ def test_previous_period_change_gap_and_share(spark):
 
 
 def test_single_value(spark):
-    df = spark.createDataFrame([("a", "Norte"), ("a", "Norte"), ("b", "Sul"), ("b", "Norte")], "g string, r string")
+    df = spark.createDataFrame([("a", "Norte"), ("a", "Norte"), ("b", "Sul"), ("b", "Norte"),
+                                ("c", "Norte"), ("c", None)], "g string, r string")
     got = {r.g: r.v for r in df.groupBy("g").agg(agg.single_value("r").alias("v")).collect()}
-    assert got == {"a": "Norte", "b": None}
+    assert got == {"a": "Norte", "b": None, "c": None}
