@@ -14,10 +14,13 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from indistar.llm.common import parts
 
@@ -33,6 +36,7 @@ _ODD = [re.compile(f"[^0-9A-Za-zÀ-ÖØ-öø-ɏ \\n{_MARKS}]"),
         re.compile(r"[ \n][ \n.,]")]
 _RUNS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 _PART = 1 << 20
+_GROUP = 6 << 20
 # Byte-level vocabularies write each byte as one printable sign: itself where
 # it prints, else the next free sign from 256 on.
 _PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -41,9 +45,10 @@ _BYTE_SIGN = [chr(b) if b in _PRINTS else chr(256 + sum(x not in _PRINTS for x i
 
 class ChunkEncoder:
     """``encode(text)`` gives the ids that ``tokenizers`` gives for the text
-    (``add_special_tokens=False``) as an int32 array."""
+    (``add_special_tokens=False``) as an int32 array; ``encode_all`` does so
+    for many texts."""
 
-    def __init__(self, path: str, cache: int = 600_000):
+    def __init__(self, path: str, cache: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -52,6 +57,7 @@ class ChunkEncoder:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         # a byte-level vocabulary keeps blanks; the lower-casing one drops them
         self.keeps_blanks = self.tok.normalizer is None
+        self.sep = "\x1f" if self.keeps_blanks else " "
         self._clear()
 
     def _clear(self) -> None:
@@ -61,18 +67,20 @@ class ChunkEncoder:
         self.size = np.zeros(1 << 14, np.int32)
         self.used = 0
 
-    def _chunks(self, text: str) -> list[str]:
+    def _separated(self, text: str) -> str:
+        """The text with ``sep`` between its chunks."""
         if self.keeps_blanks:
             if any(odd.search(text) for odd in _ODD):
-                return _RUNS.findall(text)
+                return self.sep.join(_RUNS.findall(text))
             return (text.replace(" ", "\x1f ").replace(".", "\x1f.").replace(",", "\x1f,")
-                    .replace("\n", "\x1f\n\x1f").split("\x1f"))
+                    .replace("\n", "\x1f\n\x1f"))
         low = text.lower()
-        if "Σ" not in text and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low):
-            text = low  # the vocabulary lower-cases; doing it first merges chunks
-        if text is not low or any(odd.search(text) for odd in _ODD):
-            return text.split(" ")
-        return text.replace(".", " .").replace(",", " ,").replace("\n", " ").split(" ")
+        if "Σ" in text or not (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)):
+            return text
+        # the vocabulary lower-cases; doing it first merges chunks
+        if any(odd.search(low) for odd in _ODD):
+            return low
+        return low.replace(".", " .").replace(",", " ,").replace("\n", " ")
 
     def _ids(self, new: list[str]) -> list[list[int]]:
         """Ids of chunks.  One word is one pre-token and goes straight to the
@@ -111,30 +119,54 @@ class ChunkEncoder:
         self.used += total
         self.at.update(zip(new, range(n0, n1)))
 
-    def _gather(self, chunks: list[str]) -> np.ndarray:
-        at = self.at
-        index = list(map(at.get, chunks))
+    def _places(self, chunks: list[str]) -> np.ndarray:
+        index = list(map(self.at.get, chunks))
         if None in index:
-            new = list({c for c, i in zip(chunks, index) if i is None})
-            self._learn(new)
-            at = self.at
-            index = list(map(at.get, chunks))
+            self._learn([c for c, i in zip(chunks, index) if i is None])
+            index = list(map(self.at.get, chunks))
             if None in index:  # the cache was emptied on the way
-                self._learn(list({c for c in chunks if c not in at}))
+                self._learn([c for c, i in zip(chunks, index) if i is None])
                 index = list(map(self.at.get, chunks))
-        k = np.array(index, np.int64)
-        size = self.size[k]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.repeat(self.first[k] - ends + size, size) + np.arange(total)]
+        return np.array(index, np.int64)
+
+    def _group(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        cut, owner = [], []
+        for i, t in enumerate(texts):
+            if any(s in t for s in self.special) or (self.keeps_blanks and self.sep in t):
+                out[i].append(np.array(self.tok.encode(t, add_special_tokens=False).ids, np.int32))
+            elif t:
+                for p in parts(t, _PART):
+                    cut.append(self._separated(p))
+                    owner.append(i)
+        if cut:
+            lists = pc.split_pattern(pa.array(cut, pa.large_string()), self.sep)
+            chunks = lists.flatten().dictionary_encode()
+            k = self._places(chunks.dictionary.to_pylist())[chunks.indices.to_numpy()]
+            size = self.size[k]
+            ends = np.cumsum(size, dtype=np.int64)
+            shift = (self.first[k] - ends + size).astype(np.int32)  # a group and the cache are far below 2^31 ids
+            ids = self.ids[np.repeat(shift, size) + np.arange(int(ends[-1]), dtype=np.int32)]
+            border = np.concatenate([[0], ends])[lists.offsets.to_numpy()].tolist()
+            for j, i in enumerate(owner):
+                out[i].append(ids[border[j]:border[j + 1]])
+        return [x[0] if len(x) == 1 else np.concatenate(x) if x else np.empty(0, np.int32) for x in out]
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; chunks are looked up once for a
+        group of texts."""
+        group, size = [], 0
+        for t in texts:
+            group.append(t)
+            size += len(t)
+            if size >= _GROUP:
+                yield from self._group(group)
+                group, size = [], 0
+        if group:
+            yield from self._group(group)
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.int32)
-        if any(s in text for s in self.special):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.int32)
-        got = [self._gather(self._chunks(p)) for p in parts(text, _PART)]
-        return got[0] if len(got) == 1 else np.concatenate(got)
+        return next(self.encode_all([text]))
 
 
 @lru_cache(maxsize=2)

@@ -151,10 +151,16 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, max_tokens:
 
         packer, todo = Packer(max_tokens, max_segments, max_loss, emit), []
         for b in batches:
-            for doc, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                text = raw.as_py().decode("utf-8", "replace") if raw.is_valid else ""
-                ids = np.append(enc.encode(text), end_id).astype("<u4")
-                rate = float(min(max(loss_rate(text), 0.0), 1.0))
+            rates: list[float] = []
+
+            def texts() -> Iterator[str]:
+                for raw in b.column(1):
+                    text = raw.as_py().decode("utf-8", "replace") if raw.is_valid else ""
+                    rates.append(float(min(max(loss_rate(text), 0.0), 1.0)))
+                    yield text
+
+            for k, (doc, ids) in enumerate(zip(b.column(0).to_pylist(), enc.encode_all(texts()))):
+                ids, rate = np.append(ids, end_id).astype("<u4"), rates[k]
                 held[number] = (doc, ids, rate)
                 todo.append((number, 0, len(ids), rate))
                 number += 1

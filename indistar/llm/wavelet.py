@@ -192,8 +192,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()),
                                   ("n_tokens", pa.int64()), ("file", pa.binary())]))
         for b in batches:
-            for key, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                got = enc.encode(raw.as_py().decode("utf-8", "replace") if raw.is_valid else "")
+            texts = (raw.as_py().decode("utf-8", "replace") if raw.is_valid else "" for raw in b.column(1))
+            for key, got in zip(b.column(0).to_pylist(), enc.encode_all(texts)):
                 ids += [got, np.array([end_id], np.int32)]
                 keys.append(key)
                 sizes.append(len(got) + 1)
