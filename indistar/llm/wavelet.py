@@ -43,8 +43,9 @@ class WaveletMatrix:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> "WaveletMatrix":
-        symbols, codes = np.unique(ids, return_inverse=True)
-        codes = codes.astype(np.uint16 if len(symbols) <= 1 << 16 else np.uint32)
+        present = np.bincount(ids, minlength=1) > 0  # token ids are below the vocabulary's size
+        symbols = np.flatnonzero(present).astype(ids.dtype)
+        codes = (np.cumsum(present) - 1)[ids].astype(np.uint16 if len(symbols) <= 1 << 16 else np.uint32)
         out, planes = np.empty_like(codes), []
         for level in range(max(0, int(len(symbols) - 1).bit_length()) - 1, -1, -1):
             ones = (codes & codes.dtype.type(1 << level)) != 0
