@@ -36,7 +36,7 @@ _ODD = [re.compile(f"[^0-9A-Za-zÀ-ÖØ-öø-ɏ \\n{_MARKS}]"),
         re.compile(r"[ \n][ \n.,]")]
 _RUNS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 _PART = 1 << 20
-_GROUP = 6 << 20
+_GROUP = 3 << 20
 # Byte-level vocabularies write each byte as one printable sign: itself where
 # it prints, else the next free sign from 256 on.
 _PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -48,7 +48,7 @@ class ChunkEncoder:
     (``add_special_tokens=False``) as an int32 array; ``encode_all`` does so
     for many texts."""
 
-    def __init__(self, path: str, cache: int = 1_000_000):
+    def __init__(self, path: str, cache: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -169,6 +169,8 @@ class ChunkEncoder:
         return next(self.encode_all([text]))
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+@lru_cache(maxsize=1)
+def encoder(path: str, cache: int = 400_000) -> ChunkEncoder:
+    """The process's encoder; ``cache`` bounds its chunks (about 250 bytes
+    each)."""
+    return ChunkEncoder(path, cache)

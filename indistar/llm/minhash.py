@@ -42,7 +42,7 @@ NO_ID = -(1 << 63)  # stands for a null id, below all others
 BROADCAST_IDS = 2_000_000  # 16 MB of ids at most are broadcast; more are joined by a shuffle
 PIVOTS = 4  # drawn members of a crowded list that the others are compared with
 CROWDED = 8  # pairs for each row from which a list is crowded
-_CACHE = 400_000
+_CACHE = 200_000
 _words: dict[bytes, int] = {}
 
 

@@ -183,7 +183,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     ``file_tokens``; a very long document makes one larger file.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, seq = encoder(tokenizer, 1_000_000), TaskContext.get().partitionId(), 0
         ids, keys, sizes, total = [], [], [], 0
 
         def close() -> pa.RecordBatch:
