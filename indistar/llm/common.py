@@ -63,3 +63,14 @@ def parts(text: str, size: int, blanks: str = " \t\n\r") -> Iterator[str]:
         yield text[start:at]
         start = at
     yield text[start:]
+
+
+_held: dict = {}
+
+
+def claim(owner: str, clear=lambda: None) -> None:
+    """Caches of one operator at a time: a reused Python worker drops those
+    of the operator that ran in it before."""
+    for other in [o for o in _held if o != owner]:
+        _held.pop(other)()
+    _held[owner] = clear

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import utf8
+from indistar.llm.common import claim, utf8
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -177,10 +177,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
                        F.lit(None).cast("binary").alias("hit"), F.array().cast("array<string>").alias("items"),
                        F.struct(*(keep or [F.lit(1).alias("one")])).alias("rest"))
     schema = rows.schema
-    arrow = None
 
     def pass_over(holder):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            claim("automaton")
             names, automaton = holder.value
             for b in batches:
                 hits, found = [], []
@@ -197,18 +197,25 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
                      b.column(4)], names=["doc_id", "text", "hit", "items", "rest"])
         return run
 
+    last = None  # the last automaton runs in the finishing pass
     for block in _blocks(items, item_id, item_text, block_words):
         automaton = ItemAutomaton([ws for _, ws in block], window)
-        rows = rows.mapInArrow(pass_over(spark.sparkContext.broadcast(
-            ([name or "" for name, _ in block], automaton))), schema)
+        if last is not None:
+            rows = rows.mapInArrow(pass_over(last), schema)
+        last = spark.sparkContext.broadcast(([name or "" for name, _ in block], automaton))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("automaton")
+        own_names, automaton = last.value if last is not None else ([], None)
         for b in batches:
             out: list[tuple] = []
             for raw, hit, found in zip(b.column(1), b.column(2), b.column(3).to_pylist()):
                 words = words_of(raw.as_py())
                 mask = np.unpackbits(np.frombuffer(hit.as_py(), np.uint8), count=len(words)).view(bool) \
                     if hit.is_valid else np.zeros(len(words), bool)
+                if automaton is not None:
+                    mask = mask.copy()
+                    found = found + [own_names[k] for k in automaton.scan(words, mask)]
                 names = sorted(set(found))
                 n = int(mask.sum())
                 out.append((len(words), n, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), n > 0,

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from indistar.llm.common import parts
+from indistar.llm.common import claim, parts
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -170,7 +170,12 @@ class ChunkEncoder:
 
 
 @lru_cache(maxsize=1)
+def _loaded(path: str, cache: int) -> ChunkEncoder:
+    return ChunkEncoder(path, cache)
+
+
 def encoder(path: str, cache: int = 400_000) -> ChunkEncoder:
     """The process's encoder; ``cache`` bounds its chunks (about 250 bytes
     each)."""
-    return ChunkEncoder(path, cache)
+    claim("encoder", _loaded.cache_clear)
+    return _loaded(path, cache)

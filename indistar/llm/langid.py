@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import utf8
+from indistar.llm.common import claim, utf8
 
 DIMS = 1024
 ORDER = 3
@@ -125,6 +125,7 @@ def train_prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str
     is scaled to unit length before it is added.  Only one vector per language
     reaches the driver; more than ``max_languages`` languages are an error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language")
         sums: dict[str, np.ndarray] = {}
         for whole in batches:
             for b in _slices(whole, 1):
@@ -163,6 +164,7 @@ def predict_languages(docs: DataFrame, prototypes: dict[str, np.ndarray], text_c
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language")
         for whole in batches:
             for b in _slices(whole, 1):
                 vectors, letters = bundle(_texts(b.column(1)), dims, order)

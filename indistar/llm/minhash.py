@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import materialise, utf8
+from indistar.llm.common import claim, materialise, utf8
 from indistar.llm.components import components, near_labels
 
 K = 64
@@ -82,6 +82,7 @@ def least_shared(n: Column, k: int = K, per_cent: int = SIMILARITY) -> Column:
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int = WORDS, k: int = K) -> DataFrame:
     """``id, n, key, sketch``: set size, 128-bit hash of the set, k least."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingles", _words.clear)
         for b in batches:
             n, key, sketch = [], [], []
             for raw in b.column(1):
@@ -154,6 +155,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, k: int, per_cent: int) -> D
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, per_cent: int) -> DataFrame:
     """Pairs with ``100 * intersection >= per_cent * union`` on full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingles", _words.clear)
         last: tuple = (None, None)
         for b in batches:
             ok = []
@@ -262,6 +264,7 @@ def _full_lists(ids: DataFrame, texts: DataFrame, size: int, per_cent: int) -> D
     is the largest partner that can still be similar if this value, at its
     place in the rare-first order, is the first one that both have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingles", _words.clear)
         for b in batches:
             sets = [(shingle_set(raw.as_py(), size) ^ np.uint64(1 << 63)).view(np.int64) for raw in b.column(1)]
             for i in range(0, len(sets), 500):  # bounded batches of long lists

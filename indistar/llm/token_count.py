@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import parts, utf8
+from indistar.llm.common import claim, parts, utf8
 
 MARK = "▁"
 _BIG = np.int64(1) << 40
@@ -175,10 +175,15 @@ class PieceCounter:
 
 
 @lru_cache(maxsize=1)
-def counter(path: str) -> PieceCounter:
+def _loaded(path: str) -> PieceCounter:
     return PieceCounter(path)
 
 
+def counter(path: str) -> PieceCounter:
+    claim("pieces", _loaded.cache_clear)
+    return _loaded(path)
+
+
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 4096, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_bytes, n_tokens, over_limit``.
