@@ -17,8 +17,9 @@
    shingle sets decides.
 
 The least number of shared values is a lower bound of a hypergeometric count
-with ``Z`` standard deviations to spare (below 1e-7 for a pair to fall short);
-for sets no larger than 0.75 k it is exact.
+with ``Z`` standard deviations to spare (below 1e-7 for a pair to fall short).  A
+union of at most k shingles is retained whole: sets no larger than 0.75 k have
+the exact bound, larger ones up to k the smaller of both.
 """
 
 from __future__ import annotations
@@ -71,12 +72,15 @@ def shingle_set(raw: bytes | None, size: int = WORDS) -> np.ndarray:
 
 def least_shared(n: Column, k: int = K, per_cent: int = SIMILARITY) -> Column:
     """Retained values that a set of n shingles shares at least with any set
-    of the given similarity."""
+    of the given similarity.  A union of at most k shingles is retained whole
+    and the pair shares ``per_cent`` of n; a larger one, possible where n is
+    over ``per_cent`` of k, is drawn from."""
     p = per_cent / 100
     most = n / F.lit(p)
     spread = F.sqrt(F.lit(k * p * (1 - p)) * (most - k) / (most - 1))
-    return F.when(n <= int(k * p), F.ceil(n * F.lit(per_cent) / 100)).otherwise(
-        F.greatest(F.floor(F.lit(k * p) - F.lit(Z) * spread), F.lit(1))).cast("int")
+    whole = F.ceil(n * F.lit(per_cent) / 100)
+    drawn = F.greatest(F.floor(F.lit(k * p) - F.lit(Z) * spread), F.lit(1))
+    return F.when(n <= int(k * p), whole).when(n <= k, F.least(whole, drawn)).otherwise(drawn).cast("int")
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int = WORDS, k: int = K) -> DataFrame:

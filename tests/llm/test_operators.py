@@ -206,6 +206,23 @@ def test_near_groups_of_a_crowded_list(spark, monkeypatch):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(texts)
 
 
+def test_near_groups_of_every_size_around_the_sketch(spark):
+    """One word changed in the middle, or the tail cut off to each length
+    that is still similar."""
+    texts = {}
+    for n in range(45, 71):
+        words = [f"s{n}x{k}" for k in range(n + 4)]
+        for kind, cuts in (("c", [None]), *((f"t{m}", [m]) for m in range(-(-3 * n // 4), n))):
+            own = [f"{kind}{w}" for w in words]
+            copy = own[:cuts[0] + 4] if cuts[0] else [*own[:25], "changed", *own[26:]]
+            texts[len(texts)] = " ".join(own)
+            texts[len(texts)] = " ".join(copy)
+    got = minhash.near_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    want = {i: (len(minhash.shingle_set(t.encode())), i - i % 2) for i, t in texts.items()}
+    assert all(3 * want[i][0] <= 4 * want[i + 1][0] for i in range(0, len(texts), 2))
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == want
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(r.randrange(60), r.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]
