@@ -1,8 +1,8 @@
 """Near-duplicates from bottom-k sketches of one hash function.
 
 1. Each document's distinct word shingles are hashed once; the k smallest
-   hashes are its sketch.  Documents with equal shingle sets form one class
-   and only its smallest id goes on.
+   hashes are its sketch.  Rows with equal shingle sets form one class, named
+   by a row number; the search knows classes only, never document ids.
 2. Inverted lists of retained values.  A pair with similarity 0.75 shares a
    known least number of retained values, so each document enters only the
    lists of its rarest values (rare first, in one global order): values that
@@ -15,6 +15,8 @@
    bounds are exact and leave the documents out that are near nobody.
 4. A union-sketch estimate filters pairs, the Jaccard coefficient on the full
    shingle sets decides.
+5. Classes that share a document id are linked, and the components of classes
+   are mapped back to the rows.
 
 The least number of shared values is a lower bound of a hypergeometric count
 with ``Z`` standard deviations to spare (below 1e-7 for a pair to fall short).  A
@@ -39,8 +41,8 @@ K = 64
 Z = 5.5
 WORDS = 5
 SIMILARITY = 75  # per cent
-NO_ID = -(1 << 63)  # stands for a null id, below all others
 BROADCAST_IDS = 2_000_000  # 16 MB of ids at most are broadcast; more are joined by a shuffle
+BROADCAST_TEXTS = 500_000  # the same for ids with the checksum of their text
 PIVOTS = 4  # drawn members of a crowded list that the others are compared with
 CROWDED = 8  # pairs for each row from which a list is crowded
 _CACHE = 200_000
@@ -83,23 +85,30 @@ def least_shared(n: Column, k: int = K, per_cent: int = SIMILARITY) -> Column:
     return F.when(n <= int(k * p), whole).when(n <= k, F.least(whole, drawn)).otherwise(drawn).cast("int")
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, size: int = WORDS, k: int = K) -> DataFrame:
-    """``id, n, key, sketch``: set size, 128-bit hash of the set, k least."""
+def _rows(docs: DataFrame, id_col: str, text_col: str, tag: Column) -> DataFrame:
+    """``doc, tag, h, text``: ``h`` is a 128-bit hash of the text."""
+    return docs.select(F.col(id_col).cast("long").alias("doc"), tag.cast("long").alias("tag"), utf8(text_col).alias("text")) \
+        .select("doc", "tag", F.unhex(F.md5("text")).alias("h"), "text")
+
+
+def sketches(rows: DataFrame, size: int = WORDS, k: int = K) -> DataFrame:
+    """``row, doc, tag, h, n, key, sketch``: a row number, set size, 128-bit
+    hash of the set, k least."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("shingles", _words.clear)
         for b in batches:
             n, key, sketch = [], [], []
-            for raw in b.column(1):
+            for raw in b.column(4):
                 s = shingle_set(raw.as_py(), size)
                 n.append(len(s))
                 key.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sketch.append((s[:k] ^ np.uint64(1 << 63)).view(np.int64))  # signed, same order
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))],
-                names=["id", "n", "key", "sketch"])
+                [*b.columns[:4], pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))],
+                names=["row", "doc", "tag", "h", "n", "key", "sketch"])
 
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), utf8(text_col).alias("text")) \
-        .mapInArrow(run, "id long, n long, key binary, sketch array<long>")
+    return rows.select(F.monotonically_increasing_id().alias("row"), "doc", "tag", "h", "text") \
+        .mapInArrow(run, "row long, doc long, tag long, h binary, n long, key binary, sketch array<long>")
 
 
 def _posting_lists(classes: DataFrame, k: int) -> DataFrame:
@@ -180,18 +189,19 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, k: int = K,
-               per_cent: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """``sketches`` of the documents, and links ``a, b`` whose components are
-    those of all similar pairs."""
-    spark = docs.sparkSession
-    drawn = materialise(sketches(docs, id_col, text_col, size, k), "sketches")
-    classes = drawn.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"),
-                                                      F.first("sketch").alias("sketch"))
-    classes = materialise(classes.select("id", "n", "sketch"), "classes")
-    same = drawn.where("n > 0").select("key", "id").join(
-        drawn.where("n > 0").groupBy("key").agg(F.min("id").alias("rep")), "key").where("id <> rep") \
-        .select(F.col("id").alias("a"), F.col("rep").alias("b"))
+def near_links(rows: DataFrame, size: int = WORDS, k: int = K, per_cent: int = SIMILARITY) \
+        -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``sketches`` of the ``_rows``; ``id, row, doc, tag, h, n`` of the rows
+    with shingles, ``id`` the class; and links ``a, b`` of classes whose
+    components are those of all similar pairs."""
+    drawn = materialise(sketches(rows, size, k), "sketches")
+    some = drawn.where("n > 0")
+    classes = some.groupBy("key").agg(F.min(F.struct("row", "doc", "h")).alias("r"), F.first("n").alias("n"),
+                                      F.first("sketch").alias("sketch"))
+    classes = materialise(classes.select(F.col("r.row").alias("id"), "r.doc", "r.h", "key", "n", "sketch"), "classes")
+    members = materialise(some.select("key", "row", "doc", "tag", "h", "n").join(classes.select("key", "id"), "key")
+                          .drop("key"), "members")
+    shown, classes = classes.select("id", "doc", "h"), classes.select("id", "n", "sketch")
     lists = materialise(_posting_lists(classes, k), "lists")
 
     first = lists.groupBy("value").agg(F.min(F.struct("id", "n")).alias("p"))
@@ -200,11 +210,13 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(*_ordered("id", "p.id")).distinct()
     stars = materialise(_estimated(stars, classes, k, per_cent), "stars")
 
-    ids = materialise(lists.join(lists.groupBy("value").count().where("count > 1"), "value", "left_semi")
-                      .select("id").distinct(), "ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), utf8(text_col).alias("text"))
-    texts = materialise(texts.join(F.broadcast(ids) if few else ids, "id", "left_semi"), "texts")
+    ids = lists.join(lists.groupBy("value").count().where("count > 1"), "value", "left_semi").select("id").distinct()
+    ids = materialise(shown.join(ids, "id", "left_semi").select("id", F.col("doc").alias("d"), F.col("h").alias("g")), "ids")
+    few = ids.count() <= BROADCAST_TEXTS
+    texts = rows.select("doc", "h", "text").join(
+        F.broadcast(ids) if few else ids, (F.col("h") == F.col("g")) & F.col("doc").eqNullSafe(F.col("d")))
+    # rows that repeat an id and its text, or null and a text, give one
+    texts = materialise(texts.groupBy("id").agg(F.first("text").alias("text")), "texts")
 
     links = materialise(_verified(stars, texts, size, per_cent), "links")
     at = materialise(_mixed(lists, near_labels(links, 1)), "lists")
@@ -223,7 +235,7 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         rest = _cross_pairs(at, per_cent)
     rest = materialise(_estimated(rest.join(tested, ["a", "b"], "left_anti"), classes, k, per_cent), "rest")
-    return drawn, materialise(links.union(_verified(rest, texts, size, per_cent)).union(same), "links")
+    return drawn, members, materialise(links.union(_verified(rest, texts, size, per_cent)), "links")
 
 
 def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -310,6 +322,35 @@ def _full_pairs(at: DataFrame, per_cent: int) -> DataFrame:
                & _similar_sizes("nx", "ny", per_cent)).select(*_ordered("x", "y")).distinct()
 
 
+def _groups(rows: DataFrame, **options) -> DataFrame:
+    """``doc, tag, n, component, kept`` of the ``_rows``."""
+    drawn, members, links = near_links(rows, **options)
+    # classes that share an id
+    each = members.where("doc is not null").select("doc", "id")
+    several = each.groupBy("doc").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
+    links = links.union(each.join(several, "doc").where("id <> lo").select("id", "lo").distinct())
+    found = components(links).withColumnRenamed("node", "id")
+    placed = materialise(members.join(found, "id", "left").withColumn("c", F.coalesce("component", "id"))
+                         .select("c", "row", "doc", "tag", "h", "n"), "placed")
+    groups = placed.groupBy("c").agg(F.min("doc").alias("low"), F.min(
+        F.when(F.col("doc").isNull(), F.struct("h", "row"))).alias("head"))
+    shown = placed.join(groups.select("c", "low", F.col("head.row").alias("head")), "c").select(
+        "doc", "tag", "n", F.when(F.col("head").isNull(), F.col("low")).alias("component"),
+        F.when(F.col("head").isNull(), F.col("doc") == F.col("low")).otherwise(
+            F.col("doc").isNull() & (F.col("row") == F.col("head"))).alias("kept"))
+
+    # rows without a shingle go with the other rows of their id
+    bare = drawn.where("n = 0").select("doc", "tag", "n")
+    named = bare.where("doc is not null")
+    known = shown.join(named.select("doc").distinct(), "doc", "left_semi").groupBy("doc").agg(
+        F.first("component").alias("component"), F.first("kept").alias("known"))
+    named = named.join(known, "doc", "left").select(
+        "doc", "tag", "n", F.when(F.col("known").isNull(), F.col("doc")).otherwise(F.col("component")).alias("component"),
+        F.coalesce("known", F.lit(True)).alias("kept"))
+    alone = bare.where("doc is null").select("doc", "tag", "n", F.col("doc").alias("component"), F.lit(True).alias("kept"))
+    return shown.union(named).union(alone)
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, k: int = K,
                 per_cent: int = SIMILARITY) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
@@ -317,24 +358,26 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Words are runs of non-blank signs after lower-casing A-Z; a text with
     fewer words than a shingle has one shingle, a null or blank one has none
     and is linked with nothing.  Rows that repeat an id are one record and
-    linked with whatever one of them links; a null id counts as the smallest
-    id.  Other columns are not read; an empty table gives an empty result.
+    linked with whatever one of them links.  Each row with a null id is a
+    record of its own; null counts as the smallest id, so it names the
+    component, and one of the component's null-id rows is kept (the least MD5
+    of the text; any of equal texts).  Other columns are not read; an empty
+    table gives an empty result.
     """
-    drawn, links = near_links(docs, id_col, text_col, size, k, per_cent)
-    found = components(links)
-    out = drawn.select("id", "n").join(found.withColumnRenamed("node", "id"), "id", "left") \
-        .withColumn("c", F.coalesce("component", "id"))
-
-    def shown(c: str) -> Column:
-        return F.when(F.col(c) != NO_ID, F.col(c))
-
-    return out.select(shown("id").alias("doc_id"), F.col("n").alias("n_shingles"), shown("c").alias("component_id"),
-                      (F.col("id") == F.col("c")).alias("kept"))
+    out = _groups(_rows(docs, id_col, text_col, F.lit(None)), size=size, k=k, per_cent=per_cent)
+    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
+                      F.col("component").alias("component_id"), "kept")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that a smaller id stands for."""
-    gone = near_groups(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    """``docs`` without the rows that ``near_groups`` doesn't keep."""
+    named = docs.where(F.col(id_col).isNotNull())
+    # rows without an id are told apart by a number that stays
+    anon = materialise(docs.where(F.col(id_col).isNull()).withColumn("_near_row", F.monotonically_increasing_id()), "anon")
+    rows = _rows(named, id_col, text_col, F.lit(None)).union(_rows(anon, id_col, text_col, F.col("_near_row")))
+    gone = _groups(rows, **options).where(~F.col("kept")).select(F.col("doc").alias("_gone"), F.col("tag").alias("_tag"))
     gone = materialise(gone.distinct(), "gone")
     few = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = F.broadcast(gone) if few else gone
+    return named.join(gone, F.col(id_col) == F.col("_gone"), "left_anti").union(
+        anon.join(gone, F.col("_near_row") == F.col("_tag"), "left_anti").drop("_near_row"))

@@ -223,6 +223,53 @@ def test_near_groups_of_every_size_around_the_sketch(spark):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == want
 
 
+def test_near_groups_of_null_and_repeated_ids(spark):
+    """Against brute force over rows: links are similar pairs and equal ids."""
+    r = random.Random(11)
+    data = []
+    for f in range(40):
+        base = [f"f{f}w{k}" for k in range(r.randrange(30, 200))]
+        for _ in range(r.randrange(1, 5)):
+            w = list(base)
+            w[r.randrange(len(w))] = f"e{r.randrange(10 ** 9)}"
+            # a third under one id, a third without one
+            data.append((r.choice([7, None, 100 + len(data)]), " ".join(w[:len(w) - r.randrange(3)])))
+    data += [(None, "no id " * 9), (None, "no id " * 9), (None, None), (None, ""), (7, None), (50, ""), (50, "a b c"), (51, "a b c"),
+             *data[:6], (60, "x " + data[0][1]), (61, "one two three four five six"), (61, "seven eight nine")]
+    own = [set(minhash.shingle_set((t or "").encode()).tolist()) for _, t in data]
+    up = list(range(len(data)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for a in range(len(data)):
+        for b in range(a):
+            both = len(own[a] & own[b])
+            if (data[a][0] is not None and data[a][0] == data[b][0]) \
+                    or both and 100 * both >= 75 * (len(own[a]) + len(own[b]) - both):
+                up[top(a)] = top(b)
+    groups = collections.defaultdict(list)
+    for i in range(len(data)):
+        groups[top(i)].append(data[i][0])
+    least = {t: None if None in ids else min(ids) for t, ids in groups.items()}
+    want = [(data[i][0], len(own[i]), least[top(i)]) for i in range(len(data))]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = minhash.near_groups(df).collect()
+    assert sorted((tuple(x)[:3] for x in got), key=key) == sorted(want, key=key)
+    assert all(x.kept == (x.doc_id == x.component_id) for x in got if x.doc_id is not None)
+    # one null-id row of each group that has one
+    assert sum(x.kept for x in got if x.doc_id is None) == sum(None in ids for ids in groups.values())
+    left = minhash.drop_near_copies(df).collect()
+    assert len(left) == sum(x.kept for x in got)
+    at = collections.defaultdict(set)
+    for i, d in enumerate(data):
+        at[d].add(top(i))
+    assert sum(len(at[tuple(x)]) for x in left if x.doc_id is None and x.text) == len(
+        {top(i) for i, d in enumerate(data) if d[0] is None and d[1]})
+    assert all(least[top(data.index(tuple(x)))] == x.doc_id for x in left)
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(r.randrange(60), r.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]
