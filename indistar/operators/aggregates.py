@@ -109,10 +109,14 @@ def matrix(df: DataFrame, area: str, group: str, column_key: str, value: str,
     Spark rejects ``rollup(...).pivot(...)``, so the cells are computed with
     grouping sets ``(area, group, key)``, ``(area, key)``, ``(key)`` and then
     pivoted per row level with a fixed column list.  ``nivel`` is 0 for
-    detail rows, 1 for area subtotals and 3 for the grand total.
+    detail rows, 1 for area subtotals and 3 for the grand total.  A key that
+    is not listed fails the run; it would have no column to show it.
     """
     fn = getattr(F, agg)
-    cells = (df.groupingSets([[area, group, column_key], [area, column_key], [column_key]],
+    key = F.col(column_key)
+    unlisted = F.raise_error(F.concat(F.lit(f"matrix: no column for {column_key} = "), key.cast("string")))
+    checked = F.when(key.isNull() | key.isin(*column_values), key).otherwise(unlisted.cast(df.schema[column_key].dataType))
+    cells = (df.withColumn(column_key, checked).groupingSets([[area, group, column_key], [area, column_key], [column_key]],
                              area, group, column_key)
              .agg(fn(value).alias("_v"),
                   (F.grouping(area) * 2 + F.grouping(group)).cast("bigint").alias("nivel")))

@@ -369,6 +369,14 @@ FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(quarter(o_orderdate
              CAST(month(o_orderdate) AS INTEGER) AS mes, o_totalprice FROM orders) t
 GROUP BY ROLLUP (ano, trimestre, mes)""",
 
+    "date_drill_day": """
+SELECT ano, trimestre, mes, dia, count(*) AS n_pedidos, round(sum(o_totalprice), 2) AS total,
+       CAST(bit_count(GROUPING(ano, trimestre, mes, dia)) AS INTEGER) AS nivel
+FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(quarter(o_orderdate) AS INTEGER) AS trimestre,
+             CAST(month(o_orderdate) AS INTEGER) AS mes, CAST(day(o_orderdate) AS INTEGER) AS dia, o_totalprice
+      FROM orders) t
+GROUP BY ROLLUP (ano, trimestre, mes, dia)""",
+
     "single_value": f"""
 WITH b AS (SELECT n.n_name, CAST(year(o.o_orderdate) AS INTEGER) AS ano, r.r_name {_GEO}),
 s AS (SELECT n_name, ano, CASE WHEN count(DISTINCT r_name) = 1 THEN max(r_name) END AS regiao,

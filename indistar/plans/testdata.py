@@ -502,6 +502,13 @@ def date_drill(spark, sf_dir):
                                             F.round(F.sum("o_totalprice"), 2).alias("total")])
 
 
+def date_drill_day(spark, sf_dir):
+    """All four levels of the hierarchy, down to the day."""
+    o = _t(spark, sf_dir, "orders").select("o_orderdate", "o_totalprice")
+    return agg.date_drill(o, "o_orderdate", [F.count(F.lit(1)).alias("n_pedidos"),
+                                            F.round(F.sum("o_totalprice"), 2).alias("total")], depth=4)
+
+
 def single_value(spark, sf_dir):
     per = (_t(spark, sf_dir, "orders")
            .groupBy(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("ano"))
@@ -1078,6 +1085,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "share_of_total": share_of_total,
     "matrix_rollup": matrix_rollup,
     "date_drill": date_drill,
+    "date_drill_day": date_drill_day,
     "single_value": single_value,
     "calendar": calendar,
     "date_part_join": date_part_join,

@@ -75,6 +75,12 @@ def test_matrix_levels(spark):
     assert len(m) == 3 + 2 + 1
 
 
+def test_matrix_fails_on_an_unlisted_column(spark):
+    df = spark.createDataFrame([("A", "g1", 2020, 5.0), ("A", "g2", 2022, 3.0)], "area string, grupo string, ano int, v double")
+    with pytest.raises(Exception, match="no column for ano = 2022"):
+        agg.matrix(df, "area", "grupo", "ano", "v", [2020, 2021]).collect()
+
+
 def test_date_drill_levels(spark):
     df = spark.createDataFrame([(dt.date(2020, 1, 5), 1.0), (dt.date(2020, 4, 5), 2.0), (dt.date(2021, 1, 1), 3.0)],
                                "d date, v double")
