@@ -1,6 +1,7 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random +-1 vector.  A letter n-gram binds its letters'
+Every letter (code point, lower case) of any script has a random +-1 vector of
+its own, made from a hash of the code point.  A letter n-gram binds its letters'
 vectors, each permuted by its place, with the element-wise product; a document
 bundles (adds up) its n-gram vectors, a language the documents labelled with
 it.  A document's language is the prototype with the highest cosine.  Training
@@ -22,9 +23,8 @@ from indistar.llm.common import claim, utf8
 
 DIMS = 1024
 ORDER = 3
-ALPHABET = 1024  # letters below LATIN have their own vector; others one for each 128 code points
-LATIN = 592
-GAP = ALPHABET - 1  # between words
+BITS = 21  # of a code point; an n-gram is one 64-bit code
+GAP = 0  # between words
 MAX_LANGUAGES = 1000
 _CHARS = 1 << 18
 UNDETERMINED = "und"
@@ -32,28 +32,33 @@ UNDETERMINED = "und"
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """Letter class of each code point; GAP where it is no letter."""
-    out = np.full(0x110000, GAP, np.uint16)
+    """Lower-case letter of each code point; GAP where it is no letter."""
+    out = np.full(0x110000, GAP, np.uint32)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha():
             low = c.lower()
-            at = ord(low) if len(low) == 1 else cp
-            out[cp] = at if at < LATIN else LATIN + (at >> 7) % (GAP - LATIN)
+            out[cp] = ord(low) if len(low) == 1 else cp
     return out
 
 
-@lru_cache(maxsize=4)
-def _vectors(dims: int, order: int) -> list[np.ndarray]:
-    """The letters' vectors, rolled by one step for each place further left."""
-    base = np.random.default_rng(20240607).integers(0, 2, (ALPHABET, dims), dtype=np.int8) * 2 - 1
-    return [np.roll(base, order - 1 - k, axis=1) for k in range(order)]
+def letter_vectors(letters: np.ndarray, dims: int = DIMS) -> np.ndarray:
+    """A row of +-1 for each code point, from the bits of a 64-bit hash."""
+    words = -(-dims // 64)
+    h = (letters.astype(np.uint64)[:, None] * np.uint64(words) + np.arange(1, words + 1, dtype=np.uint64)) \
+        * np.uint64(0x9E3779B97F4A7C15)  # splitmix64
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return np.unpackbits(h.astype("<u8").view(np.uint8), axis=1)[:, :dims].astype(np.int8) * 2 - 1
 
 
 def ngrams(text: str, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, int]:
     """Distinct letter n-grams of a text with counts, and the number of
     letters.  Runs of other signs count as one gap; n-grams that are mostly
     gap are left out by the single gap."""
+    if order * BITS > 63:
+        raise ValueError("n-grams of 3 letters at most")
     keys, counts, n = [], [], 0
     for a in range(0, len(text), _CHARS):
         part = np.frombuffer(text[max(0, a - order + 1):a + _CHARS].encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -65,7 +70,7 @@ def ngrams(text: str, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, int]:
         s = np.concatenate([[GAP], s[keep], [GAP]]).astype(np.int64)
         code = np.zeros(max(0, len(s) - order + 1), np.int64)
         for k in range(order):
-            code = code * ALPHABET + s[k:len(s) - order + 1 + k]
+            code = code << BITS | s[k:len(s) - order + 1 + k]
         k, c = np.unique(code, return_counts=True)
         keys.append(k)
         counts.append(c)
@@ -78,12 +83,14 @@ def ngrams(text: str, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def bind(codes: np.ndarray, dims: int = DIMS, order: int = ORDER) -> np.ndarray:
-    """One vector per n-gram."""
-    vectors = _vectors(dims, order)
-    out = vectors[order - 1][codes % ALPHABET]
-    for k in range(order - 2, -1, -1):
-        codes = codes // ALPHABET
-        out = out * vectors[k][codes % ALPHABET]
+    """One vector per n-gram: the product of its letters' vectors, rolled by
+    one step for each place further left."""
+    places = [codes >> (BITS * (order - 1 - k)) & ((1 << BITS) - 1) for k in range(order)]
+    letters, at = np.unique(np.concatenate(places), return_inverse=True)
+    base, at = letter_vectors(letters, dims), at.reshape(order, -1)
+    out = base[at[order - 1]]
+    for k in range(order - 1):
+        out *= np.roll(base, order - 1 - k, axis=1)[at[k]]
     return out
 
 

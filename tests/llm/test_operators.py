@@ -383,6 +383,18 @@ def test_language(spark, docs, empty):
     assert {x.lang_pred for x in identify_languages(d.drop("lang").selectExpr("*", "cast(null as string) lang")).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("script", [0x430, 0x915, 0x4E00])
+def test_languages_of_one_script(spark, script):
+    """Words of equal length from two halves of a block of letters."""
+    r = random.Random(5)
+    halves = {"one": range(script, script + 16), "two": range(script + 12, script + 28)}
+    data = [(i, " ".join("".join(chr(r.choice(halves[v])) for _ in range(5)) for _ in range(r.randrange(5, 30))), v)
+            for i, v in enumerate(r.choice(list(halves)) for _ in range(200))]
+    got = identify_languages(spark.createDataFrame(data, "doc_id long, text string, lang string")).where("held_out").collect()
+    assert len(got) > 40
+    assert sum(x.lang_pred == data[x.doc_id][2] for x in got) >= 0.95 * len(got)
+
+
 def test_wavelet_matrix():
     a = np.random.default_rng(0).integers(0, 90, 3000) ** 2
     w, names, sizes = open_file(pack_file(a, [5, None], [1000, 2000]))
