@@ -137,7 +137,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_c
           text_col: str = "text", toxic_col: str = "toxic") -> OrdinalModel:
     """Fit on labelled documents that are not held out, ``train_rows`` at most
     (the first in hash order); labels that are null or without a document are
-    skipped."""
+    skipped.  Of an id that repeats, the text with the least hash counts, so
+    no more than ``train_rows`` rows reach the driver."""
     chosen = labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull() & ~held_out(id_col)) \
         .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic")) \
         .orderBy(F.xxhash64("id"), "id").limit(train_rows)
@@ -151,7 +152,9 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_c
                 names=["id", "toxic", "at", "n", "size"])
 
     texts = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select(F.col("id").cast("long").alias("id"), "toxic", "text") \
+    one = F.min(F.when(F.col("text").isNotNull(), F.struct(F.xxhash64("text").alias("h"), "text")))
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.first("toxic").alias("toxic"), one.alias("x")) \
+        .select("id", "toxic", "x.text").select(F.col("id").cast("long").alias("id"), "toxic", "text") \
         .mapInArrow(run, "id long, toxic int, at array<int>, n array<float>, size long").toArrow().sort_by("id")
     data = [(a.values.to_numpy().astype(np.int64), x.values.to_numpy(), size.as_py())
             for a, x, size in zip(rows["at"], rows["n"], rows["size"])]

@@ -164,6 +164,22 @@ def test_toxicity(spark, docs, empty):
     assert toxicity(empty, labels).count() == 0
 
 
+def test_toxicity_takes_one_text_of_an_id(spark, monkeypatch):
+    from indistar.llm import toxicity as module
+    data = [(i, f"calm words number {i}" + (" grimble" if i % 2 else "")) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    many = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1)
+    d = spark.createDataFrame(data + [(many, f"again {k} grimble") for k in range(200)] + [(many, None)],
+                              "doc_id long, text string")
+    seen, fit = [], module.fit_ordinal
+    monkeypatch.setattr(module, "fit_ordinal", lambda rows, *a, **b: seen.append(len(rows)) or fit(rows, *a, **b))
+    models = [module.train(x, labels, train_rows=30) for x in (d, d.repartition(5))]
+    assert seen == [30, 30]
+    assert (models[0].weights == models[1].weights).all()
+    module.train(d, labels)
+    assert seen[2] == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60))
+
+
 def brute_components(texts: dict, per_cent: int = 75):
     sets = {i: set(minhash.shingle_set((t or "").encode()).tolist()) for i, t in texts.items()}
     up = {i: i for i in sets}
