@@ -133,7 +133,8 @@ class ChunkEncoder:
         out: list[list[np.ndarray]] = [[] for _ in texts]
         cut, owner = [], []
         for i, t in enumerate(texts):
-            if any(s in t for s in self.special) or (self.keeps_blanks and self.sep in t):
+            low = t if self.keeps_blanks else t.lower()  # chunks are lower-cased, which may make a special string
+            if any(s in t or s in low for s in self.special) or (self.keeps_blanks and self.sep in t):
                 out[i].append(np.array(self.tok.encode(t, add_special_tokens=False).ids, np.int32))
             elif t:
                 for p in parts(t, _PART):

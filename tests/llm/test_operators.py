@@ -353,6 +353,18 @@ def test_encoder(name):
         assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t[:60]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_of_special_strings_in_other_cases(name):
+    from tokenizers import Tokenizer
+
+    from indistar.llm.encoder import ChunkEncoder
+    tok, own = Tokenizer.from_file(P.path(name)), ChunkEncoder(P.path(name))
+    texts = [f"{a}{s}{b}" for s in ("<|ENDOFTEXT|>", "<|EndOfText|>", "<|StartOfText|>", "<|endoftext|>")
+             for a, b in (("", ""), ("one ", " two"), ("One", "Two."), ("Σ ", " É"))]
+    for t, ids in zip(texts, own.encode_all(texts)):
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_packing(docs, rows, empty):
     from tokenizers import Tokenizer
     path = P.path("word_bpe_49k.json")
