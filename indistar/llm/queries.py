@@ -15,6 +15,7 @@ from indistar.llm.minhash import near_groups
 from indistar.llm.packing import pack_documents
 from indistar.llm.repeats import remove_repeats
 from indistar.llm.sharding import shard_records
+from indistar.llm.simhash import simhash_groups
 from indistar.llm.token_count import token_counts
 from indistar.llm.toxicity import toxicity
 from indistar.llm.wavelet import token_files
@@ -62,8 +63,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_repeats, op2_decontaminate, op3_exact_dedup, op4_toxicity, op5_near_dedup,
-                                   op6_sharding, op7_token_counts, op8_packing, op9_language, op10_token_files)}
+                                   op6_sharding, op7_token_counts, op8_packing, op9_language, op10_token_files, op11_simhash)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
