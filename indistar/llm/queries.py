@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indistar.llm.clusters import cluster_vectors
 from indistar.llm.common import table
 from indistar.llm.decontaminate import contamination
 from indistar.llm.exact_dedup import exact_groups
@@ -67,12 +68,45 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_repeats, op2_decontaminate, op3_exact_dedup, op4_toxicity, op5_near_dedup,
-                                   op6_sharding, op7_token_counts, op8_packing, op9_language, op10_token_files, op11_simhash)}
+                                   op6_sharding, op7_token_counts, op8_packing, op9_language, op10_token_files, op11_simhash, op13_clusters)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _clusters_sql(clusters: int = 8, rounds: int = 10) -> str:
+    """Every round written out: assign, then floors of the exact means."""
+    square = "list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (SELECT r, vec_id, x, min(d) AS d, arg_min(k, d * {clusters} + k) AS k
+  FROM (SELECT v.r, v.vec_id, v.x, c.k, {square} AS d FROM v, c{i} c) GROUP BY r, vec_id, x)"""
+
+    steps = [f"""{assigned(i)},
+c{i + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY p) AS x
+  FROM (SELECT k, p, sum(y)::BIGINT AS s, count(*) AS n FROM (SELECT k, unnest(x) AS y, unnest(range(len(x))) AS p FROM a{i})
+        GROUP BY k, p) GROUP BY k) m USING (k))""" for i in range(rounds)]
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda y: floor(1024 * y::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: isfinite(y))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, x) - 1 AS k, x
+  FROM (SELECT sha256('3:' || vec_id) AS h, x FROM v ORDER BY h NULLS LAST, x LIMIT {clusters})),
+{", ".join(steps)},
+{assigned(rounds)},
+i AS (SELECT k, sum(d)::BIGINT AS part FROM a{rounds} GROUP BY k)
+SELECT a.vec_id, a.k::INTEGER AS cluster, a.d::BIGINT AS distance, i.part AS cluster_inertia,
+       (SELECT sum(part)::BIGINT FROM i) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN i USING (k) JOIN c{rounds} c USING (k)"""
+
+
 ORACLE_SQL = {
+    "op13_clusters": _clusters_sql(),
     "op3_exact_dedup": f"""
 WITH d AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS norm FROM documents),
 g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
