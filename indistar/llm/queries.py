@@ -14,6 +14,7 @@ from indistar.llm.exact_dedup import exact_groups
 from indistar.llm.langid import identify_languages
 from indistar.llm.minhash import near_groups
 from indistar.llm.packing import pack_documents
+from indistar.llm.repair import repair_report
 from indistar.llm.repeats import remove_repeats
 from indistar.llm.sharding import shard_records
 from indistar.llm.simhash import simhash_groups
@@ -68,12 +69,16 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
 def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {f.__name__: f for f in (op1_repeats, op2_decontaminate, op3_exact_dedup, op4_toxicity, op5_near_dedup,
-                                   op6_sharding, op7_token_counts, op8_packing, op9_language, op10_token_files, op11_simhash, op13_clusters)}
+                                   op6_sharding, op7_token_counts, op8_packing, op9_language, op10_token_files, op11_simhash, op12_repair, op13_clusters)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
