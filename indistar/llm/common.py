@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +76,21 @@ def claim(owner: str, clear=lambda: None) -> None:
     for other in [o for o in _held if o != owner]:
         _held.pop(other)()
     _held[owner] = clear
+
+
+def _give_back() -> None:
+    """Return freed memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def frugal(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; afterwards the Python worker, which Spark
+    keeps for later tasks, gives back what the task has freed."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+    return whole

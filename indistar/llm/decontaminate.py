@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import claim, utf8
+from indistar.llm.common import claim, frugal, utf8
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -201,7 +201,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
     for block in _blocks(items, item_id, item_text, block_words):
         automaton = ItemAutomaton([ws for _, ws in block], window)
         if last is not None:
-            rows = rows.mapInArrow(pass_over(last), schema)
+            rows = rows.mapInArrow(frugal(pass_over(last)), schema)
         last = spark.sparkContext.broadcast(([name or "" for name, _ in block], automaton))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +227,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
                 [b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds)), b.column(4)],
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "clean_text", "rest"])
 
-    out = rows.mapInArrow(finish, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
+    out = rows.mapInArrow(frugal(finish), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
                                   f"contaminated boolean, clean_text string, rest {schema['rest'].dataType.simpleString()}")
     base = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     return out.select(*base, "clean_text", "rest.*") if keep else out.select(*base)
@@ -235,14 +235,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, max_share: float = 0.0, **options) -> DataFrame:
     """``docs`` without the documents of which more than ``max_share`` of the
-    words are hit, all columns and texts unchanged."""
-    spare = "_n_words", "_n_hit"
-    columns = docs.columns
-    flagged = contamination_rows(docs, items, **options)
-    return flagged.where(F.col(spare[1]) <= F.lit(max_share) * F.col(spare[0])).select(*columns)
-
-
-def contamination_rows(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` with ``_n_words`` and ``_n_hit`` added; no join."""
+    words are hit; all columns and texts stay, whatever their names.  Texts
+    without words, null ones too, have no hit and stay; an empty table stays
+    empty, and without items all documents stay."""
     flagged = contamination(docs.withColumn("_row", F.struct(*docs.columns)), items, keep=["_row"], **options)
-    return flagged.select("_row.*", F.col("n_words").alias("_n_words"), F.col("n_hit").alias("_n_hit"))
+    return flagged.where(F.col("n_hit") <= F.lit(max_share) * F.col("n_words")).select("_row.*")

@@ -16,7 +16,7 @@ import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -86,14 +86,18 @@ class ChunkEncoder:
         """Ids of chunks.  One word is one pre-token and goes straight to the
         vocabulary's merges; the rest takes the whole way."""
         got: list = [None] * len(new)
-        rest = []
+        rest, tokenize = [], self.merges.tokenize
         for k, c in enumerate(new):
             if self.keeps_blanks:
                 plain = (c[1:] if c[:1] == " " else c).isalpha()
             else:
                 plain = c.isalpha() and c.islower() and unicodedata.is_normalized("NFC", c)
             if plain:
-                got[k] = [t.id for t in self.merges.tokenize("".join(map(_BYTE_SIGN.__getitem__, c.encode())))]
+                if c.isascii():  # letters stand for themselves, a blank before them does not
+                    signs = _BYTE_SIGN[32] + c[1:] if c[0] == " " else c
+                else:
+                    signs = c.encode().decode("latin-1").translate(_BYTE_SIGN)
+                got[k] = [t.id for t in tokenize(signs)]
             else:
                 rest.append(k)
         if rest:
@@ -102,8 +106,7 @@ class ChunkEncoder:
         return got
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.at) + len(new) > self.limit:
-            self._clear()
+        """Append the ids of chunks that are not known yet."""
         got = self._ids(new)
         n0, n1 = len(self.at), len(self.at) + len(new)
         size = np.fromiter(map(len, got), np.int32, len(got))
@@ -120,14 +123,16 @@ class ChunkEncoder:
         self.at.update(zip(new, range(n0, n1)))
 
     def _places(self, chunks: list[str]) -> np.ndarray:
-        index = list(map(self.at.get, chunks))
-        if None in index:
-            self._learn([c for c, i in zip(chunks, index) if i is None])
-            index = list(map(self.at.get, chunks))
-            if None in index:  # the cache was emptied on the way
-                self._learn([c for c, i in zip(chunks, index) if i is None])
-                index = list(map(self.at.get, chunks))
-        return np.array(index, np.int64)
+        """The place of each of the distinct chunks among those known."""
+        index = np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(index < 0)
+        if len(new) and len(self.at) + len(new) > self.limit:
+            self._clear()
+            new = np.arange(len(chunks))
+        if len(new):
+            index[new] = np.arange(len(self.at), len(self.at) + len(new))
+            self._learn([chunks[i] for i in new.tolist()])
+        return index
 
     def _group(self, texts: list[str]) -> list[np.ndarray]:
         out: list[list[np.ndarray]] = [[] for _ in texts]
@@ -143,7 +148,7 @@ class ChunkEncoder:
         if cut:
             lists = pc.split_pattern(pa.array(cut, pa.large_string()), self.sep)
             chunks = lists.flatten().dictionary_encode()
-            k = self._places(chunks.dictionary.to_pylist())[chunks.indices.to_numpy()]
+            k = self._places(chunks.dictionary.to_numpy(zero_copy_only=False).tolist())[chunks.indices.to_numpy()]
             size = self.size[k]
             ends = np.cumsum(size, dtype=np.int64)
             shift = (self.first[k] - ends + size).astype(np.int32)  # a group and the cache are far below 2^31 ids

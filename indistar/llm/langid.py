@@ -16,10 +16,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import claim, utf8
+from indistar.llm.common import claim, frugal, utf8
 
 DIMS = 1024
 ORDER = 3
@@ -27,6 +28,7 @@ BITS = 21  # of a code point; an n-gram is one 64-bit code
 GAP = 0  # between words
 MAX_LANGUAGES = 1000
 _CHARS = 1 << 18
+_BOUND = 2048  # n-gram vectors at once
 UNDETERMINED = "und"
 
 
@@ -105,25 +107,20 @@ def bundle(texts: list[str], dims: int = DIMS, order: int = ORDER) -> tuple[np.n
             continue
         weight = np.zeros((len(got), len(keys)), np.float32)
         weight[np.repeat(np.arange(len(got)), [len(g[0]) for g in got]), at] = np.concatenate([g[1] for g in got])
-        for z in range(0, len(keys), 8192):
-            out[a:a + 32] += weight[:, z:z + 8192] @ bind(keys[z:z + 8192], dims, order).astype(np.float32)
+        for z in range(0, len(keys), _BOUND):
+            out[a:a + 32] += weight[:, z:z + _BOUND] @ bind(keys[z:z + _BOUND], dims, order).astype(np.float32)
     return out, letters
 
 
-def _texts(column) -> list[str]:
-    return [x.as_py().decode("utf-8", "replace") if x.is_valid else "" for x in column]
-
-
-def _slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``size`` bytes of text each."""
-    start, total = 0, 0
-    for i, x in enumerate(batch.column(column)):
-        total += len(x.as_buffer()) if x.is_valid else 0
-        if total >= size or i - start >= 2048:
-            yield batch.slice(start, i + 1 - start)
+def _parts(texts: pa.Array, size: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
+    """Runs of a column of UTF-8 texts with about ``size`` bytes each, and
+    where they start; null texts are empty."""
+    start, total, texts = 0, 0, texts.cast(pa.binary())
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        total += n
+        if total >= size or i - start >= 2047 or i + 1 == len(texts):
+            yield start, [x.as_py().decode("utf-8", "replace") if x.is_valid else "" for x in texts.slice(start, i + 1 - start)]
             start, total = i + 1, 0
-    if start < batch.num_rows:
-        yield batch.slice(start)
 
 
 def train_prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", dims: int = DIMS,
@@ -134,11 +131,11 @@ def train_prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("language")
         sums: dict[str, np.ndarray] = {}
-        for whole in batches:
-            for b in _slices(whole, 1):
-                vectors, letters = bundle(_texts(b.column(1)), dims, order)
+        for b in batches:
+            for at, texts in _parts(b.column(1)):
+                vectors, letters = bundle(texts, dims, order)
                 vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-                langs = np.array(b.column(0).to_pylist(), object)
+                langs = np.array(b.column(0).slice(at, len(texts)).to_pylist(), object)
                 for lang in set(langs[letters > 0].tolist()):
                     sums[lang] = sums.get(lang, 0) + vectors[langs == lang].sum(axis=0, dtype=np.float64)
         if sums:
@@ -148,7 +145,7 @@ def train_prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str
 
     sums = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"),
                                                              utf8(text_col).alias("text")) \
-        .mapInArrow(run, "lang string, v array<double>")
+        .mapInArrow(frugal(run), "lang string, v array<double>")
     # rounded to whole units so that the order of addition cannot matter
     total = sums.select("lang", F.posexplode("v").alias("at", "x")) \
         .groupBy("lang", "at").agg(F.sum(F.round(F.col("x") * 1e6).cast("long")).alias("x"))
@@ -167,25 +164,26 @@ def predict_languages(docs: DataFrame, prototypes: dict[str, np.ndarray], text_c
     matrix = np.stack([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-9) for n in names]).astype(np.float32) \
         if names else np.zeros((0, dims), np.float32)
     columns = docs.columns
-    rows = docs.select(F.struct(*columns).alias("row"), utf8(text_col).alias("text"))
+    rows = docs.select(F.struct(*columns).alias("row"))
+    place = columns.index(text_col)  # the text travels once, inside its row
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("language")
-        for whole in batches:
-            for b in _slices(whole, 1):
-                vectors, letters = bundle(_texts(b.column(1)), dims, order)
-                lang, score = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows)
-                if names and b.num_rows:
+        for b in batches:
+            for at, texts in _parts(b.column(0).field(place).cast(pa.string())):
+                vectors, letters = bundle(texts, dims, order)
+                lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+                if names:
                     cosine = vectors @ matrix.T / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
                     best = cosine.argmax(axis=1)
                     score = np.where(letters > 0, np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0), 0.0)
                     lang = [names[k] if n else UNDETERMINED for k, n in zip(best.tolist(), letters.tolist())]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()),
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array(lang, pa.string()),
                                                   pa.array(score.astype(np.float64))],
                                                  names=["row", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, schema).select("row.*", "lang_pred", "score")
+    return rows.mapInArrow(frugal(run), schema).select("row.*", "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -34,14 +34,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import claim, materialise, utf8
+from indistar.llm.common import claim, frugal, materialise, utf8
 from indistar.llm.components import components, near_labels
 
 K = 64
 Z = 5.5
 WORDS = 5
 SIMILARITY = 75  # per cent
-BROADCAST_IDS = 2_000_000  # 16 MB of ids at most are broadcast; more are joined by a shuffle
 BROADCAST_TEXTS = 500_000  # the same for ids with the checksum of their text
 PIVOTS = 4  # drawn members of a crowded list that the others are compared with
 CROWDED = 8  # pairs for each row from which a list is crowded
@@ -108,7 +107,7 @@ def sketches(rows: DataFrame, size: int = WORDS, k: int = K) -> DataFrame:
                 names=["row", "doc", "tag", "h", "n", "key", "sketch"])
 
     return rows.select(F.monotonically_increasing_id().alias("row"), "doc", "tag", "h", "text") \
-        .mapInArrow(run, "row long, doc long, tag long, h binary, n long, key binary, sketch array<long>")
+        .mapInArrow(frugal(run), "row long, doc long, tag long, h binary, n long, key binary, sketch array<long>")
 
 
 def _posting_lists(classes: DataFrame, k: int) -> DataFrame:
@@ -162,7 +161,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, k: int, per_cent: int) -> D
             ok = np.where(whole, common * (100 + per_cent) >= (na + nb) * per_cent, inside >= need)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(frugal(run), "a long, b long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, per_cent: int) -> DataFrame:
@@ -182,7 +181,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, per_cent: int) -> D
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     a, b = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def _ordered(a: str, b: str) -> list[Column]:
@@ -291,7 +290,7 @@ def _full_lists(ids: DataFrame, texts: DataFrame, size: int, per_cent: int) -> D
                      pa.array(np.repeat(lengths, lengths), pa.int64()),
                      pa.array(np.concatenate(part) if part else np.empty(0, np.int64))], names=["id", "n", "value"])
 
-    rows = texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, n long, value long")
+    rows = texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(frugal(run), "id long, n long, value long")
     shared = rows.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     return rows.join(shared, "value").groupBy("id").agg(
         F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v")) \
@@ -370,14 +369,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that ``near_groups`` doesn't keep."""
-    named = docs.where(F.col(id_col).isNotNull())
+    """``docs`` without the rows that ``near_groups`` doesn't keep; all columns
+    stay, whatever their names.  Null and blank texts are near nobody and stay,
+    each row with a null id is a record of its own, long texts are compared
+    whole, an empty table stays empty."""
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row"))
+    named = rows.where(F.col("doc").isNotNull())
     # rows without an id are told apart by a number that stays
-    anon = materialise(docs.where(F.col(id_col).isNull()).withColumn("_near_row", F.monotonically_increasing_id()), "anon")
-    rows = _rows(named, id_col, text_col, F.lit(None)).union(_rows(anon, id_col, text_col, F.col("_near_row")))
-    gone = _groups(rows, **options).where(~F.col("kept")).select(F.col("doc").alias("_gone"), F.col("tag").alias("_tag"))
-    gone = materialise(gone.distinct(), "gone")
-    few = gone.count() <= BROADCAST_IDS
-    gone = F.broadcast(gone) if few else gone
-    return named.join(gone, F.col(id_col) == F.col("_gone"), "left_anti").union(
-        anon.join(gone, F.col("_near_row") == F.col("_tag"), "left_anti").drop("_near_row"))
+    anon = materialise(rows.where(F.col("doc").isNull()).withColumn("tag", F.monotonically_increasing_id()), "anon")
+    every = _rows(named, "doc", "text", F.lit(None)).union(_rows(anon, "doc", "text", F.col("tag")))
+    gone = _groups(every, **options).where(~F.col("kept")).select(F.col("doc").alias("gone_doc"), F.col("tag").alias("gone_tag"))
+    gone = materialise(gone.distinct(), "gone")  # its size on disk lets the planner choose the join
+    return named.join(gone, F.col("doc") == F.col("gone_doc"), "left_anti").select("row.*").union(
+        anon.join(gone, F.col("tag") == F.col("gone_tag"), "left_anti").select("row.*"))
