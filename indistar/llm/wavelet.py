@@ -1,10 +1,10 @@
 """Token ids in wavelet-matrix files.
 
-Each file is one compressed block of succinct bit-planes over the dense codes
-of its token ids, with a document table.  ``WaveletMatrix`` answers access,
-rank, select, counts and occurrence lookups from one file without unpacking
-the token sequence.  Files are written by Spark as rows of a Parquet table
-(one file per row, zstd inside), so any store that Spark writes to will do.
+A file holds succinct bit-planes over the dense codes of its token ids, a rank
+directory for each plane and a document table.  Planes are compressed in frames
+of ``FRAME`` bytes, so ``WaveletMatrix`` answers access, rank, select, counts and
+occurrence lookups from one file by unpacking a frame or two of each plane.  Files are written by Spark as rows of a Parquet table
+(one file per row), so any store that Spark writes to will do.
 """
 
 from __future__ import annotations
@@ -20,41 +20,75 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indistar.llm.common import scratch_path, utf8
+from indistar.llm.common import frugal, scratch_path, utf8
 from indistar.llm.encoder import encoder
 
-MAGIC = b"WVM1"
+MAGIC = b"WVM2"
 BLOCK = 512  # bits per rank sample
+FRAME = 8192  # bytes of a plane that are compressed together
 FILE_SCHEMA = "part int, seq int, n_docs long, n_tokens long, file binary"
 ROW_SCHEMA = "part int, seq int, local_start long, doc_id long, n_tokens long, ids_crc32 long"
 
 
+class Plane:
+    """Bits of one level in memory."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def take(self, a: int, z: int) -> np.ndarray:
+        return self.bits[a:z]
+
+
+class StoredPlane:
+    """Bits of one level in compressed frames, unpacked as they are asked for;
+    the last frame is kept."""
+
+    def __init__(self, body: memoryview, ends: np.ndarray, size: int):
+        self.body, self.ends, self.size = body, ends, size
+        self.last: tuple[int, np.ndarray] = (-1, np.empty(0, np.uint8))
+
+    def frame(self, k: int) -> np.ndarray:
+        if self.last[0] != k:
+            data = self.body[int(self.ends[k - 1]) if k else 0:int(self.ends[k])]
+            self.last = k, np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+        return self.last[1]
+
+    def take(self, a: int, z: int) -> np.ndarray:
+        first, last = a // FRAME, max(a, min(z, self.size) - 1) // FRAME
+        if first >= len(self.ends):
+            return np.empty(0, np.uint8)
+        if first == last:
+            return self.frame(first)[a - first * FRAME:z - first * FRAME]
+        return np.concatenate([self.frame(k) for k in range(first, last + 1)])[a - first * FRAME:z - first * FRAME]
+
+
 class WaveletMatrix:
-    """Bit-planes from the highest bit down; at each level zeros go first."""
+    """Bit-planes from the highest bit down; at each level zeros go first.
+    ``samples`` has, for each plane, the ones before each block of BLOCK bits
+    and of the whole."""
 
-    def __init__(self, symbols: np.ndarray, n: int, planes: list[np.ndarray]):
-        self.symbols, self.n, self.planes = symbols, n, planes
-        self.zeros, self.samples = [], []
-        for p in planes:
-            per_block = np.bitwise_count(p).astype(np.int64)
-            per_block = np.add.reduceat(per_block, np.arange(0, len(p), BLOCK // 8)) if len(p) else per_block
-            self.samples.append(np.concatenate([[0], np.cumsum(per_block)]))
-            self.zeros.append(n - int(self.samples[-1][-1]))
+    def __init__(self, symbols: np.ndarray, n: int, planes: list, samples: list[np.ndarray]):
+        self.symbols, self.n, self.planes, self.samples = symbols, n, planes, samples
+        self.zeros = [n - int(s[-1]) for s in samples]
 
     @classmethod
     def of(cls, ids: np.ndarray) -> "WaveletMatrix":
         present = np.bincount(ids, minlength=1) > 0  # token ids are below the vocabulary's size
         symbols = np.flatnonzero(present).astype(ids.dtype)
         codes = (np.cumsum(present) - 1)[ids].astype(np.uint16 if len(symbols) <= 1 << 16 else np.uint32)
-        out, planes = np.empty_like(codes), []
+        out, planes, samples = np.empty_like(codes), [], []
         for level in range(max(0, int(len(symbols) - 1).bit_length()) - 1, -1, -1):
             ones = (codes & codes.dtype.type(1 << level)) != 0
-            planes.append(np.packbits(ones))
-            z = len(codes) - np.count_nonzero(ones)
+            bits = np.packbits(ones)
+            per_block = np.add.reduceat(np.bitwise_count(bits), np.arange(0, len(bits), BLOCK // 8), dtype=np.int64)
+            planes.append(Plane(bits))
+            samples.append(np.concatenate([[0], np.cumsum(per_block)]))
+            z = len(codes) - int(samples[-1][-1])
             np.compress(~ones, codes, out=out[:z])
             np.compress(ones, codes, out=out[z:])
             codes, out = out, codes
-        return cls(symbols, len(ids), planes)
+        return cls(symbols, len(ids), planes, samples)
 
     def __len__(self) -> int:
         return self.n
@@ -63,11 +97,12 @@ class WaveletMatrix:
         """Ones of a plane before position i."""
         block = i // BLOCK
         a = block * BLOCK // 8
-        n = int(self.samples[level][block]) + int(np.bitwise_count(self.planes[level][a:i // 8]).sum(dtype=np.int64))
-        return n + (int(self.planes[level][i // 8]) >> (8 - i % 8)).bit_count() if i % 8 else n
+        bits = self.planes[level].take(a, (i + 7) // 8)
+        n = int(self.samples[level][block]) + int(np.bitwise_count(bits[:i // 8 - a]).sum(dtype=np.int64))
+        return n + (int(bits[-1]) >> (8 - i % 8)).bit_count() if i % 8 else n
 
     def _bit(self, level: int, i: int) -> int:
-        return int(self.planes[level][i // 8]) >> (7 - i % 8) & 1
+        return int(self.planes[level].take(i // 8, i // 8 + 1)[0]) >> (7 - i % 8) & 1
 
     def access(self, i: int) -> int:
         """The token at position i."""
@@ -112,7 +147,7 @@ class WaveletMatrix:
             samples = np.minimum(np.arange(len(samples)) * BLOCK, self.n) - samples
         block = int(np.searchsorted(samples, k, side="right")) - 1
         a = block * BLOCK
-        bits = np.unpackbits(self.planes[level][a // 8:(a + BLOCK) // 8])[:self.n - a]
+        bits = np.unpackbits(self.planes[level].take(a // 8, (a + BLOCK) // 8))[:self.n - a]
         return a + int(np.flatnonzero(bits == bit)[k - int(samples[block])])
 
     def select(self, token: int, k: int) -> int:
@@ -134,7 +169,7 @@ class WaveletMatrix:
         codes = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         out = np.empty_like(codes)
         for level in range(len(self.planes) - 1, -1, -1):
-            ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
+            ones = np.unpackbits(self.planes[level].take(0, (self.n + 7) // 8), count=self.n).view(bool)
             z = self.zeros[level]
             out[np.flatnonzero(~ones)] = codes[:z]
             out[np.flatnonzero(ones)] = codes[z:] | codes.dtype.type(1 << (len(self.planes) - 1 - level))
@@ -142,35 +177,47 @@ class WaveletMatrix:
         return self.symbols[codes] if self.n else np.empty(0, self.symbols.dtype)
 
 
+HEADER = struct.Struct("<4sQQQIQ")
+
+
 def pack_file(ids: np.ndarray, doc_ids: list, lengths: list[int]) -> bytes:
-    """One file: header, symbols, document table, planes; zstd over all."""
-    w = WaveletMatrix.of(ids.astype(np.uint32))
-    present = np.array([d is not None for d in doc_ids], np.uint8)
-    body = b"".join([
-        struct.pack("<4sQQQI", MAGIC, len(ids), len(w.symbols), len(doc_ids), len(w.planes)),
-        w.symbols.astype("<u4").tobytes(), present.tobytes(),
-        np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array(lengths, "<i8").tobytes(),
-        *(p.tobytes() for p in w.planes)])
-    return zstandard.ZstdCompressor(level=1).compress(body)
+    """One file: header, compressed symbols and document table, then the rank
+    directory, frame ends and compressed frames of each plane."""
+    w, zstd = WaveletMatrix.of(ids.astype(np.uint32)), zstandard.ZstdCompressor(level=1)
+    tables = zstd.compress(b"".join([
+        w.symbols.astype("<u4").tobytes(), np.array([d is not None for d in doc_ids], np.uint8).tobytes(),
+        np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array(lengths, "<i8").tobytes()]))
+    out = [HEADER.pack(MAGIC, len(ids), len(w.symbols), len(doc_ids), len(w.planes), len(tables)), tables]
+    for plane, samples in zip(w.planes, w.samples):
+        frames = [zstd.compress(plane.bits[a:a + FRAME]) for a in range(0, len(plane.bits), FRAME)]
+        out += [samples.astype("<u4").tobytes(), np.cumsum([len(f) for f in frames]).astype("<u4").tobytes(), *frames]
+    return b"".join(out)
 
 
 def open_file(data: bytes) -> tuple[WaveletMatrix, list, np.ndarray]:
-    """The matrix, the document ids and their lengths."""
-    body = zstandard.ZstdDecompressor().decompress(data)
-    magic, n, n_symbols, n_docs, n_planes = struct.unpack_from("<4sQQQI", body)
+    """The matrix, the document ids and their lengths; planes stay compressed."""
+    magic, n, n_symbols, n_docs, n_planes, size = HEADER.unpack_from(data)
     if magic != MAGIC:
         raise ValueError("not a wavelet-matrix file")
-    at = struct.calcsize("<4sQQQI")
+    body, at = memoryview(data), HEADER.size + size
+    tables, start = zstandard.ZstdDecompressor().decompress(body[HEADER.size:at]), 0
 
-    def take(kind: str, count: int) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(body, kind, count, at)
-        at += out.nbytes
+    def table(kind: str, count: int) -> np.ndarray:
+        nonlocal start
+        out = np.frombuffer(tables, kind, count, start)
+        start += out.nbytes
         return out
 
-    symbols, present, docs, lengths = take("<u4", n_symbols), take("u1", n_docs), take("<i8", n_docs), take("<i8", n_docs)
-    planes = [take("u1", (n + 7) // 8) for _ in range(n_planes)]
-    return WaveletMatrix(symbols, n, planes), [d if p else None for d, p in zip(docs.tolist(), present)], lengths
+    symbols, present, docs, lengths = table("<u4", n_symbols), table("u1", n_docs), table("<i8", n_docs), table("<i8", n_docs)
+    planes, samples, in_plane = [], [], (n + 7) // 8
+    for _ in range(n_planes):
+        counts, frames = -(-n // BLOCK) + 1, -(-in_plane // FRAME)
+        samples.append(np.frombuffer(data, "<u4", counts, at).astype(np.int64))
+        ends = np.frombuffer(data, "<u4", frames, at + 4 * counts)
+        at += 4 * (counts + frames)
+        planes.append(StoredPlane(body[at:at + int(ends[-1])], ends, in_plane))
+        at += int(ends[-1])
+    return WaveletMatrix(symbols, n, planes, samples), [d if p else None for d, p in zip(docs.tolist(), present)], lengths
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, file_tokens: int = 1 << 19,
@@ -208,7 +255,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie") \
-        .select("doc_id", "text").mapInArrow(run, FILE_SCHEMA).write.parquet(path)
+        .select("doc_id", "text").mapInArrow(frugal(run), FILE_SCHEMA).write.parquet(path)
 
 
 def read_token_files(files: DataFrame, document_rows=None, schema: str = ROW_SCHEMA) -> DataFrame:
@@ -232,7 +279,7 @@ def read_token_files(files: DataFrame, document_rows=None, schema: str = ROW_SCH
             for part, seq, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 yield each(part, seq, *open_file(data.as_py()))
 
-    return files.select("part", "seq", "file").mapInArrow(run, schema)
+    return files.select("part", "seq", "file").mapInArrow(frugal(run), schema)
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None, **options) -> DataFrame:

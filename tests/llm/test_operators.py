@@ -20,7 +20,7 @@ from indistar.llm.repeats import remove_repeats, repeated_starts
 from indistar.llm.sharding import shard_records
 from indistar.llm.token_count import token_counts
 from indistar.llm.toxicity import toxicity
-from indistar.llm.wavelet import WaveletMatrix, open_file, pack_file, token_files
+from indistar.llm.wavelet import StoredPlane, WaveletMatrix, open_file, pack_file, token_files
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, norm string, sketch string"
 ODD = [None, "", "a", "A", " ", "  two  blanks ", "\n\t", "x<|endoftext|> y  <|startoftext|>", "É ẗ İ Σ中文 😀 ▁ ▁x",
@@ -437,6 +437,27 @@ def test_wavelet_matrix():
     assert len(WaveletMatrix.of(np.array([7, 7], np.uint32)).planes) == 0
 
 
+def test_lookups_unpack_single_frames(monkeypatch):
+    a = np.random.default_rng(1).integers(0, 4000, 400_000)
+    data = pack_file(a, [1], [len(a)])
+    unpacked = []
+    whole = StoredPlane.frame
+
+    def frame(self, k):
+        if self.last[0] != k:
+            unpacked.append(k)
+        return whole(self, k)
+    monkeypatch.setattr(StoredPlane, "frame", frame)
+    for i in (0, 65_535, 65_536, 399_999):
+        w, _, _ = open_file(data)
+        unpacked.clear()
+        assert w.access(i) == a[i] and len(unpacked) <= 2 * len(w.planes) < sum(len(p.ends) for p in w.planes) / 3
+    w, _, _ = open_file(data)
+    assert w.rank(int(a[9]), 300_000) == (a[:300_000] == a[9]).sum()
+    assert w.select(int(a[9]), 5) == np.flatnonzero(a == a[9])[5]
+    assert (w.to_ids() == a).all()
+
+
 def test_token_files(spark, docs, rows, empty):
     from tokenizers import Tokenizer
     path = P.path("byte_bpe_50k.json")
