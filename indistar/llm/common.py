@@ -87,10 +87,18 @@ def _give_back() -> None:
         pass
 
 
-def frugal(run: Callable) -> Callable:
-    """``run`` for ``mapInArrow``; afterwards the Python worker, which Spark
-    keeps for later tasks, gives back what the task has freed."""
+BATCH_BYTES = 4 << 20
+
+
+def map_texts(rows: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` over rows with whole texts: batches are bounded by their
+    bytes, unless the session sets a bound of its own, and the Python worker,
+    which Spark keeps for later tasks, gives back what the task has freed."""
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name, None) is None:
+        conf.set(name, str(BATCH_BYTES))
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
         _give_back()
-    return whole
+    return rows.mapInArrow(whole, schema)

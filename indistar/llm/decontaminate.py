@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import claim, frugal, utf8
+from indistar.llm.common import claim, map_texts, utf8
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -201,7 +201,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
     for block in _blocks(items, item_id, item_text, block_words):
         automaton = ItemAutomaton([ws for _, ws in block], window)
         if last is not None:
-            rows = rows.mapInArrow(frugal(pass_over(last)), schema)
+            rows = map_texts(rows, pass_over(last), schema)
         last = spark.sparkContext.broadcast(([name or "" for name, _ in block], automaton))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +227,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
                 [b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds)), b.column(4)],
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "clean_text", "rest"])
 
-    out = rows.mapInArrow(frugal(finish), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
+    out = map_texts(rows, finish, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
                                   f"contaminated boolean, clean_text string, rest {schema['rest'].dataType.simpleString()}")
     base = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     return out.select(*base, "clean_text", "rest.*") if keep else out.select(*base)

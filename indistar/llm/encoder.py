@@ -48,7 +48,7 @@ class ChunkEncoder:
     (``add_special_tokens=False``) as an int32 array; ``encode_all`` does so
     for many texts."""
 
-    def __init__(self, path: str, cache: int = 400_000):
+    def __init__(self, path: str, cache: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -180,7 +180,7 @@ def _loaded(path: str, cache: int) -> ChunkEncoder:
     return ChunkEncoder(path, cache)
 
 
-def encoder(path: str, cache: int = 400_000) -> ChunkEncoder:
+def encoder(path: str, cache: int = 300_000) -> ChunkEncoder:
     """The process's encoder; ``cache`` bounds its chunks (about 250 bytes
     each)."""
     claim("encoder", _loaded.cache_clear)

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import claim, frugal, utf8
+from indistar.llm.common import claim, map_texts, utf8
 
 DIMS = 1024
 ORDER = 3
@@ -143,9 +143,9 @@ def train_prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str
                 [pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
                 names=["lang", "v"])
 
-    sums = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"),
-                                                             utf8(text_col).alias("text")) \
-        .mapInArrow(frugal(run), "lang string, v array<double>")
+    rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"),
+                                                             utf8(text_col).alias("text"))
+    sums = map_texts(rows, run, "lang string, v array<double>")
     # rounded to whole units so that the order of addition cannot matter
     total = sums.select("lang", F.posexplode("v").alias("at", "x")) \
         .groupBy("lang", "at").agg(F.sum(F.round(F.col("x") * 1e6).cast("long")).alias("x"))
@@ -183,7 +183,7 @@ def predict_languages(docs: DataFrame, prototypes: dict[str, np.ndarray], text_c
                                                   pa.array(score.astype(np.float64))],
                                                  names=["row", "lang_pred", "score"])
 
-    return rows.mapInArrow(frugal(run), schema).select("row.*", "lang_pred", "score")
+    return map_texts(rows, run, schema).select("row.*", "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import claim, frugal, materialise, utf8
+from indistar.llm.common import claim, map_texts, materialise, utf8
 from indistar.llm.components import components, near_labels
 
 K = 64
@@ -106,8 +106,8 @@ def sketches(rows: DataFrame, size: int = WORDS, k: int = K) -> DataFrame:
                 [*b.columns[:4], pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))],
                 names=["row", "doc", "tag", "h", "n", "key", "sketch"])
 
-    return rows.select(F.monotonically_increasing_id().alias("row"), "doc", "tag", "h", "text") \
-        .mapInArrow(frugal(run), "row long, doc long, tag long, h binary, n long, key binary, sketch array<long>")
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc", "tag", "h", "text")
+    return map_texts(numbered, run, "row long, doc long, tag long, h binary, n long, key binary, sketch array<long>")
 
 
 def _posting_lists(classes: DataFrame, k: int) -> DataFrame:
@@ -161,7 +161,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, k: int, per_cent: int) -> D
             ok = np.where(whole, common * (100 + per_cent) >= (na + nb) * per_cent, inside >= need)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
-    return both.mapInArrow(frugal(run), "a long, b long")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, per_cent: int) -> DataFrame:
@@ -181,7 +181,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, per_cent: int) -> D
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     a, b = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(frugal(run), "a long, b long").distinct()
+    return map_texts(pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb"), run, "a long, b long").distinct()
 
 
 def _ordered(a: str, b: str) -> list[Column]:
@@ -290,7 +290,7 @@ def _full_lists(ids: DataFrame, texts: DataFrame, size: int, per_cent: int) -> D
                      pa.array(np.repeat(lengths, lengths), pa.int64()),
                      pa.array(np.concatenate(part) if part else np.empty(0, np.int64))], names=["id", "n", "value"])
 
-    rows = texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(frugal(run), "id long, n long, value long")
+    rows = map_texts(texts.join(ids, "id", "left_semi").select("id", "text"), run, "id long, n long, value long")
     shared = rows.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     return rows.join(shared, "value").groupBy("id").agg(
         F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v")) \

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import frugal, utf8
+from indistar.llm.common import map_texts, utf8
 from indistar.llm.encoder import encoder
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -172,7 +172,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, max_tokens:
         if rows:
             yield batch()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text")).mapInArrow(frugal(run), SCHEMA)
+    return map_texts(docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text")), run, SCHEMA)
 
 
 EMPTY = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indistar.llm.common import frugal, scratch_path, utf8
+from indistar.llm.common import map_texts, scratch_path, utf8
 from indistar.llm.encoder import encoder
 
 MAGIC = b"WVM2"
@@ -254,8 +254,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie") \
-        .select("doc_id", "text").mapInArrow(frugal(run), FILE_SCHEMA).write.parquet(path)
+    rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    map_texts(rows, run, FILE_SCHEMA).write.parquet(path)
 
 
 def read_token_files(files: DataFrame, document_rows=None, schema: str = ROW_SCHEMA) -> DataFrame:
@@ -279,7 +279,7 @@ def read_token_files(files: DataFrame, document_rows=None, schema: str = ROW_SCH
             for part, seq, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 yield each(part, seq, *open_file(data.as_py()))
 
-    return files.select("part", "seq", "file").mapInArrow(frugal(run), schema)
+    return map_texts(files.select("part", "seq", "file"), run, schema)
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None, **options) -> DataFrame:
