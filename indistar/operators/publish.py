@@ -1,11 +1,8 @@
 """Sinks: checked publish, snapshot upsert, full refresh, per-series output.
 
-Nothing goes through the driver: writes are Spark jobs and the target is
-replaced by writing a NEW version folder and then moving a one-line
-pointer (``_CURRENT``) to it, so a reader never sees a half-written table
-and the version being read is never the one being overwritten.  Version
-folders live under the table root, which on a cluster must be shared
-storage.
+Nothing goes through the driver: writes are Spark jobs into new folders, and one
+commit (``commits``) makes the new folders of all tables of a change current.
+A table lives at ``<root>/<name>``; tables below one root share its commits.
 """
 
 from __future__ import annotations
@@ -13,13 +10,13 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import commits as cm
 from .contracts import Contract, assert_contract
 
-POINTER = "_CURRENT"
+MERGES = 5  # times an upsert merges anew when another writer was faster
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -36,59 +33,58 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
+def _place(table_root: str) -> tuple[str, str]:
+    """Root and name of a table."""
+    root, _, name = table_root.rstrip("/").rpartition("/")
+    if not root or not name or name.startswith(("_", ".")):
+        raise ValueError(f"not the place of a table: {table_root}")
+    return root, name
+
+
 def publish(df: DataFrame, path: str, contract: Contract | None = None,
             key: Sequence[str] | None = None, fmt: str = "parquet",
             partition_by: Sequence[str] = (), dims: Mapping[str, DataFrame] | None = None) -> str:
-    """Check the key (and the contract when given) first, then write."""
-    if contract is not None:
-        assert_contract(contract, df, dims)
-    elif key:
-        n = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d")).first()["d"])
-        if n:
-            raise ValueError(f"{path}: {n} duplicate keys in {list(key)}")
-    return write_table(df, path, fmt, partition_by=partition_by)
+    """Check the key (and the contract when given), then make ``df`` the table
+    at ``path``: written once, checked as written, committed.  Other formats
+    than Parquet are exports: checked, then written over what is there."""
+    spark = df.sparkSession
 
-
-def _pointer_path(root: str) -> str:
-    return root.rstrip("/") + "/" + POINTER
+    def check(out: DataFrame) -> None:
+        if contract is not None:
+            assert_contract(contract, out, dims)
+        elif key and (n := repeated_keys(out, key)):
+            raise ValueError(f"{path}: {n} duplicate keys in {list(key)}")
+    if fmt != "parquet":
+        check(df)
+        return write_table(df, path, fmt, partition_by=partition_by)
+    root, name = _place(path)
+    changes = cm.Changes(spark, root)
+    changes.replace(name, df, partition_by)
+    check(changes.staged(name))
+    changes.commit()
+    return path
 
 
-def _read_if_there(read) -> DataFrame | None:
-    """``read()``, or None when its path does not exist; every other error
-    propagates, so a failed read is never taken for a new table."""
-    try:
-        return read()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> int:
+    """Rows beyond the first of each key."""
+    return (df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d")).first()["d"])
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Folder the newest commit names, or None for a table never published."""
-    commits = _read_if_there(lambda: spark.read.text(_pointer_path(root)))
-    if commits is None:
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """The last commit that wrote to the table at ``root``; None before any."""
+    place, name = _place(root)
+    now = cm.head(spark, place)
+    if name not in now.schemas:
         return None
-    stamp = F.regexp_extract("value", r"v_(\d+)$", 1).cast("long")
-    row = commits.agg(F.max(F.struct(stamp.alias("stamp"), F.trim("value").alias("value"))).alias("c")).first()
-    return row["c"]["value"] if row["c"] else None
-
-
-def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame | None:
-    version = current_version(spark, root)
-    return None if version is None else spark.read.format(fmt).load(version)
+    last = cm.manifest(spark, now).where(F.col("tabela") == name).agg(F.max("gravado")).first()[0]
+    return now.number if last is None else last
 
 
-def set_pointer(spark: SparkSession, root: str, version_path: str) -> None:
-    """Commit a complete version: one more immutable file, nothing deleted.
-    Readers see the old version until the file is there, then the new one."""
-    (spark.createDataFrame([(version_path,)], "value string").coalesce(1)
-     .write.mode("append").text(_pointer_path(root)))
-
-
-def new_version_path(root: str) -> str:
-    return f"{root.rstrip('/')}/v_{time.time_ns()}"
+def read_current(spark: SparkSession, root: str, number: int | None = None) -> DataFrame | None:
+    """The table at ``root`` as of its newest commit, or of an earlier one."""
+    place, name = _place(root)
+    return cm.read_table(spark, place, name, number)
 
 
 def merge_snapshot(target: DataFrame | None, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -103,76 +99,58 @@ def merge_snapshot(target: DataFrame | None, updates: DataFrame, keys: Sequence[
     return updates.unionByName(kept.select(*updates.columns))
 
 
-def _refuse_repeated_keys(updates: DataFrame, root: str, keys: Sequence[str]) -> None:
-    dup = (updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-           .filter("n > 1").limit(1).count())
-    if dup:
-        raise ValueError(f"upsert batch for {root} repeats keys {list(keys)}")
-
-
 def upsert(spark: SparkSession, updates: DataFrame, root: str, keys: Sequence[str],
-           fmt: str = "parquet", partition_by: Sequence[str] = (),
-           sort_within: Sequence[str] = ()) -> str:
-    """Merge ``updates`` into the published table at ``root``; return the new version.
+           partition_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> int:
+    """Merge ``updates`` into the published table at ``root``; the commit's number.
 
     Duplicate keys inside ``updates`` are refused (an upsert batch must be a
-    function of its key).
+    function of its key).  With ``partition_by`` (columns that follow from the
+    key, e.g. the year of a key date) only the partitions that the updates touch
+    are rewritten.  When another writer has changed one of them meanwhile, the
+    merge is done again on what it left.
     """
-    _refuse_repeated_keys(updates, root, keys)
-    merged = merge_snapshot(read_current(spark, root, fmt), updates, keys)
-    version = new_version_path(root)
-    write_table(merged, version, fmt, partition_by=partition_by, sort_within=sort_within)
-    set_pointer(spark, root, version)
-    return version
+    place, name = _place(root)
+    for left in range(MERGES - 1, -1, -1):
+        changes = cm.Changes(spark, place)
+        changes.upsert(name, updates, keys, partition_by, sort_within)
+        try:
+            return changes.commit()
+        except cm.CommitConflict:
+            if not left:
+                raise
 
 
 def upsert_partitions(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
-                      partition_by: Sequence[str]) -> list[tuple]:
-    """Merge ``updates`` into a large partitioned table, rewriting only the
-    partitions the updates touch (dynamic partition overwrite).
-
-    The partition columns must be determined by the key (e.g. the year of
-    a key date), so a key never moves between partitions.  The merged slice
-    is checkpointed into the shared checkpoint folder first: the write then
-    reads the checkpoint, not the partitions it replaces.  Returns the
-    touched partition values (a list bounded by the partition count).
-    """
-    from ..session import cut_lineage
-    _refuse_repeated_keys(updates, path, keys)
-    slots = updates.select(*partition_by).distinct()
-    touched = [tuple(r) for r in slots.collect()]
-    target = _read_if_there(lambda: spark.read.parquet(path))
-    if target is not None and touched:
-        for i, col in enumerate(partition_by):  # one flat list per column prunes the folders
-            values = {v[i] for v in touched}
-            known = F.col(col).isin([v for v in values if v is not None])
-            target = target.filter(known | F.col(col).isNull() if None in values else known)
-        same = [target[c].eqNullSafe(slots[c]) for c in partition_by]
-        target = target.join(slots, same, "left_semi")
-    merged = cut_lineage(merge_snapshot(target, updates, keys))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-    return touched
+                      partition_by: Sequence[str]) -> int:
+    """``upsert`` of a large partitioned table."""
+    return upsert(spark, updates, path, keys, partition_by)
+
+
+def partitions(spark: SparkSession, root: str) -> DataFrame:
+    """``valores, pasta, gravado`` of the table at ``root``: the values of each
+    partition, its folder and the commit that wrote it."""
+    place, name = _place(root)
+    return cm.manifest(spark, cm.head(spark, place)).where(F.col("tabela") == name).select("valores", "pasta", "gravado")
 
 
 def full_refresh(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, Contract | None]],
-                 root: str, fmt: str = "parquet", dims: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
-    """Check every input first; only when all pass, replace each table.
+                 root: str, dims: Mapping[str, DataFrame] | None = None) -> dict[str, int]:
+    """Replace a set of tables in one commit.
 
-    Each table switch is atomic (pointer move); the set is not one
-    transaction, but no table is touched while any input is invalid.
+    Every table is written once, aside; contracts are checked on what was
+    written, foreign keys against the new tables of the set and ``dims``.  Only
+    when all pass, one commit makes all of them current; before it, and after a
+    crash at any point before it, readers see all the old tables.
     """
-    for name, (df, contract) in tables.items():
-        if contract is not None:
-            assert_contract(contract, df, dims)
-    out = {}
+    changes = cm.Changes(spark, root)
     for name, (df, _) in tables.items():
-        table_root = f"{root.rstrip('/')}/{name}"
-        version = new_version_path(table_root)
-        write_table(df, version, fmt)
-        set_pointer(spark, table_root, version)
-        out[name] = version
-    return out
+        changes.replace(name, df)
+    known = {**(dims or {}), **{name: changes.staged(name) for name in tables}}
+    for name, (_, contract) in tables.items():
+        if contract is not None:
+            assert_contract(contract, known[name], known)
+    number = changes.commit()
+    return {name: number for name in tables}
 
 
 def write_per_series(df: DataFrame, path: str, series_col: str = "serie",
@@ -195,12 +173,12 @@ def land_raw(df: DataFrame, raw_root: str, keys: Sequence[str], order: Sequence[
     return out
 
 
-def post_load_counts(spark: SparkSession, roots: Mapping[str, str], fmt: str = "parquet") -> DataFrame:
+def post_load_counts(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
     """Row count per published table, read back from its current version."""
     from .aggregates import row_counts
     frames = {}
     for name, root in roots.items():
-        df = read_current(spark, root, fmt)
+        df = read_current(spark, root)
         if df is None:
             raise FileNotFoundError(f"{name}: nothing published at {root}")
         frames[name] = df

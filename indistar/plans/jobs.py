@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import aggregates as agg
+from ..operators import commits as cm
 from ..operators import contracts as ct
 from ..operators import flatten as fl
 from ..operators import publish as pb
@@ -80,52 +80,36 @@ def build_ibge_tables(spark: SparkSession, long_root: str,
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], out_root: str,
                    mode: str = "upsert", csv_root: str | None = None,
                    partition_by: dict[str, list[str]] | None = None) -> DataFrame:
-    """Check every table (C11: nothing is written while any check fails),
-    then merge or replace each one; return post-load row counts (K6).
+    """Merge or replace every table aside, check what was written (C11: no
+    table changes while any check fails) and publish all in one commit; return
+    post-load row counts (K6).
 
     Tables named in ``partition_by`` (large facts, e.g.
     ``{"populacao_municipio": ["ano"]}``; the columns must follow from the
-    key) are published as one partitioned Parquet folder and upserted
-    partition by partition: a run rewrites only the partitions its rows
-    fall in, not the whole table.  The others get a new version folder per
-    run and a pointer switch.
+    key) are merged partition by partition: a run rewrites only the partitions
+    its rows fall in, and only those are checked again.
     """
     partition_by = partition_by or {}
-    dims = {"dim_uf": tables.get("dim_uf", cat.state_dimension(spark))}
+    changes = cm.Changes(spark, out_root)
     for name, df in tables.items():
+        if mode == "upsert":
+            changes.upsert(name, df, KEYS[name], partition_by.get(name, ()))
+        else:
+            changes.replace(name, df, partition_by.get(name, ()))
+    written = {name: changes.staged(name) for name in tables}
+    dims = {"dim_uf": written.get("dim_uf", cat.state_dimension(spark))}
+    for name, df in written.items():
         contract = TABLE_CONTRACTS.get(name)
         if contract is not None:
             ct.assert_contract(contract, df, dims)
-        else:
-            keys = KEYS[name]
-            if agg.duplicate_keys(df, keys).limit(1).count():
-                raise ValueError(f"{name}: duplicate keys in {keys}")
-    roots, partitioned = {}, {}
-    for name, df in tables.items():
-        root = f"{out_root.rstrip('/')}/{name}"
-        if name in partition_by:
-            if mode == "upsert":
-                pb.upsert_partitions(spark, df, root, KEYS[name], partition_by[name])
-            else:
-                df.write.mode("overwrite").partitionBy(*partition_by[name]).parquet(root)
-            published = spark.read.parquet(root).select(*df.columns)  # partition column back in place
-            partitioned[name] = published
-        else:
-            if mode == "upsert":
-                pb.upsert(spark, df, root, KEYS[name])
-            else:
-                version = pb.new_version_path(root)
-                pb.write_table(df, version)
-                pb.set_pointer(spark, root, version)
-            published = pb.read_current(spark, root)
-            roots[name] = root
-        if csv_root:
-            pb.write_table(published, f"{csv_root.rstrip('/')}/{name}", fmt="csv")
-    counts = pb.post_load_counts(spark, roots) if roots else None
-    if partitioned:
-        extra = agg.row_counts(partitioned)
-        counts = extra if counts is None else counts.unionByName(extra)
-    return counts
+        elif n := pb.repeated_keys(df, KEYS[name]):
+            raise ValueError(f"{name}: {n} duplicate keys in {KEYS[name]}")
+    changes.commit()
+    roots = {name: f"{out_root.rstrip('/')}/{name}" for name in tables}
+    if csv_root:
+        for name, root in roots.items():
+            pb.write_table(pb.read_current(spark, root), f"{csv_root.rstrip('/')}/{name}", fmt="csv")
+    return pb.post_load_counts(spark, roots)
 
 
 def run_ibge(spark: SparkSession, raw_dir: str, work_root: str, out_root: str,
@@ -159,16 +143,16 @@ def run_bacen(spark: SparkSession, raw_dir: str, out_root: str,
         hist = ds.bacen_from_raw(rd.read_flat_series(spark, paths, mode="FAILFAST"), chosen)
     if start is not None or end is not None:
         hist = cat.date_range(hist, "data_referencia", start, end)
-    ct.assert_contract(TABLE_CONTRACTS["bacen_serie_historica"], hist)
-    roots = {"bacen_serie_historica": f"{out_root.rstrip('/')}/bacen_serie_historica"}
-    order = ["serie_id", "data_referencia"]  # files sorted per task, no global sort
-    pb.upsert(spark, hist, roots["bacen_serie_historica"], KEYS["bacen_serie_historica"], sort_within=order)
-    for name, df in ds.bacen_per_series(hist, chosen).items():
-        root = f"{out_root.rstrip('/')}/bacen_{name}"
+    changes, order = cm.Changes(spark, out_root), ["serie_id", "data_referencia"]  # files sorted per task
+    history, keys = "bacen_serie_historica", KEYS["bacen_serie_historica"]
+    once = changes.evaluated(hist)  # the raw documents are read once for all tables
+    ct.assert_contract(TABLE_CONTRACTS[history], once)
+    changes.upsert(history, once, keys, sort_within=order)
+    for name, df in ds.bacen_per_series(once, chosen).items():
         ct.assert_contract(series_contract(name, chosen[name]["codigo"]), df)
-        pb.upsert(spark, df, root, KEYS["bacen_serie_historica"], sort_within=order)
-        roots[f"bacen_{name}"] = root
-    return pb.post_load_counts(spark, roots)
+        changes.upsert(f"bacen_{name}", df, keys, sort_within=order)
+    changes.commit()
+    return pb.post_load_counts(spark, {n: f"{out_root.rstrip('/')}/{n}" for n in (history, *(f"bacen_{c}" for c in chosen))})
 
 
 def load_csv_tables(spark: SparkSession, csv_root: str, out_root: str,

@@ -47,11 +47,9 @@ def ingest_landed_series(spark: SparkSession, landing_dir: str, table_root: str,
     """Start the ingest query; with ``available_now`` it drains what is
     landed and stops (a scheduled incremental job).
 
-    By default each micro-batch produces a new version of the whole table
-    (pointer switch).  For a large table pass ``partition_by`` (e.g.
-    ``["ano"]``, a function of the key date): ``table_root`` is then a plain
-    partitioned Parquet folder and a micro-batch rewrites only the
-    partitions its keys fall in.
+    By default each micro-batch writes the whole table anew.  For a large
+    table pass ``partition_by`` (e.g. ``["ano"]``, a function of the key date):
+    a micro-batch then rewrites only the partitions its keys fall in.
     """
     if checkpoint is None:
         # stable across processes (str hash is salted per interpreter)
@@ -60,10 +58,7 @@ def ingest_landed_series(spark: SparkSession, landing_dir: str, table_root: str,
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         typed = ds.bacen_from_raw(batch, series)
-        if partition_by:
-            pb.upsert_partitions(batch.sparkSession, typed, table_root, list(keys), list(partition_by))
-        else:
-            pb.upsert(batch.sparkSession, typed, table_root, list(keys))
+        pb.upsert(batch.sparkSession, typed, table_root, list(keys), list(partition_by or ()))
 
     writer = (landed_series_stream(spark, landing_dir)
               .writeStream.foreachBatch(merge_batch)
