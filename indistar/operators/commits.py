@@ -132,6 +132,10 @@ class Changes:
     def _fresh(self, *parts: str) -> str:
         return "/".join((self.root, *parts, f"v_{uuid.uuid4().hex}"))
 
+    def aside(self, kind: str) -> str:
+        """A new folder for a table that this change needs but does not publish."""
+        return self._fresh(STAGED, kind)
+
     def evaluated(self, df: DataFrame) -> DataFrame:
         """``df`` written aside and read back, so that its plan runs once."""
         if any(df is seen for seen in self._evaluated):

@@ -173,6 +173,33 @@ def land_raw(df: DataFrame, raw_root: str, keys: Sequence[str], order: Sequence[
     return out
 
 
+def land_series(df: DataFrame, raw_root: str, fonte: str, keys: Sequence[str], order: Sequence[str], stamp: str,
+                dataset_col: str = "serie", code_col: str = "codigo") -> str:
+    """Land raw records as one run: ``fonte=/dataset=/codigo=/run=`` folders of
+    JSON Lines, one for each series, by one job; returns ``raw_root``.
+
+    Records are unique on ``keys`` (the last by ``order``) and sorted within a
+    file.  ``stamp`` (``yyyymmdd_hhmmss``) names the run; a run is landed once.
+    """
+    from .reshape import dedup_keep_last
+    spark = df.sparkSession
+    place, fs = cm._files(spark, raw_root)
+    run = spark._jvm.org.apache.hadoop.fs.Path(f"{raw_root.rstrip('/')}/fonte={fonte}/dataset=*/codigo=*/run={stamp}")
+    if fs.exists(place) and len(fs.globStatus(run) or []):
+        raise FileExistsError(f"{fonte}: run {stamp} was landed before")
+    rows = dedup_keep_last(df, keys, order).withColumns(
+        {"fonte": F.lit(fonte), "dataset": F.col(dataset_col), "_codigo": F.col(code_col), "run": F.lit(stamp)})
+    # the code stays in the records, too
+    record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")
+    (rows.select("fonte", "dataset", F.col("_codigo").alias("codigo"), "run", *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], record)
+     .hint("rebalance", "dataset", "codigo")
+     .sortWithinPartitions("dataset", "codigo", *[f"_o{i}" for i in range(len(order))])
+     .select("fonte", "dataset", "codigo", "run", "value")
+     .write.mode("append").partitionBy("fonte", "dataset", "codigo", "run").option("lineSep", "\n").format("text")
+     .save(raw_root))
+    return raw_root
+
+
 def post_load_counts(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
     """Row count per published table, read back from its current version."""
     from .aggregates import row_counts

@@ -21,7 +21,7 @@ from ..operators import reshape as rs
 from ..operators import windows as wn
 from ..sources import catalog as cat
 from ..sources import readers as rd
-from ..sources.snapshots import SNAPSHOT_NAME
+from ..sources.snapshots import snapshot_field
 
 # ---------------------------------------------------------------------------
 # Variable / classification ids and output names.
@@ -131,9 +131,9 @@ def bacen_from_raw(raw: DataFrame, series: dict | None = None) -> DataFrame:
     ``raw`` carries ``arquivo`` / ``arquivo_modificado`` (``read_flat_series``);
     constant columns come from a broadcast catalog join; the same (series,
     date) seen in several snapshots keeps the row of the latest extraction:
-    the stamp in the landed file name decides, then the modification time,
-    then the name (files without a stamp, e.g. Spark part files, are
-    ordered by time).
+    the stamp in the landed file name or run folder decides, then the
+    modification time, then the name (files without a stamp are ordered by
+    time).
     """
     catalog = cat.series_catalog(raw.sparkSession, series).drop("serie_id")
     if "_corrupt_record" in raw.columns:
@@ -143,7 +143,7 @@ def bacen_from_raw(raw: DataFrame, series: dict | None = None) -> DataFrame:
              .withColumn("valor", fp.parse_decimal("valor", 20, 8))
              .filter(F.col("data_referencia").isNotNull() & F.col("valor").isNotNull()))
     parts = fd.year_month_small("data_referencia")
-    stamp = F.regexp_extract("arquivo", SNAPSHOT_NAME, 4)
+    stamp = snapshot_field(F.col("arquivo_caminho" if "arquivo_caminho" in raw.columns else "arquivo"), "carimbo")
     shaped = typed.select(F.col("codigo").alias("serie_id"), "serie", "indicador", "unidade", "periodicidade",
                           "data_referencia", parts["ano"].alias("ano"), parts["mes"].alias("mes"), "valor",
                           stamp.alias("carimbo"), "arquivo_modificado", "arquivo")

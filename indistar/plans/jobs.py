@@ -10,6 +10,7 @@ against the published dimension, and merges it into its published version
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ from ..operators import publish as pb
 from ..sources import catalog as cat
 from ..sources import readers as rd
 from ..sources import snapshots as sn
+from ..sources.intake import take_in
+from ..sources.schemas import FLAT_ITEM_SCHEMA, NESTED_VARIABLE_SCHEMA
 from . import datasets as ds
 from .tables import TABLE_CONTRACTS, series_contract
 
@@ -37,17 +40,25 @@ KEYS = {name: list(c.key) for name, c in TABLE_CONTRACTS.items()}
 KEYS["pib_brasil_ano"] = ["data_referencia", "variavel_id"]
 
 
+def _empty(spark: SparkSession, raw_dir: str, chosen: dict) -> DataFrame:
+    """Documents of zero bytes that belong to the chosen datasets."""
+    path, codes = F.col("arquivo_caminho"), {n: c.get("agregado", c.get("codigo")) for n, c in chosen.items()}
+    return sn.empty_documents(spark, raw_dir).filter(sn.dataset_of(path, codes).isin(list(chosen)))
+
+
 def stage_long_layer(spark: SparkSession, raw_dir: str, long_root: str,
                      datasets: Iterable[str] | str | None = None, spread: int | None = None) -> dict[str, str]:
     """Newest snapshot per selected dataset -> long layer partitioned by dataset."""
     chosen = sn.select_datasets(cat.INDICATORS, datasets)
     paths = sn.newest_snapshots(spark, raw_dir, {n: c["agregado"] for n, c in chosen.items()})
-    raw = rd.read_nested(spark, list(paths.values()), mode="FAILFAST")
-    raw = raw.withColumn("dataset", F.regexp_extract("arquivo", sn.SNAPSHOT_NAME, 2))
-    filled = {r["dataset"] for r in raw.select("dataset").distinct().collect()}  # one row per chosen dataset
-    if empty := sorted(set(paths) - filled):
-        raise ValueError(f"newest snapshot without a record: {empty}")
-    long = fl.flatten_nested(raw, carry=["dataset"], spread=spread)
+    raw = rd.read_landed(spark, paths.values(), NESTED_VARIABLE_SCHEMA)
+    listed = sn.snapshot_listing(spark, raw_dir).join(
+        spark.createDataFrame([(p,) for p in paths.values()], "instantaneo string"), "instantaneo", "left_semi")
+    listed = listed.select("arquivo_caminho").union(_empty(spark, raw_dir, chosen))
+    taken = take_in(raw, f"{long_root.rstrip('/')}-registros/{uuid.uuid4().hex}", listed=listed)
+    good = taken.good.withColumn("dataset", sn.dataset_of(
+        F.col("arquivo_caminho"), {n: c["agregado"] for n, c in chosen.items()}))
+    long = fl.flatten_nested(good, carry=["dataset"], spread=spread)
     (long.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dataset").parquet(long_root))
     return paths
@@ -123,27 +134,40 @@ def run_ibge(spark: SparkSession, raw_dir: str, work_root: str, out_root: str,
 
 def run_bacen(spark: SparkSession, raw_dir: str, out_root: str,
               series: Iterable[str] | str | None = None, start=None, end=None,
-              all_snapshots: bool = True) -> DataFrame:
+              all_snapshots: bool = True, catalog: dict | None = None, fonte: str | None = None,
+              on_problem: str = "fail") -> DataFrame:
     """Daily series job: every landed snapshot (or only the newest) of the
     selected series, optional inclusive date bound, merged into the history
-    and into one table per series."""
-    chosen = sn.select_datasets(cat.SERIES, series)
+    and into one table per series.
+
+    Input is accounted for (``take_in``): a snapshot that does not parse, has
+    no record or holds another series stops the run before anything is
+    published, and so does a selected series without a snapshot; with
+    ``on_problem="quarantine"`` such records are set aside instead."""
+    catalog = cat.SERIES if catalog is None else catalog
+    chosen = sn.select_datasets(catalog, series)
+    changes = cm.Changes(spark, out_root)
+    listing = sn.snapshot_listing(spark, raw_dir, fonte).filter(F.col("dataset").isin(list(chosen)))
     if all_snapshots:
-        listing = sn.snapshot_listing(spark, raw_dir).filter(F.col("dataset").isin(list(chosen)))
-        if listing.limit(1).count() == 0:  # metadata-only probe
-            raise FileNotFoundError(f"no landed snapshot for {sorted(chosen)}")
-        # one read of the landing folder; the file-name filter prunes the
-        # files of unselected datasets before they are opened, so no list
-        # of paths passes through the driver
-        raw = rd.read_flat_series(spark, raw_dir, mode="FAILFAST", recursive=True)
-        raw = raw.filter(F.regexp_extract("arquivo", sn.SNAPSHOT_NAME, 2).isin(list(chosen)))
-        hist = ds.bacen_from_raw(raw, chosen)
+        landed = {r["dataset"] for r in listing.select("dataset").distinct().collect()}  # at most one a series
+        if missing := sorted(set(chosen) - landed):
+            raise FileNotFoundError(f"no landed snapshot for {missing}")
+        raw = rd.read_landing_folder(spark, raw_dir, FLAT_ITEM_SCHEMA)
+        path = F.col("arquivo_caminho")
+        raw = raw.filter(sn.snapshot_field(path, "dataset").isin(list(chosen)))
+        if fonte is not None:
+            raw = raw.filter(sn.snapshot_field(path, "fonte") == fonte)
     else:
-        paths = list(sn.newest_snapshots(spark, raw_dir, {n: c["codigo"] for n, c in chosen.items()}).values())
-        hist = ds.bacen_from_raw(rd.read_flat_series(spark, paths, mode="FAILFAST"), chosen)
+        paths = sn.newest_snapshots(spark, raw_dir, {n: c["codigo"] for n, c in chosen.items()}, fonte)
+        listing = listing.filter(F.col("instantaneo").isin(list(paths.values())))
+        raw = rd.read_landed(spark, paths.values(), FLAT_ITEM_SCHEMA)
+    known = spark.createDataFrame([(n, c["codigo"]) for n, c in chosen.items()], "serie string, codigo int")
+    listed = listing.select("arquivo_caminho").union(_empty(spark, raw_dir, chosen))
+    taken = take_in(raw, changes.aside("registros"), known, ["serie", "codigo"], listed, on_problem)
+    hist = ds.bacen_from_raw(taken.good, chosen)
     if start is not None or end is not None:
         hist = cat.date_range(hist, "data_referencia", start, end)
-    changes, order = cm.Changes(spark, out_root), ["serie_id", "data_referencia"]  # files sorted per task
+    order = ["serie_id", "data_referencia"]  # files sorted per task
     history, keys = "bacen_serie_historica", KEYS["bacen_serie_historica"]
     once = changes.evaluated(hist)  # the raw documents are read once for all tables
     ct.assert_contract(TABLE_CONTRACTS[history], once)

@@ -586,3 +586,31 @@ ORACLE_SQL["page_year_count_by_state"] = _PAGE_ROWS + """
 SELECT uf_sigla, count(ano) AS contagem_ano FROM p GROUP BY uf_sigla"""
 ORACLE_SQL["page_state_count_by_year_region"] = _PAGE_ROWS + """
 SELECT ano, regiao, count(uf_sigla) AS contagem_uf FROM p GROUP BY ano, regiao"""
+
+_BY_YEAR = """
+WITH o AS (SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(o_totalprice AS DECIMAL(12,2)) AS valor FROM orders)"""
+ORACLE_SQL["upsert_touched_partitions"] = _BY_YEAR + """
+SELECT ano, count(*) AS linhas, round(CAST(sum(valor + CASE WHEN ano = 1997 THEN 1 ELSE 0 END) AS DOUBLE), 2) AS total,
+       CAST(CASE WHEN ano = 1997 THEN 2 ELSE 1 END AS BIGINT) AS commit
+FROM o GROUP BY ano"""
+ORACLE_SQL["upsert_two_writers"] = _BY_YEAR + """
+SELECT o_orderkey, o_custkey, ano, CAST(valor + CASE WHEN ano = 1998 THEN 2 WHEN ano <> 1997 THEN 0
+       WHEN o_custkey % 2 = 1 THEN 1 ELSE 3 END AS DECIMAL(12,2)) AS valor FROM o"""
+ORACLE_SQL["refresh_one_commit"] = """
+WITH etapas(etapa, mais) AS (VALUES ('1 primeira', 0), ('2 contrato violado', 0), ('3 interrompida', 0), ('4 completa', 3))
+SELECT etapa, 'clientes' AS tabela, count(*) AS linhas, CAST(sum(c_custkey) AS DOUBLE) AS total
+FROM etapas, customer GROUP BY etapa
+UNION ALL
+SELECT etapa, 'pedidos' AS tabela, count(*) AS linhas,
+       round(CAST(sum(CAST(o_totalprice AS DECIMAL(12,2)) + mais) AS DOUBLE), 2) AS total
+FROM etapas, orders GROUP BY etapa"""
+ORACLE_SQL["landed_extractions"] = ORACLE_SQL["union_series"].replace(
+    "CAST(printf('%.2f', value) AS DECIMAL(20,8)) AS valor",
+    "CAST(printf('%.2f', value + CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-16' THEN 1 ELSE 0 END) AS DECIMAL(20,8)) AS valor")
+ORACLE_SQL["intake_report"] = """
+SELECT 'corrompido' AS problema, CAST(1 AS BIGINT) AS instantaneos, count(*) AS registros FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT 'sem_dados', 1, count(*) FROM events WHERE event_type = 'signup'
+UNION ALL SELECT 'serie_desconhecida', 1, count(*) FROM orders
+UNION ALL SELECT 'sem_registro', 1, 0
+UNION ALL SELECT 'aproveitado', count(DISTINCT event_type), count(DISTINCT (event_type, CAST(ts AS DATE)))
+FROM events WHERE event_type NOT IN ('purchase', 'signup')"""

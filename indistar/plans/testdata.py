@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions import parsing as fp
 from ..functions import periods as fd
 from ..operators import aggregates as agg
+from ..operators import commits as cm
 from ..operators import contracts as ct
 from ..operators import flatten as fl
 from ..operators import joins as jn
@@ -27,8 +28,12 @@ from ..operators import reshape as rs
 from ..operators import windows as wn
 from ..sources import catalog as cat
 from ..sources import readers as rd
+from ..sources import snapshots as sn
+from ..sources.intake import take_in
+from ..sources.schemas import FLAT_ITEM_SCHEMA
 from ..session import checkpoint_dir
 from . import datasets as ds
+from . import jobs
 from . import reports as rp
 
 # Fixed parameters of the report queries over TESTDATA.
@@ -62,6 +67,7 @@ EVENT_SERIES = [
 DATE_RANGE = ("1996-03-01", "1997-06-30")
 UPSERT_TARGET_BEFORE = "1999-01-01"
 UPSERT_UPDATES_FROM = "1998-01-01"
+UPSERT_YEAR = 1997
 # Day from which the second (re-)extraction of the event series starts.
 SECOND_EXTRACTION_FROM = "2024-01-16"
 
@@ -992,6 +998,149 @@ def upsert_published(spark, sf_dir):
     return pb.read_current(spark, root)
 
 
+def _orders_by_year(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("ano"),
+                                              F.col("o_totalprice").cast("decimal(12,2)").alias("valor"))
+
+
+def _raised(df: DataFrame, by: int) -> DataFrame:
+    return df.withColumn("valor", (F.col("valor") + F.lit(by)).cast("decimal(12,2)"))
+
+
+def upsert_touched_partitions(spark, sf_dir):
+    """A year-partitioned table of all orders, then an upsert of the orders of
+    ``UPSERT_YEAR``: per year its rows, their total and the commit that wrote
+    the partition (2 for that year alone, the other folders stay)."""
+    o = _orders_by_year(spark, sf_dir)
+    root = _landing_folder(spark, "particionado")
+    pb.upsert(spark, o, f"{root}/pedidos", ["o_orderkey"], ["ano"])
+    pb.upsert(spark, _raised(o.filter(F.col("ano") == UPSERT_YEAR), 1), f"{root}/pedidos", ["o_orderkey"], ["ano"])
+    written = pb.partitions(spark, f"{root}/pedidos").select(
+        F.get_json_object("valores", "$.ano").cast("int").alias("ano"), F.col("gravado").alias("commit"))
+    sums = pb.read_current(spark, f"{root}/pedidos").groupBy("ano").agg(
+        F.count(F.lit(1)).alias("linhas"), F.sum("valor").cast("double").alias("total"))
+    return sums.join(written, "ano").select("ano", "linhas", F.round("total", 2).alias("total"), "commit")
+
+
+def upsert_two_writers(spark, sf_dir):
+    """Three writers merge batches that were all staged against the first
+    commit: one raises the orders of a year, one those of another year, one
+    those of the first year's customers with even keys.  The first two commit
+    side by side, the third finds its year changed and merges again, so no
+    batch is lost."""
+    o = _orders_by_year(spark, sf_dir)
+    root = _landing_folder(spark, "escritores")
+    pb.upsert(spark, o, f"{root}/pedidos", ["o_orderkey"], ["ano"])
+    one, two, three = (cm.Changes(spark, root) for _ in range(3))
+    first = o.filter(F.col("ano") == UPSERT_YEAR)
+    one.upsert("pedidos", _raised(first.filter(F.col("o_custkey") % 2 == 1), 1), ["o_orderkey"], ["ano"])
+    two.upsert("pedidos", _raised(o.filter(F.col("ano") == UPSERT_YEAR + 1), 2), ["o_orderkey"], ["ano"])
+    even = _raised(first.filter(F.col("o_custkey") % 2 == 0), 3)
+    three.upsert("pedidos", even, ["o_orderkey"], ["ano"])
+    one.commit()
+    two.commit()
+    try:
+        three.commit()
+    except cm.CommitConflict:
+        pb.upsert(spark, even, f"{root}/pedidos", ["o_orderkey"], ["ano"])
+    return pb.read_current(spark, f"{root}/pedidos")
+
+
+def refresh_one_commit(spark, sf_dir):
+    """Full refreshes of a customer and an order table as readers see them:
+    after the first one, after one that breaks a contract (orders of unknown
+    customers), after one that stops between the tables, and after a good one
+    whose orders cost 3 more.  Rows and totals of both tables each time."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    o = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("data_referencia"), F.year("o_orderdate").alias("ano"),
+        F.month("o_orderdate").alias("mes"), "o_orderpriority", F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"))
+    higher = o.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(14,2)") + 3).withColumn(
+        "o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))
+    few = c.filter(F.col("c_custkey") % 2 == 0)
+    dims = {"nacoes": _t(spark, sf_dir, "nation")}
+    root = _landing_folder(spark, "um_commit")
+
+    def refresh(customers, orders):
+        pb.full_refresh(spark, {"clientes": (customers, REFRESH_CONTRACTS["clientes"]),
+                                "pedidos": (orders, REFRESH_CONTRACTS["pedidos"])}, root, dims=dims)
+
+    def seen(step: str) -> DataFrame:
+        customers, orders = (pb.read_current(spark, f"{root}/{n}") for n in ("clientes", "pedidos"))
+        return customers.agg(F.lit(step).alias("etapa"), F.lit("clientes").alias("tabela"), F.count(F.lit(1)).alias("linhas"),
+                             F.sum("c_custkey").cast("double").alias("total")).union(
+            orders.agg(F.lit(step), F.lit("pedidos"), F.count(F.lit(1)), F.sum("o_totalprice").cast("double")))
+
+    refresh(c, o)
+    steps = [seen("1 primeira")]
+    try:
+        refresh(few, higher)
+        raise AssertionError("orders of unknown customers were published")
+    except ValueError:
+        steps.append(seen("2 contrato violado"))
+    stopped = cm.Changes(spark, root)  # a writer that stops after one table
+    stopped.replace("clientes", few)
+    steps.append(seen("3 interrompida"))
+    refresh(c, higher)
+    steps.append(seen("4 completa"))
+    return rs.union_frames(steps).withColumn("total", F.round("total", 2))
+
+
+def _landed_events(spark, sf_dir) -> DataFrame:
+    codes = spark.createDataFrame([(s, sid) for s, sid, *_ in EVENT_SERIES], "serie string, codigo int")
+    e = _t(spark, sf_dir, "events").select(
+        F.col("event_type").alias("serie"), F.to_date("ts").alias("dia"), F.date_format("ts", "dd/MM/yyyy").alias("data"),
+        F.col("value").alias("numero"), "ts", "event_id")
+    return jn.attach_dimension(e, codes, "serie", "inner")
+
+
+def _as_text(df: DataFrame) -> DataFrame:
+    text = F.regexp_replace(F.format_string("%.2f", F.col("numero")), r"\.", ",")
+    return df.select("serie", "codigo", "data", text.alias("valor"), "ts", "event_id")
+
+
+def landed_extractions(spark, sf_dir):
+    """The daily-series job over what ``land_series`` landed: one run with all
+    days, a later run with other values (one more) for the days from
+    ``SECOND_EXTRACTION_FROM``; the published history has the later values."""
+    raw, root = _landed_events(spark, sf_dir), _landing_folder(spark, "corridas")
+    later = raw.filter(F.col("dia") >= F.lit(SECOND_EXTRACTION_FROM).cast("date")).withColumn("numero", F.col("numero") + 1)
+    for df, stamp in ((raw, "20240201_000000"), (later, "20240202_000000")):
+        pb.land_series(_as_text(df), f"{root}/raw", "eventos", ["codigo", "data"], ["ts", "event_id"], stamp)
+    jobs.run_bacen(spark, f"{root}/raw", f"{root}/dw", catalog=EVENT_SERIES_CATALOG, fonte="eventos")
+    return pb.read_current(spark, f"{root}/dw/bacen_serie_historica")
+
+
+def intake_report(spark, sf_dir):
+    """Accounting of a landing folder: a sound run of the event series, broken
+    records (purchases cut off), records without a field (signups), a series
+    that the catalog does not know (orders by status as documents) and a run
+    without a record.  Problem, snapshots that have it, records."""
+    root, stamp = _landing_folder(spark, "entrada"), "20240201_000000"
+    keys, order = ["codigo", "data"], ["ts", "event_id"]
+    text = _as_text(_landed_events(spark, sf_dir))
+    pb.land_series(text.filter(~F.col("serie").isin("purchase", "signup")), root, "eventos", keys, order, stamp)
+
+    def run_folder(dataset: str, code: int) -> str:
+        return f"{root}/fonte=eventos/dataset={dataset}/codigo={code}/run={stamp}"
+    lines = text.filter(F.col("serie") == "purchase").select(
+        F.concat(F.lit('{"serie": "purchase", "data": "'), "data").alias("value"))
+    lines.write.mode("error").text(run_folder("purchase", 3))
+    text.filter(F.col("serie") == "signup").select(F.lit('{"erro": "sem dados"}').alias("value")).write.mode("error").text(
+        run_folder("signup", 4))
+    o = _t(spark, sf_dir, "orders").select(F.to_json(F.struct(
+        F.col("o_orderstatus").alias("serie"), F.lit(77).alias("codigo"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("data"),
+        F.lit("1").alias("valor"))).alias("value"))
+    o.write.mode("error").text(run_folder("pedidos", 77))
+    spark.createDataFrame([(" ",)], "value string").write.mode("error").text(run_folder("vazio", 78))
+    known = spark.createDataFrame([(s, sid) for s, sid, *_ in EVENT_SERIES], "serie string, codigo int")
+    taken = take_in(rd.read_landing_folder(spark, root, FLAT_ITEM_SCHEMA), f"{_landing_folder(spark, 'registros')}", known,
+                    ["serie", "codigo"], sn.snapshot_listing(spark, root), on_problem="quarantine")
+    good = taken.good.agg(F.lit("aproveitado").alias("problema"), F.count_distinct(
+        sn.snapshot_of(F.col("arquivo_caminho"))).alias("instantaneos"), F.count(F.lit(1)).alias("registros"))
+    return taken.report.groupBy("problema").agg(F.count(F.lit(1)).alias("instantaneos"), F.sum("linhas").alias("registros")).union(good)
+
+
 def document_problems_report(spark, sf_dir):
     """Corrupt-document check over two landed batches read by ONE permissive
     scan: the population documents (valid) and one truncated record per
@@ -1118,4 +1267,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_refresh_counts": full_refresh_counts,
     "upsert_published": upsert_published,
     "document_problems_report": document_problems_report,
+    "upsert_touched_partitions": upsert_touched_partitions,
+    "upsert_two_writers": upsert_two_writers,
+    "refresh_one_commit": refresh_one_commit,
+    "landed_extractions": landed_extractions,
+    "intake_report": intake_report,
 }

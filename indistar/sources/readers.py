@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 from .schemas import FLAT_ITEM_SCHEMA, NESTED_VARIABLE_SCHEMA
 
 
+_FILE_COLUMNS = {"file_name": "arquivo", "file_path": "arquivo_caminho", "file_modification_time": "arquivo_modificado"}
+
+
 def _paths(paths) -> list[str]:
     if isinstance(paths, str):
         return [paths]
@@ -46,10 +49,7 @@ def read_json_documents(spark: SparkSession, paths, schema: T.StructType,
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
     df = reader.json(_paths(paths))
     if with_file:
-        df = df.select("*",
-                       F.col("_metadata.file_name").alias("arquivo"),
-                       F.col("_metadata.file_path").alias("arquivo_caminho"),
-                       F.col("_metadata.file_modification_time").alias("arquivo_modificado"))
+        df = df.select("*", *[F.col(f"_metadata.{m}").alias(n) for m, n in _FILE_COLUMNS.items()])
     return df
 
 
@@ -74,6 +74,29 @@ def read_flat_series(spark: SparkSession, paths, mode: str = "PERMISSIVE",
     return read_json_documents(spark, paths, FLAT_ITEM_SCHEMA, mode, with_file, multi_line, recursive)
 
 
+def read_landed(spark: SparkSession, paths: Iterable[str], schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
+    """Snapshots of both layouts by path: JSON-array documents (``*.json``
+    outside run folders) and JSON Lines of run folders."""
+    paths = _paths(paths)
+    lines = [p for p in paths if "/run=" in p]
+    documents = [p for p in paths if "/run=" not in p]
+    frames = [read_json_documents(spark, some, schema, mode, multi_line=multi)
+              for some, multi in ((documents, True), (lines, False)) if some]
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+def read_landing_folder(spark: SparkSession, raw_dir: str, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
+    """All documents and runs below a landing folder; a filter on the file path
+    prunes files before they are opened, so no list of paths is needed."""
+    def part(glob: str, multi_line: bool) -> DataFrame:
+        read_schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
+        df = (spark.read.schema(read_schema).option("multiLine", multi_line).option("mode", mode)
+              .option("columnNameOfCorruptRecord", "_corrupt_record")
+              .option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(raw_dir))
+        return df.select("*", *[F.col(f"_metadata.{m}").alias(n) for m, n in _FILE_COLUMNS.items()])
+    return part("*.json", True).unionByName(part("*.txt", False))
+
+
 def read_with_file_name(spark: SparkSession, paths, fmt: str = "parquet",
                         **options) -> DataFrame:
     """Any format, every file of a glob, with the file name as a column."""

@@ -1,3 +1,3 @@
 """Incremental ingest of landed raw snapshots (Structured Streaming)."""
 
-from .landing import ingest_landed_series, landed_series_stream  # noqa: F401
+from .landing import ingest_landed_series, landed_files_stream  # noqa: F401
