@@ -80,7 +80,7 @@ def violations(c: Contract, df: DataFrame, dims: Mapping[str, DataFrame] | None
         parts.append(dup.select(F.lit(rule).alias("regra"), F.lit(",".join(key)).alias("coluna"), "violacoes"))
     for cols, dim_name, dim_cols in c.foreign_keys:
         if dims is None or dim_name not in dims:
-            continue
+            raise ValueError(f"{c.name}: the foreign key {','.join(cols)} needs the dimension {dim_name}")
         dim = dims[dim_name].select(*[F.col(d).alias(s) for s, d in zip(cols, dim_cols)]).distinct()
         # count per foreign-key value first: a value held by a third of all
         # rows is combined map-side and reaches the anti join as one row
@@ -98,12 +98,24 @@ def violations(c: Contract, df: DataFrame, dims: Mapping[str, DataFrame] | None
                       F.col("violacoes").cast("bigint").alias("violacoes"))
 
 
+def type_problems(c: Contract, df: DataFrame) -> list[str]:
+    """Columns whose type cannot hold the declared values: the declared type
+    itself fits, and any number does for a number (range and precision are
+    rules on the values)."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return [f"{f.name} is {have[f.name].simpleString()}, not {f.dataType.simpleString()}" for f in c.schema.fields
+            if f.name in have and have[f.name] != f.dataType
+            and not (isinstance(have[f.name], T.NumericType) and isinstance(f.dataType, T.NumericType))]
+
+
 def assert_contract(c: Contract, df: DataFrame, dims: Mapping[str, DataFrame] | None = None) -> None:
-    """Raise when the column set differs or any rule is violated."""
+    """Raise when the column set or a type differs or any rule is violated."""
     from .reshape import column_set_diff
     missing, unexpected = column_set_diff(df, c.columns)
     if missing or unexpected:
         raise ValueError(f"{c.name}: missing columns {missing}, unexpected columns {unexpected}")
+    if wrong := type_problems(c, df):
+        raise ValueError(f"{c.name}: {'; '.join(wrong)}")
     bad = [r for r in violations(c, df, dims).collect() if r["violacoes"]]
     if bad:
         detail = "; ".join(f"{r['regra']}({r['coluna']})={r['violacoes']}" for r in bad)

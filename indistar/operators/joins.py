@@ -65,3 +65,21 @@ def range_join(fact: DataFrame, value: Column, windows: DataFrame,
     """
     w = F.broadcast(windows)
     return fact.join(w, (value >= w[start]) & (value <= w[end]), how)
+
+
+def window_join(fact: DataFrame, value: str, bounds: DataFrame, keys: Sequence[str], years: int,
+                start: str = "inicio", end: str = "fim") -> DataFrame:
+    """Fact rows with the window of their own series that holds them.
+
+    ``bounds`` has one row per ``keys`` with the first and last day.  The window
+    number is arithmetic on the date, so the join is on the keys alone: no
+    range condition, no nested loop, and each row meets one series only.
+    Rows outside the bounds, or of a series without bounds, have no window and
+    are left out.
+    """
+    from ..sources.catalog import window_number, window_start
+    edges = bounds.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"))
+    held = fact.join(edges, list(keys), "inner").filter(F.col(value).between(F.col("_s"), F.col("_e")))
+    numbered = held.withColumn("janela", window_number(F.col(value), F.col("_s"), years))
+    first, nxt = (window_start(F.col("_s"), F.col("janela") + k, years) for k in (0, 1))
+    return numbered.withColumns({"janela_inicio": first, "janela_fim": F.least(F.date_sub(nxt, 1), F.col("_e"))}).drop("_s", "_e")

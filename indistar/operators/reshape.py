@@ -53,21 +53,29 @@ def require_columns(df: DataFrame, expected: Iterable[str], name: str = "frame")
     return df.select(*expected)
 
 
-def pivot_values(df: DataFrame, keys: Sequence[str], pivot_col: str,
-                 names: Mapping, value_col: str = "valor") -> DataFrame:
-    """Long -> wide with a fixed value list (no discovery pass).
+def pivot_values(df: DataFrame, keys: Sequence[str], pivot_col: str, names: Mapping, value_col: str = "valor",
+                 conflict: str = "error") -> DataFrame:
+    """Long -> wide with a fixed value list: one aggregate, one exchange.
 
     Each listed pivot value becomes the column ``names[value]``; unlisted
-    values are ignored, but their key rows survive with nulls.  A cell takes
-    ``max`` of its values, which equals the single value of a well-formed
-    cell and, unlike ``first``, does not depend on row order or on a null
-    arriving first.  ``multi_valued_cells`` reports cells breaking that rule.
+    values are ignored, but their key rows survive with nulls.  Nulls never
+    count as a cell's value.  A cell with two different values fails the run;
+    ``conflict="max"`` takes the largest one instead.
     """
-    values = list(names)
-    wide = (df.groupBy(*keys)
-            .pivot(pivot_col, values)
-            .agg(F.max(value_col)))
-    return wide.withColumnsRenamed({str(v): names[v] for v in values})
+    if conflict not in ("error", "max"):
+        raise ValueError(f"conflict: {conflict}")
+    cells = {out: F.when(F.col(pivot_col) == F.lit(v), F.col(value_col)) for v, out in names.items()}
+    if conflict == "max":
+        return df.groupBy(*keys).agg(*[F.max(c).alias(out) for out, c in cells.items()])
+    both = df.groupBy(*keys).agg(*[f(c).alias(f"{tag}{i}") for i, c in enumerate(cells.values())
+                                   for tag, f in (("_lo", F.min), ("_hi", F.max))])
+    kind = df.schema[value_col].dataType
+
+    def cell(i: int, out: str) -> Column:
+        at = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+        refuse = F.raise_error(F.concat(F.lit(f"{out}: two values in one cell: "), at)).cast(kind)
+        return F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_hi{i}")).when(F.col(f"_hi{i}").isNotNull(), refuse).alias(out)
+    return both.select(*keys, *[cell(i, out) for i, out in enumerate(cells)])
 
 
 def multi_valued_cells(df: DataFrame, keys: Sequence[str], pivot_col: str,

@@ -614,3 +614,12 @@ UNION ALL SELECT 'serie_desconhecida', 1, count(*) FROM orders
 UNION ALL SELECT 'sem_registro', 1, 0
 UNION ALL SELECT 'aproveitado', count(DISTINCT event_type), count(DISTINCT (event_type, CAST(ts AS DATE)))
 FROM events WHERE event_type NOT IN ('purchase', 'signup')"""
+ORACLE_SQL["window_coverage_series"] = """
+WITH o AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS dia FROM orders),
+b AS (SELECT o_orderpriority, min(dia) AS lo, max(dia) AS hi FROM o GROUP BY 1),
+w AS (SELECT o_orderpriority, i AS janela, CAST(lo + to_years(2 * i) AS DATE) AS janela_inicio,
+             least(CAST(lo + to_years(2 * i + 2) AS DATE) - 1, hi) AS janela_fim
+      FROM (SELECT *, CAST(unnest(range(20)) AS INTEGER) AS i FROM b))
+SELECT w.o_orderpriority, janela, janela_inicio, janela_fim, count(*) AS n_pedidos
+FROM w JOIN o ON o.o_orderpriority = w.o_orderpriority AND dia BETWEEN janela_inicio AND janela_fim
+GROUP BY ALL"""

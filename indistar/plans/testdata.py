@@ -298,7 +298,7 @@ def constant_cols(spark, sf_dir):
 
 def pivot_long_wide(spark, sf_dir):
     e = _t(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("dia"), "event_type", "value")
-    return rs.pivot_values(e, ["user_id", "dia"], "event_type", PIVOT_TYPES, "value")
+    return rs.pivot_values(e, ["user_id", "dia"], "event_type", PIVOT_TYPES, "value", conflict="max")
 
 
 def dedup_last(spark, sf_dir):
@@ -562,6 +562,16 @@ def window_coverage(spark, sf_dir):
     return j.groupBy("janela", "janela_inicio", "janela_fim").agg(F.count(F.lit(1)).alias("n_pedidos"))
 
 
+def window_coverage_series(spark, sf_dir):
+    """Orders per priority in two-year windows of the priority's own span: the
+    join is on the priority, the window number is arithmetic."""
+    o = _t(spark, sf_dir, "orders").select("o_orderpriority", F.to_date("o_orderdate").alias("dia"))
+    bounds = o.groupBy("o_orderpriority").agg(F.min("dia").alias("inicio"), F.max("dia").alias("fim"))
+    per_day = o.groupBy("o_orderpriority", "dia").agg(F.count(F.lit(1)).alias("k"))  # a hot priority has few days
+    return jn.window_join(per_day, "dia", bounds, ["o_orderpriority"], 2).groupBy(
+        "o_orderpriority", "janela", "janela_inicio", "janela_fim").agg(F.sum("k").alias("n_pedidos"))
+
+
 def _population_documents(spark, sf_dir, state_coded: bool = False) -> DataFrame:
     """Orders per customer and year as nested population documents.
 
@@ -1240,6 +1250,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_part_join": date_part_join,
     "window_table": window_table,
     "window_coverage": window_coverage,
+    "window_coverage_series": window_coverage_series,
     "date_range_filter": date_range_filter,
     "population_recipe": population_recipe,
     "resumo_ano_recipe": resumo_ano_recipe,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,30 +145,37 @@ def window_table(bounds: DataFrame, start_col: str = "inicio", end_col: str = "f
     """
     keys = keys or []
     s, e = F.col(start_col), F.col(end_col)
-    leap = (F.month(s) == 2) & (F.dayofmonth(s) == 29)
-    anchor = F.when(leap, F.date_sub(s, 1)).otherwise(s)
-    step = 12 * years
+    last = F.floor(F.months_between(e, _anchor(s)) / (12 * years)).cast("int") + 1
+    i = F.col("janela")
+    rows = (bounds.filter(s <= e)
+            .select(*keys, s.alias("_s"), e.alias("_e"), F.explode(F.sequence(F.lit(0), last)).alias("janela")))
+    start, nxt = window_start(F.col("_s"), i, years), window_start(F.col("_s"), i + 1, years)
+    return (rows.select(*keys, "janela", start.alias("janela_inicio"), F.least(F.date_sub(nxt, 1), F.col("_e")).alias("janela_fim"))
+            .filter(F.col("janela_inicio") <= F.col("janela_fim")))
+
+
+def _anchor(start: Column) -> Column:
+    """The day whose anniversaries are the window starts: the 28th for a 29-Feb."""
+    leap = (F.month(start) == 2) & (F.dayofmonth(start) == 29)
+    return F.when(leap, F.date_sub(start, 1)).otherwise(start)
 
+
+def window_start(start: Column, i: Column, years: int) -> Column:
+    """First day of window ``i`` (from 0) of a chain that begins at ``start``."""
     def is_leap_year(y):
         return ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
 
-    leap_s = (F.month("_s") == 2) & (F.dayofmonth("_s") == 29)
+    # a 29-Feb chain keeps the 29th while every anniversary year up to window i
+    # has one; once it falls back it is anchored on the 28th
+    kept = (F.month(start) == 2) & (F.dayofmonth(start) == 29) & ~F.exists(
+        F.sequence(F.lit(1), F.greatest(i, F.lit(1))), lambda k: ~is_leap_year(F.year(start) + k * years))
+    return (F.when(i == 0, start).when(kept, F.add_months(start, i * 12 * years))
+            .otherwise(F.add_months(_anchor(start), i * 12 * years)))
 
-    def start_of(i):
-        # a 29-Feb chain keeps the 29th while every anniversary year up to
-        # window i has one; once it falls back it is anchored on the 28th
-        kept = leap_s & ~F.exists(F.sequence(F.lit(1), F.greatest(i, F.lit(1))),
-                                lambda k: ~is_leap_year(F.year(F.col("_s")) + k * years))
-        return (F.when(i == 0, F.col("_s"))
-                .when(kept, F.add_months(F.col("_s"), i * step))
-                .otherwise(F.add_months(F.col("_a"), i * step)))
 
-    i = F.col("janela")
-    n_max = F.floor(F.months_between(e, anchor) / step).cast("int") + 1
-    w_end = F.least(F.date_sub(start_of(i + 1), 1), F.col("_e"))
-    return (bounds
-            .filter(s <= e)
-            .select(*keys, s.alias("_s"), e.alias("_e"), anchor.alias("_a"),
-                    F.explode(F.sequence(F.lit(0), n_max)).alias("janela"))
-            .select(*keys, "janela", start_of(i).alias("janela_inicio"), w_end.alias("janela_fim"))
-            .filter(F.col("janela_inicio") <= F.col("janela_fim")))
+def window_number(value: Column, start: Column, years: int) -> Column:
+    """The window (from 0) of the chain from ``start`` that holds the day
+    ``value``; the months between give it but for one, the starts decide."""
+    guess = F.floor(F.months_between(value, _anchor(start)) / (12 * years)).cast("int")
+    return (F.when(value < window_start(start, guess, years), guess - 1)
+            .when(value >= window_start(start, guess + 1, years), guess + 1).otherwise(guess))
