@@ -34,7 +34,7 @@ def test_keep_last_hot_key(skewed):
 
 def test_pivot_hot_key(skewed):
     pdf, df = skewed
-    wide = rs.pivot_values(df, ["k"], "ano", {2000: "a", 2003: "b"}, "v").collect()
+    wide = rs.pivot_values(df, ["k"], "ano", {2000: "a", 2003: "b"}, "v", conflict="max").collect()
     want = pdf[pdf.ano == 2003].groupby("k")["v"].max().to_dict()
     assert {r.k: r.b for r in wide if r.b is not None} == want and len(wide) == pdf.k.nunique()
 
