@@ -25,22 +25,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, the largest id."""
+    """One document of each group of equal texts, the largest id.  Null
+    texts are empty texts; texts of any length are compared whole; all columns
+    stay, whatever their names; an empty table stays empty."""
     return drop_exact_copies(docs, keep="max")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the smallest id."""
+    """One document of each group of near copies, the smallest id.  Null and
+    blank texts are near nobody; rows without an id are records of their own;
+    texts of any length are compared whole; all columns stay, whatever their
+    names; an empty table stays empty."""
     return drop_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
+    """Documents without a benchmark window.  Null texts have no words and
+    stay, and so does every document if ``benchmark`` is empty; all columns
+    stay, whatever their names."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences: one row per piece."""
+    """Training sequences: one row per piece.  A null or empty text is its
+    end id; long texts are cut over sequences; other columns are not read; no
+    documents give no pieces."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
