@@ -74,6 +74,13 @@ def file_profile(df: DataFrame, keys: Sequence[str], file_col: str = "arquivo")
                  F.sum("nulos").cast("bigint").alias("celulas_nulas")))
 
 
+def with_columns_of_files(profile: DataFrame, files: DataFrame, file_col: str = "arquivo_caminho") -> DataFrame:
+    """File profile with the column list of each file (``delimited.file_headers``,
+    ``column_differences``); a file that has a header and no row counts zeros."""
+    zeros = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in profile.columns if c != file_col}
+    return files.join(profile, file_col, "left").withColumns(zeros)
+
+
 def avg_of_avgs(df: DataFrame, groups: Sequence[str], label: str, value,
                 alias="media") -> DataFrame:
     """Mean per (groups, label), then mean of those means per group.
@@ -103,7 +110,7 @@ def value_list(df: DataFrame, column: str) -> DataFrame:
 
 def matrix(df: DataFrame, area: str, group: str, column_key: str, value: str,
            column_values: Sequence, agg: str = "min",
-           name_fn=lambda v: f"v_{v}") -> DataFrame:
+           name_fn=lambda v: f"v_{v}", counted: str | None = None) -> DataFrame:
     """Two-level row hierarchy x pivoted columns with subtotals.
 
     Spark rejects ``rollup(...).pivot(...)``, so the cells are computed with
@@ -111,6 +118,10 @@ def matrix(df: DataFrame, area: str, group: str, column_key: str, value: str,
     pivoted per row level with a fixed column list.  ``nivel`` is 0 for
     detail rows, 1 for area subtotals and 3 for the grand total.  A key that
     is not listed fails the run; it would have no column to show it.
+
+    ``counted`` carries a hidden measure through the same grouping sets: the
+    non-null count of that column over the row, all keys (a null key too), as
+    ``contagem``.
     """
     fn = getattr(F, agg)
     key = F.col(column_key)
@@ -119,10 +130,13 @@ def matrix(df: DataFrame, area: str, group: str, column_key: str, value: str,
     cells = (df.withColumn(column_key, checked).groupingSets([[area, group, column_key], [area, column_key], [column_key]],
                              area, group, column_key)
              .agg(fn(value).alias("_v"),
+                  *([F.count(counted).alias("_n")] if counted else []),
                   (F.grouping(area) * 2 + F.grouping(group)).cast("bigint").alias("nivel")))
-    wide = (cells.groupBy("nivel", area, group)
-            .pivot(column_key, list(column_values))
-            .agg(F.max("_v")))
+    rows = cells.groupBy("nivel", area, group)
+    if counted:
+        shown = [F.max(F.when(key == F.lit(v), F.col("_v"))).alias(name_fn(v)) for v in column_values]
+        return rows.agg(*shown, F.sum("_n").alias("contagem"))
+    wide = rows.pivot(column_key, list(column_values)).agg(F.max("_v"))
     return wide.withColumnsRenamed({str(v): name_fn(v) for v in column_values})
 
 

@@ -20,32 +20,37 @@ LONG_COLUMNS = [
 
 
 def flatten_nested(raw: DataFrame, carry: list[str] | None = None,
-                   spread: int | None = None) -> DataFrame:
+                   spread: int | bool | None = None) -> DataFrame:
     """One row per variable x result x place x period.
 
     ``raw`` holds one row per variable element (``read_nested``).  ``carry``
     names extra columns (e.g. the source file) kept on every output row.
-    A multi-line JSON file is read by one task; for a few very large
-    documents pass ``spread`` to redistribute the results over that many
-    partitions before the series and period explodes.
+    A multi-line JSON document is read by one task.  ``spread`` numbers its
+    results and series and redistributes the series, each still one map of
+    periods, over that many partitions (``True``: as many as the session's
+    shuffle has, joined by AQE where they are small), so the periods of one
+    giant result are exploded and parsed by many tasks.  The numbers come
+    from the document, so a task that is run again sends each series to the
+    same partition.
     """
     carry = carry or []
     v = raw.select(
         F.col("id").try_cast("int").alias("variavel_id"),
         F.col("variavel").alias("variavel_nome"),
         "unidade", *carry,
-        F.explode_outer("resultados").alias("resultado"))
+        F.posexplode_outer("resultados").alias("_resultado", "resultado"))
     # explode_outer + an explicit null filter drops the same rows as explode
     # (null/empty lists, and null elements vanish at the next level) but keeps
     # Catalyst from inferring a size() filter that re-evaluates a computed
     # document expression below the scan
     v = v.filter(F.col("resultado").isNotNull())
-    if spread:
-        v = v.repartition(spread)
     s = v.select(
-        "variavel_id", "variavel_nome", "unidade", *carry,
+        "variavel_id", "variavel_nome", "unidade", *carry, "_resultado",
         F.col("resultado.classificacoes").alias("classificacoes"),
-        F.explode_outer("resultado.series").alias("serie_item")).filter(F.col("serie_item").isNotNull())
+        F.posexplode_outer("resultado.series").alias("_serie", "serie_item")).filter(F.col("serie_item").isNotNull())
+    if spread:
+        number = ["variavel_id", *carry, "_resultado", "_serie", F.col("serie_item.localidade.id")]
+        s = s.repartition(*number) if spread is True else s.repartition(spread, *number)
     return (s.select(
         "variavel_id", "variavel_nome", "unidade", *carry, "classificacoes",
         F.col("serie_item.localidade.id").alias("localidade_id"),

@@ -47,8 +47,11 @@ def _empty(spark: SparkSession, raw_dir: str, chosen: dict) -> DataFrame:
 
 
 def stage_long_layer(spark: SparkSession, raw_dir: str, long_root: str,
-                     datasets: Iterable[str] | str | None = None, spread: int | None = None) -> dict[str, str]:
-    """Newest snapshot per selected dataset -> long layer partitioned by dataset."""
+                     datasets: Iterable[str] | str | None = None, spread: int | bool | None = True) -> dict[str, str]:
+    """Newest snapshot per selected dataset -> long layer partitioned by dataset.
+
+    A dataset is one document, read by one task, so its series are spread over
+    the shuffle's partitions before their periods are exploded."""
     chosen = sn.select_datasets(cat.INDICATORS, datasets)
     paths = sn.newest_snapshots(spark, raw_dir, {n: c["agregado"] for n, c in chosen.items()})
     raw = rd.read_landed(spark, paths.values(), NESTED_VARIABLE_SCHEMA)

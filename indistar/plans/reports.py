@@ -4,22 +4,37 @@
 growth columns of ``datasets.populacao_com_crescimento``), ``resumo_ano``,
 ``desemprego_uf_trimestre``, ``faixa_etaria_uf``, ``ipca_area_mes`` and
 ``dim_uf``.  Slicers become semi joins that propagate along the model's
-relationships (calendar year -> yearly summary -> municipal fact).
+relationships (calendar year -> yearly summary -> municipal fact);
+``panel_model`` puts any set of them through the whole relationship graph.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..operators import joins as jn
 from ..operators import reshape as rs
+from ..operators.model import Relationship, Selections, StarModel
+from . import datasets as ds
 
 Model = Mapping[str, DataFrame]
 
+# The relationships of the panel.  Each fact has a calendar of
+# its own, so a year chosen for the population visuals leaves the others alone.
+RELATIONSHIPS = [
+    Relationship("resumo_ano", "to_date(ano)", "calendario", "data", {"ano": "year(ano)"}),
+    Relationship("populacao_municipio", "ano", "resumo_ano", "year(ano)", {"year(ano)": "ano"}),
+    Relationship("desemprego_uf_trimestre", "to_date(data_referencia)", "calendario_desemprego", "data", {"ano": "ano"}),
+    Relationship("ipca_area_mes", "to_date(data_referencia)", "calendario_ipca", "data", {"ano": "ano"}),
+    Relationship("populacao_municipio", "uf_id", "dim_uf", "uf_id", {"uf_id": "uf_id"}),
+    Relationship("desemprego_uf_trimestre", "uf_id", "dim_uf", "uf_id", {"uf_id": "uf_id"}),
+    Relationship("faixa_etaria_uf", "uf_id", "dim_uf", "uf_id", {"uf_id": "uf_id"}),
+]
+
 # Fixed value: the default year slicer selection of the population page.
 DEFAULT_YEARS = [2021]
 UNEMPLOYMENT_YEARS = list(range(2017, 2027))
@@ -27,9 +42,27 @@ UNEMPLOYMENT_YEARS = list(range(2017, 2027))
 
 def _pop(model: Model) -> DataFrame:
     """Municipal fact with the state attributes (27-row dimension broadcast)."""
+    if "regiao" in model["populacao_municipio"].columns:
+        return model["populacao_municipio"]
     return jn.attach_dimension(model["populacao_municipio"], model["dim_uf"], "uf_id", "left")
 
 
+def panel_model(model: Model, relationships: Sequence[Relationship] = RELATIONSHIPS) -> StarModel:
+    """The panel's tables with their relationships and the summary's calendar;
+    the municipal fact holds the state attributes, as its slicers need them."""
+    tables = dict(model)
+    if "calendario" not in tables:
+        tables["calendario"] = ds.calendar_for(tables["resumo_ano"], "ano")
+    return StarModel({**tables, "populacao_municipio": _pop(model)}, relationships)
+
+
+def slicer_list(model: StarModel, table: str, column: str, selections: Selections) -> DataFrame:
+    """Q12-Q15: what the list of one slicer offers while the others are set
+    (its own selection does not narrow it)."""
+    others = {k: v for k, v in selections.items() if k != (table, column)}
+    return model.slice(others).values(table, column)
+
+
 def year_slicer(model: Model, years: Sequence[int] | None) -> Model:
     """Apply a calendar-year selection through two hops of relationships."""
     if not years:
@@ -86,9 +119,16 @@ def year_count_by_state(model: Model) -> DataFrame:
 
 
 def state_count_by_year_region(model: Model) -> DataFrame:
-    """Q6: year x region, non-null count of state code, sorted by year."""
-    p = _pop(model)
-    out = p.groupBy("ano", "regiao").agg(F.count("uf_sigla").alias("contagem_uf"))
+    """Q6: year x region, non-null count of state code, sorted by year.
+
+    The axis is the year of the yearly summary, reached over the relationship;
+    fact rows of a year without a summary count under a blank year.  The fact
+    is counted by its own year first, so a year and region is one row of the join.
+    """
+    counts = _pop(model).groupBy(F.col("ano").alias("_ano"), "regiao").agg(F.count("uf_sigla").alias("_n"))
+    axis = model["resumo_ano"].select(F.year("ano").alias("ano")).distinct()
+    out = counts.join(axis, F.col("_ano") == F.col("ano"), "left").groupBy("ano", "regiao").agg(
+        F.sum("_n").alias("contagem_uf"))
     return out.orderBy("ano", "regiao")
 
 
@@ -100,20 +140,21 @@ def cpi_matrix(model: Model, years: Sequence[int]) -> DataFrame:
     their count, groups within an area by theirs, each area's subtotal row
     after its groups and the grand total last.
     """
-    f = model["ipca_area_mes"]
-    m = agg.matrix(f, "area_ipca", "grupo_ipca", "ano", "acumulado_12_meses_pct", years, "min",
-                   name_fn=lambda y: f"ano_{y}")
-    area_n = f.groupBy(F.col("area_ipca").alias("_a")).agg(F.count("grupo_ipca").alias("_na"))
-    group_n = (f.groupBy(F.col("area_ipca").alias("_a"), F.col("grupo_ipca").alias("_g"))
-               .agg(F.count("grupo_ipca").alias("_ng")))
-    # subtotal rows carry null keys: match null-safely (every side is tiny)
-    area_key = F.col("area_ipca").eqNullSafe(F.col("_a"))
-    j = (m.join(area_n, area_key & (F.col("nivel") < 3), "left").drop("_a")
-         .join(group_n, area_key & F.col("grupo_ipca").eqNullSafe(F.col("_g")) & (F.col("nivel") == 0), "left")
-         .drop("_a", "_g"))
-    return (j.orderBy(F.col("_na").desc_nulls_last(), F.col("area_ipca").asc_nulls_last(), F.col("nivel").asc(),
-                      F.col("_ng").desc_nulls_last(), F.col("grupo_ipca").asc_nulls_last())
-            .drop("_na", "_ng"))
+    m = agg.matrix(model["ipca_area_mes"], "area_ipca", "grupo_ipca", "ano", "acumulado_12_meses_pct", years, "min",
+                   name_fn=lambda y: f"ano_{y}", counted="grupo_ipca")
+    # an area's count is that of its subtotal row, so the few wide rows hold all sort keys
+    of_area = Window.partitionBy(F.col("nivel") == 3, "area_ipca")
+    area_count = F.max(F.when(F.col("nivel") == 1, F.col("contagem"))).over(of_area)
+    return (m.withColumn("_area", area_count)
+            .orderBy((F.col("nivel") == 3).asc(), F.col("_area").desc_nulls_last(), F.col("area_ipca").asc_nulls_last(),
+                     F.col("nivel").asc(), F.col("contagem").desc_nulls_last(), F.col("grupo_ipca").asc_nulls_last())
+            .drop("_area", "contagem"))
+
+
+def matrix_years(model: Model) -> list[int]:
+    """The years of the CPI table, ascending: the columns its matrix shows.
+    The driver gets one row a year."""
+    return [r.ano for r in agg.value_list(model["ipca_area_mes"].filter(F.col("ano").isNotNull()), "ano").collect()]
 
 
 def cards(model: Model) -> DataFrame:
@@ -143,13 +184,14 @@ def dropdown(model: Model, column: str) -> DataFrame:
 def population_page(model: Model, years: Sequence[int] | None = tuple(DEFAULT_YEARS),
                     regions: Sequence[str] | None = None, states: Sequence[str] | None = None,
                     municipalities: Sequence[str] | None = None,
-                    cpi_years: Sequence[int] = ()) -> dict[str, DataFrame]:
+                    cpi_years: Sequence[int] | None = None) -> dict[str, DataFrame]:
     """Every visual of the population page under its slicers (Q12-Q15).
 
     The year slicer reaches the municipal fact through the yearly summary
     (two hops); region / state / municipality slicers filter the municipal
     fact.  The unemployment and CPI visuals are not related to those
-    slicers in the model and ignore them.
+    slicers in the model and ignore them.  The inflation matrix shows
+    ``cpi_years``, by default every year of its table.
     """
     m = year_slicer(model, list(years) if years else None)
     for column, values in (("regiao", regions), ("uf_sigla", states), ("municipio_nome", municipalities)):
@@ -166,6 +208,6 @@ def population_page(model: Model, years: Sequence[int] | None = tuple(DEFAULT_YE
         "lista_ufs": dropdown(model, "uf_sigla"),
         "lista_municipios": dropdown(model, "municipio_nome"),
     }
-    if cpi_years:
-        visuals["matriz_ipca"] = cpi_matrix(model, cpi_years)
+    if "ipca_area_mes" in model:
+        visuals["matriz_ipca"] = cpi_matrix(model, cpi_years or matrix_years(model))
     return visuals
