@@ -8,8 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from indistar.plans.oracle import ORACLE_SQL
-from indistar.plans.testdata import QUERIES
+from indistar.plans.registry import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
