@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import parse_number
 
+# The columns of the long layer and their order.
 LONG_COLUMNS = [
     "variavel_id", "variavel_nome", "unidade", "classificacoes",
     "localidade_id", "localidade_nome", "nivel_id", "nivel_nome",

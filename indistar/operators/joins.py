@@ -51,7 +51,8 @@ def orphans(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
 
 def calendar_join(fact: DataFrame, ts_col: str, calendar: DataFrame,
                   date_col: str = "data") -> DataFrame:
-    """Fact -> calendar on the date part of a timestamp (calendar broadcast)."""
+    """Fact -> calendar on the date part of a timestamp.  The calendar is
+    broadcast: ``calendar_for`` bounds its span."""
     return fact.join(F.broadcast(calendar), F.to_date(F.col(ts_col)) == calendar[date_col], "inner")
 
 

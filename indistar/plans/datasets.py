@@ -35,6 +35,8 @@ IPCA_GROUP_CLASSIFICATION = 315
 UNEMPLOYMENT_VARIABLES = {4099: "taxa_desocupacao_pct", 4118: "taxa_subutilizacao_pct"}
 IPCA_VARIABLES = {63: "variacao_mensal_pct", 69: "acumulado_ano_pct",
                   2265: "acumulado_12_meses_pct", 66: "peso_mensal_pct"}
+# Longest calendar: 146,100 days, a few megabytes.
+CALENDAR_YEARS = 400
 PIB_COLUMNS = ["variavel_id", "variavel_nome", "unidade", "data_referencia", "ano"]
 
 
@@ -179,12 +181,17 @@ def resumo_ano(pop: DataFrame) -> DataFrame:
                     F.col("variacao_absoluta_total").cast("double").alias("variacao_absoluta_total"))
 
 
-def calendar_for(df: DataFrame, date_col: str) -> DataFrame:
+def calendar_for(df: DataFrame, date_col: str, max_years: int = CALENDAR_YEARS) -> DataFrame:
     """Calendar from 1 Jan of the first year to 31 Dec of the last year of a
-    date column (size bounded by the span, not by the data volume)."""
+    date column (size bounded by the span, not by the data volume).  A span of
+    more than ``max_years``, such as one mistyped year makes, fails the run:
+    every calendar is small enough to broadcast."""
     b = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    span = F.concat(F.lit(f"calendar of {date_col}: "), F.year("lo").cast("string"), F.lit(" to "), F.year("hi").cast("string"),
+                    F.lit(f" is more than {max_years} years"))
+    last = F.when(F.year("hi") - F.year("lo") < max_years, F.year("hi")).when(F.col("lo").isNotNull(), F.raise_error(span).cast("int"))
     days = b.select(F.explode(F.sequence(F.make_date(F.year("lo"), F.lit(1), F.lit(1)),
-                                         F.make_date(F.year("hi"), F.lit(12), F.lit(31)))).alias("data"))
+                                         F.make_date(last, F.lit(12), F.lit(31)))).alias("data"))
     return days.select("data", *[v.alias(k) for k, v in fd.calendar_columns("data").items()])
 
 

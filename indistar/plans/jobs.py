@@ -5,7 +5,7 @@ writes the long layer as Parquet partitioned by dataset, so every recipe in
 stage 2 reads only its partition (partition pruning) instead of re-parsing
 JSON once per output table.  Stage 2 builds each table, checks its contract
 against the published dimension, and merges it into its published version
-(snapshot upsert, as the reference's key-based upsert) or replaces it.
+(snapshot upsert by key) or replaces it.
 """
 
 from __future__ import annotations

@@ -527,20 +527,12 @@ def single_value(spark, sf_dir):
 
 
 def calendar(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders")
-    bounds = o.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
-    days = bounds.select(F.explode(F.sequence(F.make_date(F.year("lo"), F.lit(1), F.lit(1)),
-                                              F.make_date(F.year("hi"), F.lit(12), F.lit(31)))).alias("data"))
-    parts = fd.calendar_columns("data")
-    return days.select("data", *[v.alias(k) for k, v in parts.items()])
+    return ds.calendar_for(_t(spark, sf_dir, "orders"), "o_orderdate")
 
 
 def date_part_join(spark, sf_dir):
     e = _t(spark, sf_dir, "events").select("ts", "value")
-    bounds = e.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    days = bounds.select(F.explode(F.sequence(F.make_date(F.year("lo"), F.lit(1), F.lit(1)),
-                                              F.make_date(F.year("hi"), F.lit(12), F.lit(31)))).alias("data"))
-    cal = days.select("data", *[v.alias(k) for k, v in fd.calendar_columns("data").items()])
+    cal = ds.calendar_for(e, "ts")
     j = jn.calendar_join(e, "ts", cal, "data")
     return (j.groupBy("ano", "month_no", "mes", "trimestre")
             .agg(F.count(F.lit(1)).alias("n_eventos"), F.round(F.sum("value"), 2).alias("soma_valor")))

@@ -6,6 +6,7 @@ lets the JSON reader prune columns that later steps never touch.
 
 from pyspark.sql import types as T
 
+# The record shapes of the landed documents.
 CATEGORY_MAP = T.MapType(T.StringType(), T.StringType())
 
 CLASSIFICATION = T.StructType([

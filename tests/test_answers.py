@@ -63,3 +63,12 @@ def test_every_day_has_its_window(spark, start, years):
     got = jn.window_join(days, "dia", bounds, ["s"], years).collect()
     assert len(got) == (end - start).days + 1
     assert all((r.janela_inicio, r.janela_fim) == table[r.janela] and r.janela_inicio <= r.dia <= r.janela_fim for r in got)
+
+
+def test_calendar_of_a_mistyped_year_fails(spark):
+    from indistar.plans.datasets import calendar_for
+    days = lambda *d: spark.createDataFrame([(x,) for x in d], "d date")
+    assert calendar_for(days(D(2020, 5, 1), D(2021, 2, 1), None), "d").count() == 366 + 365
+    assert calendar_for(days(None), "d").count() == 0 and calendar_for(days(), "d").count() == 0
+    with pytest.raises(PySparkException, match="2020 to 9999 is more than 400 years"):
+        calendar_for(days(D(2020, 5, 1), D(9999, 1, 1)), "d").collect()
