@@ -43,7 +43,10 @@ WORDS = 5
 SIMILARITY = 75  # per cent
 BROADCAST_TEXTS = 500_000  # the same for ids with the checksum of their text
 PIVOTS = 4  # drawn members of a crowded list that the others are compared with
+TURNS = 2  # times that members are drawn
 CROWDED = 8  # pairs for each row from which a list is crowded
+SIGNS = 8  # longs of a document's parity bits
+ALL, LONE = -1, -2  # parts of a list that are no component
 _CACHE = 200_000
 _words: dict[bytes, int] = {}
 
@@ -222,15 +225,18 @@ def near_links(rows: DataFrame, size: int = WORDS, k: int = K, per_cent: int = S
     crowded = materialise(_crowded(at), "crowded")
     tested = stars
     if not crowded.isEmpty():
-        turn = materialise(_estimated(_pivot_pairs(at.join(crowded, "value", "left_semi"), per_cent).join(
-            stars, ["a", "b"], "left_anti"), classes, k, per_cent), "pairs")
-        links = materialise(links.union(_verified(turn, texts, size, per_cent)), "links")
-        tested = stars.union(turn)
-        labels = materialise(near_labels(links, 2), "labels")
-        at = _mixed(lists, labels)
-        full = _full_lists(at.join(crowded, "value", "left_semi").select("id").distinct(), texts, size, per_cent)
-        rest = _cross_pairs(at.join(crowded, "value", "left_anti"), per_cent).union(
-            _full_pairs(_mixed(full, labels), per_cent)).distinct()
+        for turn in range(TURNS):
+            pairs = materialise(_estimated(_pivot_pairs(at.join(crowded, "value", "left_semi"), per_cent, turn).join(
+                tested, ["a", "b"], "left_anti"), classes, k, per_cent), "pairs")
+            tested = tested.union(pairs)
+            links = links.union(_verified(pairs, texts, size, per_cent))
+            # whole components: what is connected already is not paired again
+            labels = components(links)
+            links = labels.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+            at = materialise(_mixed(lists, labels), "lists")
+        ids = materialise(at.join(crowded, "value", "left_semi").select("id").distinct(), "ids")
+        full = materialise(_mixed(_full_lists(ids, texts, size, per_cent), labels), "full").join(_parities(ids, texts, size), "id")
+        rest = _cross_pairs(at.join(crowded, "value", "left_anti"), per_cent).union(_full_pairs(full, per_cent)).distinct()
     else:
         rest = _cross_pairs(at, per_cent)
     rest = materialise(_estimated(rest.join(tested, ["a", "b"], "left_anti"), classes, k, per_cent), "rest")
@@ -238,10 +244,10 @@ def near_links(rows: DataFrame, size: int = WORDS, k: int = K, per_cent: int = S
 
 
 def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """The lists that hold several known components, with the component
-    ``c``."""
-    at = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn(
-        "c", F.coalesce("component", "id")).drop("component")
+    """The lists that hold several known components, with the component ``c``
+    and ``lone`` where no link of the document is known."""
+    at = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("lone", F.col("component").isNull()) \
+        .withColumn("c", F.coalesce("component", "id")).drop("component")
     several = at.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     return at.join(several.select("value"), "value", "left_semi")
 
@@ -254,13 +260,15 @@ def _crowded(at: DataFrame) -> DataFrame:
     return by.where((F.col("m") * F.col("m") - F.col("own")) / 2 > CROWDED * F.col("m")).select("value")
 
 
-def _pivot_pairs(at: DataFrame, per_cent: int) -> DataFrame:
-    """Each list's members with a few drawn ones."""
-    order = F.struct(F.xxhash64("id").alias("h"), "id", "n", "c")
-    few = at.groupBy("value").agg(*[F.min(F.when(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PIVOTS)) == i, order))
-                                    .alias(f"p{i}") for i in range(PIVOTS)])
-    few = few.select("value", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")).where("p is not null")
-    return at.join(few, "value").where((F.col("c") != F.col("p.c")) & _similar_sizes("n", "p.n", per_cent)) \
+def _pivot_pairs(at: DataFrame, per_cent: int, turn: int = 0) -> DataFrame:
+    """Each list's members with a few drawn ones, others in each turn."""
+    order = F.struct(F.xxhash64("id", F.lit(-turn)).alias("h"), "id", "n", "c")
+    few = at.groupBy("value").agg(F.array_compact(F.array(*[
+        F.min(F.when(F.pmod(F.xxhash64("id", F.lit(turn + 1)), F.lit(PIVOTS)) == i, order)) for i in range(PIVOTS)])).alias("p"))
+    # many lists draw the same members: one row for each place in a list, each pair of documents once
+    met = at.join(few, "value").groupBy("id", "n", "c").agg(F.array_distinct(F.flatten(F.collect_set("p"))).alias("p"))
+    return met.select("id", "n", "c", F.explode("p").alias("p")) \
+        .where((F.col("c") != F.col("p.c")) & _similar_sizes("n", "p.n", per_cent)) \
         .select(*_ordered("id", "p.id")).distinct()
 
 
@@ -301,24 +309,56 @@ def _full_lists(ids: DataFrame, texts: DataFrame, size: int, per_cent: int) -> D
             (F.col("n") - F.col("own") - F.col("i")) * (100 + per_cent) / per_cent) - F.col("n")).alias("most"))
 
 
+def _parities(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """``id, s0, s1, ...``: bits that say whether an odd number of the full
+    set's values fall on them.  Where two documents' bits differ, at least one
+    value is in one set only."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingles", _words.clear)
+        for b in batches:
+            bits = np.zeros((b.num_rows, SIGNS), np.uint64)
+            for i, raw in enumerate(b.column(1)):
+                odd = np.bincount((shingle_set(raw.as_py(), size) % np.uint64(64 * SIGNS)).astype(np.int64),
+                                  minlength=64 * SIGNS) % 2
+                bits[i] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(bits[:, j].view(np.int64)) for j in range(SIGNS))],
+                                             names=["id", *(f"s{j}" for j in range(SIGNS))])
+
+    return map_texts(texts.join(ids, "id", "left_semi").select("id", "text"), run,
+                     ", ".join(["id long", *(f"s{j} long" for j in range(SIGNS))]))
+
+
 def _full_pairs(at: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs of different components that can be similar by size and place.
-    The larger document looks for the smaller one in classes of sizes, so
-    documents that are too far from all others meet nobody."""
+    """Pairs of different components that can be similar by size, place and
+    parity bits.  The larger document looks for the smaller one in classes of
+    sizes, so documents that are too far from all others meet nobody."""
     def grade(n) -> Column:
         return F.floor(F.log(F.greatest(n, F.lit(1))) / F.lit(float(np.log(1.05))))
 
     least = F.ceil(F.col("n") * per_cent / 100)
     top = F.least("n", "most")
-    seek = at.where(top >= least).select("value", F.col("c"), F.col("id").alias("x"), F.col("n").alias("nx"),
-                                         F.col("most").alias("mx"), F.explode(F.sequence(grade(least), grade(top))).alias("g"))
-    stand = at.where("most >= n").select("value", F.col("c").alias("d"), F.col("id").alias("y"), F.col("n").alias("ny"),
-                                         F.col("most").alias("my"), grade(F.col("n")).alias("g"))
-    groups = seek.select("value", "g", "c").distinct().join(stand.select("value", "g", "d").distinct(), ["value", "g"]) \
-        .where("c <> d")
-    return groups.join(seek, ["value", "g", "c"]).join(stand, ["value", "g", "d"]) \
-        .where((F.col("ny") <= F.col("nx")) & (F.col("ny") <= F.col("mx")) & (F.col("nx") <= F.col("my"))
-               & _similar_sizes("nx", "ny", per_cent)).select(*_ordered("x", "y")).distinct()
+    bits = [f"s{j}" for j in range(SIGNS)]
+    apart = sum((F.bit_count(F.col(f"x{b}").bitwiseXOR(F.col(f"y{b}"))) for b in bits), F.lit(0))
+    seek = at.where(top >= least).select("value", "c", "lone", F.col("id").alias("x"), F.col("n").alias("nx"),
+                                         F.col("most").alias("mx"), *(F.col(b).alias(f"x{b}") for b in bits),
+                                         F.explode(F.sequence(grade(least), grade(top))).alias("g"))
+    stand = at.where("most >= n").select("value", F.col("c").alias("d"), "lone", F.col("id").alias("y"),
+                                         F.col("n").alias("ny"), F.col("most").alias("my"),
+                                         *(F.col(b).alias(f"y{b}") for b in bits), grade(F.col("n")).alias("g"))
+    # ``part``: a lone document meets all of a list (ALL), a linked one the lone ones (LONE) and every other component
+    linked = seek.where("NOT lone").select("value", "g", "c").distinct().join(
+        stand.where("NOT lone").select("value", "g", "d").distinct(), ["value", "g"]).where("c <> d") \
+        .select("value", "g", "c", F.col("d").alias("part"))
+    linked = seek.join(linked, ["value", "g", "c"]).where("NOT lone").select(*seek.columns, "part")
+    seek = seek.withColumn("part", F.when(F.col("lone"), ALL).otherwise(LONE).cast("long")).union(linked).drop("lone")
+    stand = stand.withColumn("part", F.explode(F.array(F.lit(ALL).cast("long"), F.when(F.col("lone"), LONE).otherwise(F.col("d"))))) \
+        .drop("lone")
+    return seek.join(stand, ["value", "g", "part"]) \
+        .where((F.col("c") != F.col("d")) & (F.col("ny") <= F.col("nx")) & (F.col("ny") <= F.col("mx"))
+               & (F.col("nx") <= F.col("my")) & _similar_sizes("nx", "ny", per_cent)
+               # the values of one set only are at most this part of both sizes
+               & (apart * (100 + per_cent) <= (F.col("nx") + F.col("ny")) * (100 - per_cent))) \
+        .select(*_ordered("x", "y")).distinct()
 
 
 def _groups(rows: DataFrame, **options) -> DataFrame:

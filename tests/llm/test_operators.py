@@ -286,6 +286,36 @@ def test_near_groups_of_null_and_repeated_ids(spark):
     assert all(least[top(data.index(tuple(x)))] == x.doc_id for x in left)
 
 
+def test_near_groups_of_one_crowd_stay_few_pairs(spark, monkeypatch):
+    r = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    data = []
+    for i in range(240):
+        words = list(base)
+        for j, at in enumerate(r.sample(range(150), r.choice([1, 2]) if i % 2 else r.choice([5, 6]))):
+            words[at] = f"own{i}x{j}"
+        data.append((i, " ".join(words)))
+    own = [set(minhash.shingle_set(t.encode()).tolist()) for _, t in data]
+    near = [[b for b in range(len(data)) if 100 * len(own[a] & own[b]) >= 75 * len(own[a] | own[b])] for a in range(len(data))]
+    up = list(range(len(data)))
+    for _ in range(len(data)):
+        new = [min(up[b] for b in near[a]) for a in range(len(data))]
+        if new == up:
+            break
+        up = new
+    made, write = {}, minhash.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+    monkeypatch.setattr(minhash, "materialise", counted)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = {x.doc_id: x.component_id for x in minhash.near_groups(df).collect()}
+    assert got == dict(enumerate(up))
+    assert made["crowded"] and made["rest"] < 500  # 772 where connected and far documents were paired
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(r.randrange(60), r.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]
